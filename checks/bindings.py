@@ -6,16 +6,20 @@ an order is an invoice, an order priority is a currency.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tradelane.functions.dates import latest
 from tradelane.functions.num import money
 from tradelane.marts.network import daily_lanes
 from tradelane.session import materialize
 
 RATE_DAYS = [1, 8, 15, 22]
+_SCHEMAS: dict[str, StructType] = {}
 
 
 class Bound:
@@ -24,7 +28,10 @@ class Bound:
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:  # footers are read once per table
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # -- dimensions ---------------------------------------------------------
 
@@ -206,7 +213,17 @@ class Bound:
 
     @cached_property
     def lane_daily(self) -> DataFrame:
-        return materialize(daily_lanes(self.shipments()), "lane-daily")
+        """Lanes by booking day: one pass over the shipments serves every summary."""
+        daily = daily_lanes(
+            self.shipments(),
+            F.min(F.datediff("ata", "atd")).alias("fastest"),
+            F.min("freight_amount").alias("cheapest"),
+        )
+        return materialize(daily, "lane-daily")
+
+    @cached_property
+    def last_day(self) -> dt.date:
+        return latest(self.lane_daily, "booked_date")
 
     @cached_property
     def activity(self) -> DataFrame:
@@ -256,11 +273,9 @@ class Bound:
     @cached_property
     def routes(self) -> DataFrame:
         """The three cheapest destinations of every origin."""
-        lag = F.datediff("ata", "atd")
         lanes = (
-            self.shipments()
-            .groupBy("origin_port", "dest_port")
-            .agg(F.min(lag).alias("transit_days"), F.min("freight_amount").alias("cost_per_cbm"))
+            self.lane_daily.groupBy("origin_port", "dest_port")
+            .agg(F.min("fastest").alias("transit_days"), F.min("cheapest").alias("cost_per_cbm"))
             .where(
                 (F.col("origin_port") != F.col("dest_port")) & F.col("transit_days").isNotNull()
             )

@@ -139,17 +139,17 @@ def m11_port_activity(b: Bound) -> DataFrame:
 
 @query
 def m12_network_exposure(b: Bound) -> DataFrame:
-    return network.network_exposure(b.network())
+    return network.network_exposure(b.network(), b.last_day, b.last_day)
 
 
 @query
 def m13_chokepoint_exposure(b: Bound) -> DataFrame:
-    return network.chokepoint_exposure(b.straits())
+    return network.chokepoint_exposure(b.straits(), b.last_day, b.last_day)
 
 
 @query
 def m14_door_to_door_routing(b: Bound) -> DataFrame:
-    return network.door_to_door_routing(b.routing(), RISK)
+    return network.door_to_door_routing(b.routing(), RISK, as_of=b.last_day)
 
 
 @query
@@ -187,7 +187,7 @@ def d05_revenue_by_region(b: Bound) -> DataFrame:
 
 @query
 def d06_port_table(b: Bound) -> DataFrame:
-    return network.port_table(b.network())
+    return network.port_table(b.network(), b.last_day, b.last_day)
 
 
 @query
@@ -202,7 +202,7 @@ def d08_aging_dashboard(b: Bound) -> DataFrame:
 
 @query
 def d09_chokepoint_compact(b: Bound) -> DataFrame:
-    return network.chokepoint_compact(b.straits())
+    return network.chokepoint_compact(b.straits(), b.last_day, b.last_day)
 
 
 @query
@@ -219,12 +219,13 @@ def d11_monthly_on_time(b: Bound) -> DataFrame:
 def d12_headline_facts(b: Bound) -> DataFrame:
     billing = b.billing()
     t = {**b.network(), "invoices": billing["invoices"], "fx_rates": b.fx}
-    return headline.headline_facts({**t, "shipments": b.shipments(lanes=False)}, consignments=b.consignments)
+    t["shipments"] = b.shipments(lanes=False)
+    return headline.headline_facts(t, b.last_day, b.last_day, b.consignments)
 
 
 @query
 def d13_named_routes(b: Bound) -> DataFrame:
-    return network.named_routes(b.routing(), port_risk=RISK)
+    return network.named_routes(b.routing(), port_risk=RISK, as_of=b.last_day)
 
 
 @query
@@ -536,7 +537,9 @@ def p61_previous_event(b: Bound) -> DataFrame:
 @query
 def p62_running_share(b: Bound) -> DataFrame:
     df = b.invoices.select("invoice_id", "amount")
-    shares = rank.running_total(df, "amount", "amount", True, "run", "all")
+    shares = rank.running_total(
+        df, "amount", "amount", True, "run", "all", one_task_rows=0
+    )
     return shares.select(
         "invoice_id",
         F.col("run").cast("double").alias("running"),
@@ -572,7 +575,7 @@ def p67_ntile(b: Bound) -> DataFrame:
         rank.Tile("by_customer", "customer", descending=True),
         rank.Tile("by_hot_value", "hot"),
     ]
-    return rank.ntile(df, tiles, "order_id").select(
+    return rank.ntile(df, tiles, "order_id", one_task_rows=0).select(
         "order_id", "by_amount", "by_customer", "by_hot_value"
     )
 
@@ -582,7 +585,8 @@ def p68_rank(b: Bound) -> DataFrame:
     df = b.raw("lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"), "l_quantity"
     )
-    ranked = rank.rank(rank.rank(df, "l_quantity", "up"), "l_quantity", "down", descending=True)
+    up = rank.rank(df, "l_quantity", "up", one_task_rows=0)
+    ranked = rank.rank(up, "l_quantity", "down", descending=True, one_task_rows=0)
     return ranked.select("order_id", "line", "up", "down")
 
 

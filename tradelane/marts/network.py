@@ -129,10 +129,10 @@ def lane_book(t: Tables, as_of: dt.date | None = None, days: int = BOOK_DAYS) ->
     )
 
 
-def daily_lanes(shipments: DataFrame) -> DataFrame:
-    """Shipments per lane and booking day: count and volume."""
+def daily_lanes(shipments: DataFrame, *extra: Column) -> DataFrame:
+    """Shipments per lane and booking day: count, volume and any extra aggregates."""
     return shipments.groupBy("origin_port", "dest_port", "booked_date").agg(
-        F.count("*").alias("n"), F.sum("volume_cbm").alias("cbm")
+        F.count("*").alias("n"), F.sum("volume_cbm").alias("cbm"), *extra
     )
 
 

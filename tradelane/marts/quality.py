@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelane.operators import quality
@@ -24,36 +24,57 @@ EARLY_BOOKING = "10 · Bookings dated before customer onboarding"
 UNKNOWN_LANE_PORTS = "11 · Chokepoint lanes referencing unknown ports"
 
 
-def _unknown_ports(lanes: DataFrame, ports: DataFrame) -> DataFrame:
-    """Lanes (with their row count ``n``) where either end is not a known port."""
-    known = ports.select(F.col("port_code"), F.lit(True).alias("known"))
-    origin = known.withColumnsRenamed({"port_code": "origin_port", "known": "_o"})
-    dest = known.withColumnsRenamed({"port_code": "dest_port", "known": "_d"})
+def _with_ports(lanes: DataFrame, ports: DataFrame) -> DataFrame:
+    """Adds ``unknown``: whether either end of the lane is not a known port."""
+    known = ports.select("port_code", F.lit(True).alias("known"))
+    origin = known.toDF("origin_port", "_o")
+    dest = known.toDF("dest_port", "_d")
     return (
         lanes.join(origin, "origin_port", "left")
         .join(dest, "dest_port", "left")
-        .where(F.col("_o").isNull() | F.col("_d").isNull())
+        .withColumn("unknown", F.col("_o").isNull() | F.col("_d").isNull())
     )
 
 
 def data_quality(t: Tables) -> DataFrame:
     shipments, invoices, ports = t["shipments"], t["invoices"], t["ports"]
 
-    on_shipments = quality.rows_where(
-        shipments,
+    def hits(condition: Column, out: str) -> Column:
+        return F.count(F.when(condition, 1)).alias(out)
+
+    # every check on shipment rows and on their ports comes from one pass,
+    # counted per lane so that ports meet lanes and not shipments
+    lanes = shipments.groupBy("origin_port", "dest_port").agg(
+        F.count("*").alias("n"),
+        hits(F.col("ata") < F.col("atd"), "time_travel"),
+        hits((F.col("status") == "DELIVERED") & F.col("ata").isNull(), "no_arrival"),
+        hits((F.col("volume_cbm") <= 0) | (F.col("freight_amount") <= 0), "non_positive"),
+    )
+    on_shipments = quality.stacked(
+        _with_ports(lanes, ports),
         [
-            (TIME_TRAVEL, CRITICAL, F.col("ata") < F.col("atd")),
-            (NO_ARRIVAL, CRITICAL, (F.col("status") == "DELIVERED") & F.col("ata").isNull()),
-            (NON_POSITIVE, CRITICAL, (F.col("volume_cbm") <= 0) | (F.col("freight_amount") <= 0)),
+            (TIME_TRAVEL, CRITICAL, F.sum("time_travel")),
+            (NO_ARRIVAL, CRITICAL, F.sum("no_arrival")),
+            (NON_POSITIVE, CRITICAL, F.sum("non_positive")),
+            (UNKNOWN_PORTS, CRITICAL, F.sum(F.when(F.col("unknown"), F.col("n")))),
         ],
     )
-    on_invoices = quality.rows_where(
-        invoices, [(EARLY_PAYMENT, CRITICAL, F.col("paid_date") < F.col("issue_date"))]
+    # likewise for invoices, counted per shipment
+    known = shipments.select("shipment_id").distinct().withColumn("known", F.lit(True))
+    billed = (
+        invoices.groupBy("shipment_id")
+        .agg(F.count("*").alias("n"), hits(F.col("paid_date") < F.col("issue_date"), "early"))
+        .join(known, "shipment_id", "left")
+    )
+    on_invoices = quality.stacked(
+        billed,
+        [
+            (ORPHAN_INVOICES, CRITICAL, F.sum(F.when(F.col("known").isNull(), F.col("n")))),
+            (EARLY_PAYMENT, CRITICAL, F.sum("early")),
+            (BILLED_TWICE, WARNING, F.count(F.when(F.col("n") > 1, 1))),
+        ],
     )
     lost_events = quality.orphans(t["shipment_events"], "shipment_id", shipments, "shipment_id")
-    lost_invoices = quality.orphans(invoices, "shipment_id", shipments, "shipment_id")
-    billed = invoices.groupBy("shipment_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    lanes = shipments.groupBy("origin_port", "dest_port").agg(F.count("*").alias("n"))
     currencies = quality.orphans(invoices, "currency", t["fx_rates"], "currency")
     # bookings are counted per customer and day before they meet the customer
     early = (
@@ -62,18 +83,16 @@ def data_quality(t: Tables) -> DataFrame:
         .join(t["customers"].select("customer_id", "onboarded_date"), "customer_id")
         .where(F.col("booked_date") < F.col("onboarded_date"))
     )
-    bridge = t["lane_chokepoints"].withColumn("n", F.lit(1))
-    n = F.sum("n")
+    bridge = _with_ports(t["lane_chokepoints"], ports)
     return quality.union(
         [
             on_shipments,
             on_invoices,
-            quality.total(lost_events, ORPHAN_EVENTS, CRITICAL, n),
-            quality.total(lost_invoices, ORPHAN_INVOICES, CRITICAL, n),
-            quality.total(_unknown_ports(lanes, ports), UNKNOWN_PORTS, CRITICAL, n),
+            quality.total(lost_events, ORPHAN_EVENTS, CRITICAL, F.sum("n")),
             quality.total(currencies, NO_FIXING, WARNING, F.count("*")),
-            quality.total(billed, BILLED_TWICE, WARNING, F.count("*")),
-            quality.total(early, EARLY_BOOKING, WARNING, n),
-            quality.total(_unknown_ports(bridge, ports), UNKNOWN_LANE_PORTS, CRITICAL, n),
+            quality.total(early, EARLY_BOOKING, WARNING, F.sum("n")),
+            quality.total(
+                bridge, UNKNOWN_LANE_PORTS, CRITICAL, F.count(F.when(F.col("unknown"), 1))
+            ),
         ]
     ).orderBy("severity", "check_name")

@@ -10,16 +10,6 @@ from pyspark.sql import functions as F
 ARROW = " → "
 
 
-def _reaching(edges: DataFrame, targets: DataFrame, hops: int) -> list[DataFrame]:
-    """``result[h]``: nodes with a walk of at most ``h`` edges into a target (0..hops)."""
-    near = [targets.select(F.col("node")).distinct()]
-    steps = edges.select(F.col("origin").alias("node"), "dest").distinct()
-    for _ in range(hops):
-        into = steps.join(near[-1].withColumnRenamed("node", "dest"), "dest", "left_semi")
-        near.append(near[-1].union(into.select("node")).distinct())
-    return near
-
-
 def expand(
     edges: DataFrame,
     sources: DataFrame,
@@ -32,24 +22,16 @@ def expand(
 
     ``edges`` has ``origin, dest, mode, days, cost``; ``sources`` and
     ``targets`` have ``node``. The depth is a constant, so the recursion is
-    unrolled into ``max_legs`` equi-joins. With targets given, a partial path
-    is kept only while a target can still be reached in the legs that are left,
-    which cuts the widest hop down to edges that end in a target.
+    unrolled into ``max_legs`` equi-joins. With targets given, the last and
+    widest hop meets only edges that end in a target.
     """
     edges = edges.select("origin", "dest", "mode", "days", "cost")
-    near = _reaching(edges, targets, max_legs - 1) if targets is not None else None
-
-    def aim(step: DataFrame, legs_left: int) -> DataFrame:
-        if near is None:
-            return step
-        return step.join(near[legs_left].withColumnRenamed("node", "dest"), "dest", "left_semi")
+    goal = None
+    if targets is not None:
+        goal = targets.select(F.col("node").alias("dest"))
+    starts = sources.select(F.col("node").alias("origin"))
 
-    frontier = aim(
-        edges.join(
-            sources.select(F.col("node").alias("origin")).distinct(), "origin", "left_semi"
-        ),
-        max_legs - 1,
-    ).select(
+    frontier = edges.join(starts, "origin", "left_semi").select(
         "origin",
         "dest",
         F.array("origin", "dest").alias("path"),
@@ -58,18 +40,13 @@ def expand(
         F.col("cost").cast("decimal(18,2)").alias("cost"),
         F.lit(1).cast("bigint").alias("legs"),
     )
+    hop = edges.toDF("_from", "_to", "_mode", "_days", "_cost")
     found = [frontier]
     for leg in range(2, max_legs + 1):
-        hop = aim(edges, max_legs - leg).select(
-            F.col("origin").alias("_from"),
-            F.col("dest").alias("_to"),
-            F.col("mode").alias("_mode"),
-            F.col("days").alias("_days"),
-            F.col("cost").alias("_cost"),
-        )
+        if leg == max_legs and goal is not None:
+            hop = hop.join(goal.toDF("_to"), "_to", "left_semi")
         frontier = (
-            found[-1]
-            .join(hop, F.col("dest") == F.col("_from"))
+            frontier.join(hop, F.col("dest") == F.col("_from"))
             .where(~F.array_contains(F.col("path"), F.col("_to")))
             .select(
                 "origin",
@@ -82,12 +59,13 @@ def expand(
             )
         )
         found.append(frontier)
-    paths = reduce(DataFrame.unionByName, found)
-    if targets is None:
-        return paths
-    return paths.join(
-        targets.select(F.col("node").alias("dest")).distinct(), "dest", "left_semi"
-    )
+    if goal is None:
+        return reduce(DataFrame.unionByName, found)
+    *shorter, last = found
+    if max_legs == 1:
+        return last.join(goal, "dest", "left_semi")
+    ended = reduce(DataFrame.unionByName, shorter).join(goal, "dest", "left_semi")
+    return ended.unionByName(last)
 
 
 def path_text(col: Column | str = "path", sep: str = ARROW) -> Column:

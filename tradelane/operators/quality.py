@@ -18,12 +18,18 @@ class QualityGateError(RuntimeError):
     """A critical check found violations."""
 
 
-def rows_where(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
-    """One scan for any number of row predicates: ``check_name, severity, violations``."""
+def stacked(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """One pass for any number of counts: ``check_name, severity, violations``.
+
+    Each check is (name, severity, aggregate over ``df``).
+    """
     counts = df.agg(
-        *[F.count(F.when(condition, 1)).alias(f"c{i}") for i, (_, _, condition) in enumerate(checks)]
+        *[
+            F.coalesce(count, F.lit(0)).cast("bigint").alias(f"c{i}")
+            for i, (_, _, count) in enumerate(checks)
+        ]
     )
-    stacked = F.array(
+    lines = F.array(
         *[
             F.struct(
                 F.lit(name).alias("check_name"),
@@ -33,14 +39,17 @@ def rows_where(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> Data
             for i, (name, severity, _) in enumerate(checks)
         ]
     )
-    return counts.select(F.explode(stacked).alias("r")).select("r.*")
+    return counts.select(F.explode(lines).alias("r")).select("r.*")
+
+
+def rows_where(df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Like :func:`stacked`, with a row predicate in place of an aggregate."""
+    return stacked(df, [(n, s, F.count(F.when(condition, 1))) for n, s, condition in checks])
 
 
 def total(df: DataFrame, name: str, severity: str, violations: Column) -> DataFrame:
     """A single check whose count is an aggregate over ``df``."""
-    return df.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations")).select(
-        F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), "violations"
-    )
+    return stacked(df, [(name, severity, violations)])
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from tradelane.session import materialize
 
 SLICES = 64
+# A table counted and found this small is ordered by one task instead.
+ONE_TASK_ROWS = 100_000
 
 
 def _cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[str, list]:
@@ -26,12 +29,18 @@ def _cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[str, list]
     return {c: list(row[c] or []) for c in columns}
 
 
-def _slice(col: Column, cuts: Sequence) -> Column:
-    """Number of cuts below or at the value: 0..len(cuts)."""
+def _slice(col: Column, cuts: Sequence, first: int = 0) -> Column:
+    """Number of sorted cuts at or below the value, as a balanced comparison tree.
+
+    Some six comparisons inside generated code, where a lambda over an array of
+    cuts would be interpreted for every row.
+    """
     if not cuts:
-        return F.lit(0)
-    ladder = F.array(*[F.lit(c) for c in cuts])
-    return F.size(F.filter(ladder, lambda c: c <= col))
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(col < F.lit(cuts[middle]), _slice(col, cuts[:middle], first)).otherwise(
+        _slice(col, cuts[middle + 1 :], first + middle + 1)
+    )
 
 
 def cumulate(
@@ -40,6 +49,7 @@ def cumulate(
     measure: Column,
     descending: bool = False,
     slices: int = SLICES,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Per distinct ``value``: the measure's total before it and up to it.
 
@@ -51,24 +61,32 @@ def cumulate(
         df.where(F.col(value).isNotNull()).groupBy(value).agg(F.sum(measure).alias("_m")),
         "per-value",
     )
+    direction = F.col(value).desc() if descending else F.col(value).asc()
+    whole = Window.orderBy(F.lit(1)).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    if per_value.count() <= one_task_rows:
+        run = F.sum("_m").over(Window.orderBy(direction))
+        return per_value.select(
+            value,
+            (run - F.col("_m")).alias("before"),
+            run.alias("through"),
+            F.sum("_m").over(whole).alias("grand_total"),
+        )
+
     cuts = sorted(set(_cuts(per_value, [value], slices)[value]))
     sliced = per_value.withColumn("_slice", _slice(F.col(value), cuts))
     order = F.col("_slice").desc() if descending else F.col("_slice").asc()
     # at most len(cuts) + 1 rows: one task and a broadcast are fine
     totals = sliced.groupBy("_slice").agg(F.sum("_m").alias("_slice_total"))
     upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy(F.lit(1)).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
     zero = F.lit(0).cast(per_value.schema["_m"].dataType)
     offsets = totals.select(
         "_slice",
         F.coalesce(F.sum("_slice_total").over(upto), zero).alias("_offset"),
         F.sum("_slice_total").over(whole).alias("grand_total"),
     )
-    within = Window.partitionBy("_slice").orderBy(
-        F.col(value).desc() if descending else F.col(value).asc()
-    )
+    within = Window.partitionBy("_slice").orderBy(direction)
     return (
         sliced.withColumn(
             "_run", F.sum("_m").over(within.rowsBetween(Window.unboundedPreceding, 0))
@@ -84,23 +102,62 @@ def cumulate(
 
 
 def running_total(
-    df: DataFrame, value: str, measure: str, descending: bool, out: str, total_out: str
+    df: DataFrame,
+    value: str,
+    measure: str,
+    descending: bool,
+    out: str,
+    total_out: str,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``SUM(measure) OVER (ORDER BY value)`` with peers sharing, plus the grand total."""
-    sums = cumulate(df, value, F.col(measure), descending).select(
+    sums = cumulate(
+        df, value, F.col(measure), descending, one_task_rows=one_task_rows
+    ).select(
         value, F.col("through").alias(out), F.col("grand_total").alias(total_out)
     )
     return df.join(sums, value, "left")
 
 
-def rank(df: DataFrame, value: str, out: str, descending: bool = False) -> DataFrame:
+def rank(
+    df: DataFrame,
+    value: str,
+    out: str,
+    descending: bool = False,
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> DataFrame:
     """``RANK() OVER (ORDER BY value)``: one more than the rows strictly before."""
-    places = cumulate(df, value, F.lit(1).cast("bigint"), descending).select(
+    ones = F.lit(1).cast("bigint")
+    places = cumulate(df, value, ones, descending, one_task_rows=one_task_rows).select(
         value, (F.col("before") + 1).alias(out)
     )
     return df.join(places, value, "left")
 
 
+def _hot(cuts: Sequence) -> set:
+    return {c for c in cuts if cuts.count(c) > 1}
+
+
+def _range(col: Column, key: Column, cuts: Sequence, key_cuts: Sequence, v: int, k: int) -> Column:
+    """The rows of slice ``(v, k)`` as plain comparisons."""
+    ladder = sorted(set(cuts))
+    below = v // 2  # cuts at or below the slice
+    if v % 2 == 0 and below and ladder[below - 1] in _hot(cuts):
+        inside = col == F.lit(ladder[below - 1])
+        if k > 0:
+            inside = inside & (key >= F.lit(key_cuts[k - 1]))
+        if k < len(key_cuts):
+            inside = inside & (key < F.lit(key_cuts[k]))
+        return inside
+    inside = F.lit(True)
+    if below > 0:
+        floor = F.lit(ladder[below - 1])
+        inside = col > floor if ladder[below - 1] in _hot(cuts) else col >= floor
+    if below < len(ladder):
+        inside = inside & (col < F.lit(ladder[below]))
+    return inside
+
+
 @dataclass(frozen=True)
 class Tile:
     out: str
@@ -114,23 +171,37 @@ def _after(col: Column, key: Column, cut_value, cut_key, descending: bool) -> Co
 
 
 def ntile(
-    df: DataFrame, tiles: Sequence[Tile], key: str, k: int = 5, slices: int = SLICES
+    df: DataFrame,
+    tiles: Sequence[Tile],
+    key: str,
+    k: int = 5,
+    slices: int = SLICES,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY value, key)`` for several columns at once.
 
     A tile is decided by the first row of each tile, so it is enough to find
     those k-1 rows and compare. ``key`` must be unique and numeric (it breaks
-    ties); values must not be NULL. ``df`` is read four times: pass a table,
+    ties); values must not be NULL. ``df`` is read several times: pass a table,
     not a long plan. A value held by very many rows gets a slice of its own,
     cut further by ``key``, so every slice stays near 1/``slices`` of the rows.
     """
+    if df.count() <= one_task_rows:
+        small = df
+        for t in tiles:
+            order = F.col(t.value).desc() if t.descending else F.col(t.value).asc()
+            small = small.withColumn(
+                t.out, F.ntile(k).over(Window.orderBy(order, key)).cast("bigint")
+            )
+        return small
+
     columns = list(dict.fromkeys([t.value for t in tiles] + [key]))
     cuts = _cuts(df, columns, slices)
     key_cuts = sorted(set(cuts[key]))
 
     def place(tile: Tile) -> Column:
         values = cuts[tile.value]
-        hot = sorted({v for v in values if values.count(v) > 1})
+        hot = sorted(_hot(values))
         col = F.col(tile.value)
         # a hot value h owns the slice between "cuts <= h" counted twice and not
         ladder = sorted(set(values))
@@ -172,32 +243,46 @@ def ntile(
                     wanted.append((index, r["_at"]["v"], r["_at"]["k"], start - seen, j))
             seen += r["count"]
 
-    firsts: dict[int, list] = {i: [] for i in range(len(tiles))}
+    # the rows of the slices that hold a boundary, ordered slice by slice
+    spots = {spot: n for n, spot in enumerate(sorted({w[:3] for w in wanted}))}
+    candidates = []
     for index, tile in enumerate(tiles):
-        targets = [w for w in wanted if w[0] == index]
-        if not targets:
-            continue
-        at = place(tile)
-        spots = sorted({(w[1], w[2]) for w in targets})
-        inside = F.lit(False)
-        for v, s in spots:
-            inside = inside | ((at["v"] == v) & (at["k"] == s))
+        spot = F.lit(None).cast("int")
+        for (i, v, s), number in spots.items():
+            if i == index:
+                spot = F.when(
+                    _range(F.col(tile.value), F.col(key), cuts[tile.value], key_cuts, v, s), number
+                ).otherwise(spot)
         order = F.col(tile.value).desc() if tile.descending else F.col(tile.value).asc()
-        rows = (
-            df.select(tile.value, key, at.alias("_at"))
-            .where(inside)
-            .withColumn("_rn", F.row_number().over(Window.partitionBy("_at").orderBy(order, key)))
-        )
-        hit = F.lit(False)
-        for w in targets:
-            hit = hit | (
-                (F.col("_at")["v"] == w[1]) & (F.col("_at")["k"] == w[2]) & (F.col("_rn") == w[3])
+        rn = F.row_number().over(Window.partitionBy("_spot").orderBy(order, key))
+        positions = [
+            F.struct(F.lit(spots[w[:3]]).alias("_spot"), F.lit(w[3]).alias("_rn"))
+            for w in wanted
+            if w[0] == index
+        ]
+        if not positions:
+            continue
+        candidates.append(
+            df.select(tile.value, key, spot.alias("_spot"))
+            .where(F.col("_spot").isNotNull())
+            .withColumn("_rn", rn)
+            .where(F.struct("_spot", "_rn").isin(*positions))
+            .select(
+                F.col("_spot").alias("spot"),
+                F.col("_rn").alias("rn"),
+                *[(F.col(c) if c == tile.value else F.lit(None)).alias(f"value_{c}") for c in columns],
+                F.col(key).alias("key"),
             )
-        found = {
-            (r["_at"]["v"], r["_at"]["k"], r["_rn"]): (r[tile.value], r[key])
-            for r in rows.where(hit).collect()  # at most k - 1 rows
-        }
-        firsts[index] = [(w[4], *found[(w[1], w[2], w[3])]) for w in targets]
+        )
+    found = {}
+    by_number = {number: spot for spot, number in spots.items()}
+    if candidates:
+        for row in reduce(DataFrame.union, candidates).collect():  # tiles x (k - 1) rows
+            tile = tiles[by_number[row["spot"]][0]]
+            found[row["spot"], row["rn"]] = (row[f"value_{tile.value}"], row["key"])
+    firsts: dict[int, list] = {i: [] for i in range(len(tiles))}
+    for w in wanted:
+        firsts[w[0]].append((w[4], *found[spots[w[:3]], w[3]]))
 
     result = df
     for index, tile in enumerate(tiles):

@@ -26,7 +26,7 @@ STRAIT_ATTRIBUTES = {
 
 def feed_day(raw: Column) -> Column:
     """A date given as ``yyyy-MM-dd...`` text or as epoch milliseconds."""
-    millis = F.try_to_number(raw, F.lit("9" * 18)).cast("bigint")
+    millis = raw.try_cast("bigint")
     as_text = F.try_to_date(F.substring(raw, 1, 10), "yyyy-MM-dd")
     return F.coalesce(
         as_text, F.date_add(F.lit(dt.date(1970, 1, 1)), F.floor(millis / 86_400_000).cast("int"))
