@@ -203,23 +203,18 @@ def payment_discipline(
         ).alias("overdue"),
         F.sum(F.when(F.col("issue_date") > shift(as_of, -sales_days), amount)).alias("sales"),
     )
-    named = per_customer.join(
-        t["customers"].select("customer_id", "customer_name"), "customer_id"
-    )
+    names = t["customers"].select("customer_id", "customer_name")
+    known = per_customer.join(names.select("customer_id"), "customer_id", "left_semi")
     sums = ["invoices", "paid", "late_days", "late", "open", "overdue", "sales"]
     grouped = (
-        named.groupingSets([["customer_id"], []], "customer_id")
+        known.groupingSets([["customer_id"], []], "customer_id")
         .agg(
             F.grouping("customer_id").alias("_total"),
-            F.max("customer_name").alias("_name"),
             *[F.sum(c).alias(c) for c in sums],
         )
         .where(F.col("open") > 0)
     )
-    result = grouped.select(
-        F.when(F.col("_total") == 1, ALL_CUSTOMERS_LABEL)
-        .otherwise(F.col("_name"))
-        .alias("customer"),
+    figures = grouped.select(
         "invoices",
         "paid",
         det_round(ratio(F.col("late_days"), F.col("paid")), 1).alias("avg_days_late"),
@@ -231,9 +226,17 @@ def payment_discipline(
         ),
         "_total",
         "customer_id",
-    ).orderBy(F.desc("_total"), F.desc("outstanding_usd"), "customer_id")
-    ordered = result if top is None else result.limit(top + 1)
-    return ordered.drop("_total", "customer_id")
+    )
+    rank_by = [F.desc("_total"), F.desc("outstanding_usd"), F.asc("customer_id")]
+    if top is not None:
+        figures = figures.orderBy(*rank_by).limit(top + 1)
+    label = F.when(F.col("_total") == 1, ALL_CUSTOMERS_LABEL).otherwise(F.col("customer_name"))
+    return (
+        figures.join(names, "customer_id", "left")  # names only for the rows shown
+        .orderBy(*rank_by)
+        .withColumn("customer", label)
+        .select("customer", *[c for c in figures.columns if c not in ("_total", "customer_id")])
+    )
 
 
 def customer_activity(t: Tables, as_of: dt.date) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,9 +51,8 @@ def headline_facts(
     overdue = finance.receivables_kpi(t).select(
         pct(F.col("overdue90_usd"), F.col("outstanding_usd"), 0).alias("overdue_pct")
     )
-    # four one-row results side by side
-    one = F.lit(1).alias("_one")
-    result = peak.select("*", one)
-    for part in (regions, trends, overdue):
-        result = result.join(part.select("*", one), "_one")
-    return result.drop("_one")
+    # four one-row results: stacked, then each column has a single value
+    parts = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [peak, regions, trends, overdue]
+    )
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])

@@ -111,31 +111,28 @@ def join_sliced(
     both = asks.withColumn("_ask", F.lit(1)).unionByName(
         marks.withColumn("_ask", F.lit(0)), allowMissingColumns=True
     )
-    in_slice = (
-        Window.partitionBy(*by, "_slice")
-        .orderBy("_t", "_ask")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = (
-        both.withColumn("_v", F.last("_v", ignorenulls=True).over(in_slice))
-        .where(F.col("_ask") == 1)
-        .drop("_ask")
-    )
-
-    # one row per key and slice: the slice's closing value, NULL where no mark fell in it
-    closing = both.groupBy(*by, "_slice").agg(
-        F.max_by("_v", F.when(F.col("_ask") == 0, F.col("_t"))).alias("_close")
+    order = Window.partitionBy(*by, "_slice").orderBy("_t", "_ask")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = both.withColumn("_v", F.last("_v", ignorenulls=True).over(so_far)).withColumn(
+        "_last", F.lead(F.lit(True)).over(order).isNull()
     )
+    # one row per key and slice: the value its last row leaves behind
     before = (
         Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    opening = closing.select(
-        *by, "_slice", F.last("_close", ignorenulls=True).over(before).alias("_open")
+    opening = merged.where("_last").select(
+        *by, "_slice", F.last("_v", ignorenulls=True).over(before).alias("_open")
     )
+    found = merged.where(F.col("_ask") == 1)
     resolved = (
-        found.join(opening, [*by, "_slice"], "left")
-        .withColumn("_v", F.coalesce("_v", "_open"))
-        .select(*by, F.col("_t").alias(left_time), "_v")
+        found.where(F.col("_v").isNotNull())
+        .select(*by, "_t", "_v")
+        .unionByName(
+            found.where(F.col("_v").isNull())
+            .join(opening, [*by, "_slice"])
+            .select(*by, "_t", F.col("_open").alias("_v"))
+        )
+        .withColumnRenamed("_t", left_time)
     )
     if how == "inner":
         resolved = resolved.where(F.col("_v").isNotNull())

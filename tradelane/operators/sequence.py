@@ -18,23 +18,31 @@ def with_previous(
     """``LAG(col) OVER (PARTITION BY by ORDER BY order)`` for each ``take[col] = out``.
 
     ``slice_of`` cuts a sequence into ordered pieces (for example days). Rows
-    are sorted inside a piece only; the first row of a piece gets the closing
-    row of the last piece before it. One sequence with a third of all events is
-    therefore spread over many tasks. ``order`` must be unique in a sequence.
+    are sorted inside a piece only, so one sequence with a third of all rows is
+    spread over many tasks. A piece's first row still lacks its predecessor,
+    which is the last row of an earlier piece: the first and last rows of all
+    pieces, at most two per piece, are ordered once more per sequence.
+    ``order`` must be unique in a sequence.
     """
     by = list(by)
-    sliced = df.withColumn("_slice", slice_of)
     row = F.struct(*[F.col(c) for c in take])
     inner = Window.partitionBy(*by, "_slice").orderBy(*order)
-    lagged = sliced.withColumn("_prev", F.lag(row).over(inner))
-    closing = sliced.groupBy(*by, "_slice").agg(
-        F.max_by(row, F.struct(*order)).alias("_last")
+    sliced = (
+        df.withColumn("_slice", slice_of)
+        .withColumn("_prev", F.lag(row).over(inner))
+        .withColumn("_last", F.lead(F.lit(True)).over(inner).isNull())
     )
-    opening = closing.select(
-        *by,
-        "_slice",
-        F.lag("_last").over(Window.partitionBy(*by).orderBy("_slice")).alias("_open"),
+    first = F.col("_prev").isNull()
+    across = Window.partitionBy(*by).orderBy(*order)
+    heads = (
+        sliced.where(first | F.col("_last"))
+        .withColumn("_before", F.lag(row).over(across))
+        .where(first)
+        .withColumn("_prev", F.col("_before"))
+        .drop("_before")
+    )
+    return (
+        sliced.where(~first)
+        .unionByName(heads)
+        .select(*df.columns, *[F.col("_prev")[c].alias(out) for c, out in take.items()])
     )
-    joined = lagged.join(opening, [*by, "_slice"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_open"))
-    return joined.select(*df.columns, *[prev[c].alias(out) for c, out in take.items()])

@@ -23,6 +23,8 @@ def upsert(base: DataFrame, feed: DataFrame, key: Sequence[str]) -> DataFrame:
 def latest_per_key(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     """Last write wins: the row with the highest ``version`` per key."""
     rest = [c for c in df.columns if c not in key and c != version]
+    if len(rest) == 1:  # a fixed-width value keeps the aggregation hash-based
+        return df.groupBy(*key).agg(F.max_by(rest[0], version).alias(rest[0]))
     newest = df.groupBy(*key).agg(F.max_by(F.struct(*rest), version).alias("_r"))
     return newest.select(*key, "_r.*")
 
