@@ -61,11 +61,11 @@ def expand(
         found.append(frontier)
     if goal is None:
         return reduce(DataFrame.unionByName, found)
-    *shorter, last = found
-    if max_legs == 1:
-        return last.join(goal, "dest", "left_semi")
-    ended = reduce(DataFrame.unionByName, shorter).join(goal, "dest", "left_semi")
-    return ended.unionByName(last)
+    # the last hop of a longer walk has met the goal already
+    done = found[1:][-1:] if max_legs > 1 else []
+    rest = found[: max_legs - len(done)]
+    ended = reduce(DataFrame.unionByName, rest).join(goal, "dest", "left_semi")
+    return reduce(DataFrame.unionByName, [ended, *done]).select(*frontier.columns)
 
 
 def path_text(col: Column | str = "path", sep: str = ARROW) -> Column:

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CATALOGUE = "mart string, title string, source string, path string"
+CATALOGUE = "mart string, title string, path string"
 
 
 def publish(
     spark: SparkSession, marts: dict[str, tuple[str, Callable[[], DataFrame]]], out_dir: str
 ) -> DataFrame:
-    """Write every mart whole and return ``mart, title, source, path``.
+    """Write every mart whole and return ``mart, title, path``.
 
     ``marts`` maps a name to (title, builder). Row counts are taken from the
     written files by :func:`with_counts`.
@@ -22,7 +22,7 @@ def publish(
     for name, (title, build) in marts.items():
         path = f"{out_dir}/{name}"
         build().write.mode("overwrite").parquet(path)
-        rows.append((name, title, build.__module__ + "." + build.__qualname__, path))
+        rows.append((name, title, path))
     catalogue = spark.createDataFrame(rows, CATALOGUE)
     catalogue.write.mode("overwrite").parquet(f"{out_dir}/catalogue")
     return catalogue
