@@ -52,11 +52,12 @@ def latest(df: DataFrame, column: str) -> dt.date | None:
     return df.agg(F.max(column)).first()[0]
 
 
-def day(value: dt.date | str) -> Column:
+def day(value: dt.date | str | None) -> Column:
+    """A date literal; NULL for the anchor of an empty table."""
     return F.lit(value).cast("date")
 
 
-def shift(value: dt.date | str, days: int) -> Column:
+def shift(value: dt.date | str | None, days: int) -> Column:
     if isinstance(value, str):
         value = dt.date.fromisoformat(value)
-    return F.lit(value + dt.timedelta(days=days))
+    return day(None if value is None else value + dt.timedelta(days=days))

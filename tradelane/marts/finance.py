@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelane.functions.dates import (
+    day,
     days_between,
     latest,
     quarter_label,
@@ -131,7 +132,7 @@ def bucket(days: Column, buckets: list[tuple[int | None, str]]) -> Column:
 def receivables_aging(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     """Open items in USD by days overdue at ``as_of`` (newest invoice day if not given)."""
     as_of = as_of or latest(t["invoices"], "issue_date")
-    overdue = F.datediff(F.lit(as_of), F.col("due_date"))
+    overdue = F.datediff(day(as_of), F.col("due_date"))
     usd = asof.usd(
         _open(t).withColumn("aging_bucket", bucket(overdue, AGING_BUCKETS)),
         t["fx_rates"],
@@ -166,7 +167,7 @@ def receivables_kpi(t: Tables, as_of: dt.date | None = None) -> DataFrame:
 
 def aging_dashboard(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     as_of = as_of or latest(t["invoices"], "issue_date")
-    label = bucket(F.datediff(F.lit(as_of), F.col("due_date")), DASHBOARD_BUCKETS)
+    label = bucket(F.datediff(day(as_of), F.col("due_date")), DASHBOARD_BUCKETS)
     usd = _daily_usd(t, _open(t).withColumn("bucket", label), ["bucket"])
     position = F.array_position(
         F.array(*[F.lit(name) for _, name in DASHBOARD_BUCKETS]), F.col("bucket")
@@ -251,7 +252,7 @@ def customer_activity(t: Tables, as_of: dt.date) -> DataFrame:
         default=F.lit(Decimal("1.0")),
     )
     per_customer = revenue.groupBy("customer_id").agg(
-        days_between(F.max("booked_date"), F.lit(as_of)).alias("days_since_last"),
+        days_between(F.max("booked_date"), day(as_of)).alias("days_since_last"),
         F.count("*").alias("shipment_count"),
         whole(F.sum("usd")).alias("revenue_usd"),
     )

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelane.functions.dates import latest, shift
+from tradelane.functions.dates import day, latest, shift
 from tradelane.functions.num import as_double, change_pct, det_round, pct, ratio, raw_change_pct, whole
 from tradelane.operators import paths, rank, trend
 from tradelane.schemas import PORT_RISK
@@ -97,7 +97,7 @@ def port_activity(t: Tables, as_of: dt.date | None = None) -> DataFrame:
         .select(
             "port_name",
             "region",
-            F.lit(anchor).alias("data_through"),
+            day(anchor).alias("data_through"),
             F.col("days_cur").alias("days_observed"),
             det_round(ratio(F.col("calls_cur"), F.col("days_cur")), 1).alias("ctr_calls_per_day"),
             change_pct(F.col("calls_cur"), F.col("calls_prev")).alias("ctr_calls_yoy_pct"),
