@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import day, dec, got
 from tradelane import session
+from tradelane.functions.dates import after
 from tradelane.schemas import TABLES, lookup_tables
 from tradelane.sources import feeds, merge, publish, tables
 
@@ -98,7 +99,13 @@ def test_monthly_layout_prunes(spark, table, tmp_path):
     df = fx(table, ("2025-01-31", "EUR", 1), ("2025-02-01", "EUR", 2), ("2025-02-02", "EUR", 2))
     tables.write_table(df, str(tmp_path / "fx_rates"), "rate_date")
     assert sorted(p for p in os.listdir(tmp_path / "fx_rates") if p.startswith("month")) == ["month=2025-01", "month=2025-02"]
-    assert plain(tables.read_table(spark, str(tmp_path), "fx_rates")) == plain(df)
+    back = tables.read_table(spark, str(tmp_path), "fx_rates")
+    assert plain(back) == plain(df)
+    recent = after(back, "rate_date", day("2025-02-01"))
+    assert plain(recent) == [("2025-02-02", "EUR", 2.0)]
+    assert len(recent.select("rate_date").inputFiles()) >= 1
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "PushedFilters: [IsNotNull(rate_date), GreaterThan(rate_date" in plan
 
 
 def test_publish_writes_everything_and_counts(spark, tmp_path):

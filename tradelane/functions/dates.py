@@ -61,3 +61,15 @@ def shift(value: dt.date | str | None, days: int) -> Column:
     if isinstance(value, str):
         value = dt.date.fromisoformat(value)
     return day(None if value is None else value + dt.timedelta(days=days))
+
+
+def after(df: DataFrame, column: str, bound: dt.date | None) -> DataFrame:
+    """Rows with ``column > bound``; skips whole months of a table laid out by month."""
+    rows = df.where(F.col(column) > day(bound))
+    if bound is not None and "month" in df.columns:
+        rows = rows.where(F.col("month") >= bound.strftime("%Y-%m"))
+    return rows
+
+
+def days_before(value: dt.date | None, days: int) -> dt.date | None:
+    return None if value is None else value - dt.timedelta(days=days)

@@ -7,8 +7,16 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelane.functions.dates import day, latest, shift
-from tradelane.functions.num import as_double, change_pct, det_round, pct, ratio, raw_change_pct, whole
+from tradelane.functions.dates import after, day, days_before, latest
+from tradelane.functions.num import (
+    as_double,
+    change_pct,
+    det_round,
+    pct,
+    ratio,
+    raw_change_pct,
+    whole,
+)
 from tradelane.operators import paths, rank, trend
 from tradelane.schemas import PORT_RISK
 from tradelane.session import materialize
@@ -119,11 +127,11 @@ def lane_book(t: Tables, as_of: dt.date | None = None, days: int = BOOK_DAYS) ->
     daily = t.get("lane_daily")
     if daily is None:
         as_of = as_of or latest(t["shipments"], "booked_date")
-        daily = daily_lanes(t["shipments"].where(F.col("booked_date") > shift(as_of, -days)))
+        daily = daily_lanes(after(t["shipments"], "booked_date", days_before(as_of, days)))
     else:
         as_of = as_of or latest(daily, "booked_date")
     return (
-        daily.where(F.col("booked_date") > shift(as_of, -days))
+        after(daily, "booked_date", days_before(as_of, days))
         .groupBy("origin_port", "dest_port")
         .agg(F.sum("n").alias("n"), F.sum("cbm").alias("cbm"))
     )
@@ -404,7 +412,7 @@ def weekly_tonnage(t: Tables, as_of: dt.date | None = None, days: int = 182) ->
     activity = t["port_activity_daily"]
     as_of = as_of or latest(activity, "activity_date")
     return (
-        activity.where(F.col("activity_date") > shift(as_of, -days))
+        after(activity, "activity_date", days_before(as_of, days))
         .groupBy("port_code", F.trunc("activity_date", "week").alias("week"))
         .agg(F.coalesce(F.sum(_tons()), F.lit(0)).cast("bigint").alias("tons"))
     )

@@ -17,11 +17,25 @@ SETTINGS = {
 }
 
 
-def build(app: str = "tradelane", master: str | None = None, **extra: str) -> SparkSession:
+# For clusters: start from many small shuffle partitions and let AQE merge them
+# to about 128 MB, so a partition fits in memory whatever the input size.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
+def build(
+    app: str = "tradelane", master: str | None = None, cluster: bool = False, **extra: str
+) -> SparkSession:
+    """A session with the library's settings; ``cluster`` adds those for large inputs."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **(CLUSTER_SETTINGS if cluster else {}), **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -36,7 +36,8 @@ def ingest(
     """Load ``<csv_dir>/<name>.csv`` for each name into Parquet tables.
 
     ``partition_by`` maps a table to a date column; the table is then laid out
-    by month, so a date range reads only its months.
+    by month, so a date range reads only its months
+    (see ``tradelane.functions.dates.after``).
     """
     loaded = {}
     for name in names or list(TABLES):
@@ -50,12 +51,11 @@ def write_table(df: DataFrame, path: str, by_month_of: str | None = None) -> Non
     if by_month_of is None:
         df.write.mode("overwrite").parquet(path)
         return
-    month = F.date_format(by_month_of, "yyyy-MM")
-    # rows of a month meet in a few tasks: spread each month over several files
-    # by day, so one busy month is not written by a single task
+    # rebalance brings a month's rows together for fewer, fuller files, and lets
+    # AQE split a month (or a day) that holds a large share of the rows
     (
-        df.withColumn("month", month)
-        .repartition("month", by_month_of)
+        df.withColumn("month", F.date_format(by_month_of, "yyyy-MM"))
+        .hint("rebalance", "month")
         .write.mode("overwrite")
         .partitionBy("month")
         .parquet(path)
@@ -63,7 +63,8 @@ def write_table(df: DataFrame, path: str, by_month_of: str | None = None) -> Non
 
 
 def read_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{table_dir}/{name}").drop("month")
+    """A stored table; one laid out by month keeps its ``month`` column for pruning."""
+    return spark.read.parquet(f"{table_dir}/{name}")
 
 
 def open_tables(spark: SparkSession, table_dir: str, names: Sequence[str]) -> dict[str, DataFrame]:
