@@ -227,16 +227,25 @@ class Bound:
 
     @cached_property
     def activity(self) -> DataFrame:
-        daily = self.lane_daily.groupBy(
-            F.col("booked_date").alias("activity_date"), F.col("dest_port").alias("port_code")
-        ).agg(F.sum("n").alias("n"), F.sum("cbm").alias("cbm"))
-        return daily.select(
-            "activity_date",
-            "port_code",
-            F.col("n").alias("portcalls_container"),
-            F.col("cbm").cast("bigint").alias("import_total_tons"),
-            F.col("n").alias("export_total_tons"),
+        """Arrivals per port and day; from the lane summary where that exists already."""
+        if "lane_daily" in self.__dict__:
+            arrivals, n, cbm = self.lane_daily, F.sum("n"), F.sum("cbm")
+        else:
+            arrivals, n, cbm = self.shipments(), F.count("*"), F.sum("volume_cbm")
+        daily = (
+            arrivals.groupBy(
+                F.col("booked_date").alias("activity_date"), F.col("dest_port").alias("port_code")
+            )
+            .agg(n.alias("n"), cbm.alias("cbm"))
+            .select(
+                "activity_date",
+                "port_code",
+                F.col("n").alias("portcalls_container"),
+                F.col("cbm").cast("bigint").alias("import_total_tons"),
+                F.col("n").alias("export_total_tons"),
+            )
         )
+        return materialize(daily, "activity")
 
     @cached_property
     def transits(self) -> DataFrame:
@@ -273,9 +282,13 @@ class Bound:
     @cached_property
     def routes(self) -> DataFrame:
         """The three cheapest destinations of every origin."""
+        if "lane_daily" in self.__dict__:
+            rows, days, cost = self.lane_daily, F.col("fastest"), F.col("cheapest")
+        else:
+            rows, days, cost = self.shipments(), F.datediff("ata", "atd"), F.col("freight_amount")
         lanes = (
-            self.lane_daily.groupBy("origin_port", "dest_port")
-            .agg(F.min("fastest").alias("transit_days"), F.min("cheapest").alias("cost_per_cbm"))
+            rows.groupBy("origin_port", "dest_port")
+            .agg(F.min(days).alias("transit_days"), F.min(cost).alias("cost_per_cbm"))
             .where(
                 (F.col("origin_port") != F.col("dest_port")) & F.col("transit_days").isNotNull()
             )

@@ -134,7 +134,7 @@ def m10_data_quality(b: Bound) -> DataFrame:
 
 @query
 def m11_port_activity(b: Bound) -> DataFrame:
-    return network.port_activity(b.network())
+    return network.port_activity({"ports": b.ports, "port_activity_daily": b.activity})
 
 
 @query
@@ -192,7 +192,7 @@ def d06_port_table(b: Bound) -> DataFrame:
 
 @query
 def d07_weekly_series(b: Bound) -> DataFrame:
-    return network.weekly_series(b.network())
+    return network.weekly_series({"port_activity_daily": b.activity})
 
 
 @query

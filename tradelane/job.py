@@ -54,6 +54,9 @@ def load(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
         loaded["inland_legs"] = tables.read_csv(
             spark, cfg.inland_csv, TABLES["inland_legs"].schema
         )
+    # one pass over the shipments for all exposure marts
+    tables.write_table(network.daily_lanes(loaded["shipments"]), f"{cfg.table_dir}/lane_daily")
+    loaded["lane_daily"] = tables.read_table(spark, cfg.table_dir, "lane_daily")
     return {**tables.lookup_tables(spark), **loaded}
 
 

@@ -43,13 +43,22 @@ def _slice(col: Column, cuts: Sequence, first: int = 0) -> Column:
     )
 
 
+def _direction(value: str, descending: bool) -> Column:
+    return F.col(value).desc() if descending else F.col(value).asc()
+
+
+def _whole():
+    return Window.orderBy(F.lit(1)).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+
+
 def cumulate(
     df: DataFrame,
     value: str,
     measure: Column,
     descending: bool = False,
     slices: int = SLICES,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Per distinct ``value``: the measure's total before it and up to it.
 
@@ -61,19 +70,6 @@ def cumulate(
         df.where(F.col(value).isNotNull()).groupBy(value).agg(F.sum(measure).alias("_m")),
         "per-value",
     )
-    direction = F.col(value).desc() if descending else F.col(value).asc()
-    whole = Window.orderBy(F.lit(1)).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    if per_value.count() <= one_task_rows:
-        run = F.sum("_m").over(Window.orderBy(direction))
-        return per_value.select(
-            value,
-            (run - F.col("_m")).alias("before"),
-            run.alias("through"),
-            F.sum("_m").over(whole).alias("grand_total"),
-        )
-
     cuts = sorted(set(_cuts(per_value, [value], slices)[value]))
     sliced = per_value.withColumn("_slice", _slice(F.col(value), cuts))
     order = F.col("_slice").desc() if descending else F.col("_slice").asc()
@@ -84,9 +80,9 @@ def cumulate(
     offsets = totals.select(
         "_slice",
         F.coalesce(F.sum("_slice_total").over(upto), zero).alias("_offset"),
-        F.sum("_slice_total").over(whole).alias("grand_total"),
+        F.sum("_slice_total").over(_whole()).alias("grand_total"),
     )
-    within = Window.partitionBy("_slice").orderBy(direction)
+    within = Window.partitionBy("_slice").orderBy(_direction(value, descending))
     return (
         sliced.withColumn(
             "_run", F.sum("_m").over(within.rowsBetween(Window.unboundedPreceding, 0))
@@ -110,10 +106,16 @@ def running_total(
     total_out: str,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """``SUM(measure) OVER (ORDER BY value)`` with peers sharing, plus the grand total."""
-    sums = cumulate(
-        df, value, F.col(measure), descending, one_task_rows=one_task_rows
-    ).select(
+    """``SUM(measure) OVER (ORDER BY value)`` with peers sharing, plus the grand total.
+
+    ``value`` must not be NULL. ``df`` is counted first and read again: pass a table, not a long plan.
+    """
+    if df.count() <= one_task_rows:
+        order = Window.orderBy(_direction(value, descending))
+        return df.withColumn(out, F.sum(measure).over(order)).withColumn(
+            total_out, F.sum(measure).over(_whole())
+        )
+    sums = cumulate(df, value, F.col(measure), descending).select(
         value, F.col("through").alias(out), F.col("grand_total").alias(total_out)
     )
     return df.join(sums, value, "left")
@@ -126,9 +128,14 @@ def rank(
     descending: bool = False,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """``RANK() OVER (ORDER BY value)``: one more than the rows strictly before."""
-    ones = F.lit(1).cast("bigint")
-    places = cumulate(df, value, ones, descending, one_task_rows=one_task_rows).select(
+    """``RANK() OVER (ORDER BY value)``: one more than the rows strictly before.
+
+    ``value`` must not be NULL. ``df`` is counted first and read again: pass a table, not a long plan.
+    """
+    if df.count() <= one_task_rows:
+        order = Window.orderBy(_direction(value, descending))
+        return df.withColumn(out, F.rank().over(order).cast("bigint"))
+    places = cumulate(df, value, F.lit(1).cast("bigint"), descending).select(
         value, (F.col("before") + 1).alias(out)
     )
     return df.join(places, value, "left")
@@ -189,10 +196,8 @@ def ntile(
     if df.count() <= one_task_rows:
         small = df
         for t in tiles:
-            order = F.col(t.value).desc() if t.descending else F.col(t.value).asc()
-            small = small.withColumn(
-                t.out, F.ntile(k).over(Window.orderBy(order, key)).cast("bigint")
-            )
+            order = Window.orderBy(_direction(t.value, t.descending), key)
+            small = small.withColumn(t.out, F.ntile(k).over(order).cast("bigint"))
         return small
 
     columns = list(dict.fromkeys([t.value for t in tiles] + [key]))
@@ -253,7 +258,7 @@ def ntile(
                 spot = F.when(
                     _range(F.col(tile.value), F.col(key), cuts[tile.value], key_cuts, v, s), number
                 ).otherwise(spot)
-        order = F.col(tile.value).desc() if tile.descending else F.col(tile.value).asc()
+        order = _direction(tile.value, tile.descending)
         rn = F.row_number().over(Window.partitionBy("_spot").orderBy(order, key))
         positions = [
             F.struct(F.lit(spots[w[:3]]).alias("_spot"), F.lit(w[3]).alias("_rn"))
