@@ -3,7 +3,6 @@ import os
 
 import pytest
 
-from tests.conftest import day
 from tests.test_finance import TODAY, ago
 from tradelane import job
 from tradelane.operators.quality import QualityGateError
@@ -74,8 +73,9 @@ def test_whole_run(spark, frames, table, tmp_path):
 def test_a_bad_load_fails_after_publishing(spark, frames, table, tmp_path):
     bad = frames["shipments"].union(frames["shipments"].limit(1).replace("S0", "SX").withColumn("ata", frames["shipments"].atd - 1))
     write(f"{tmp_path}/csv", {**frames, "shipments": bad.select(*frames["shipments"].columns)})
-    cfg = config(tmp_path)
+    cfg = config(tmp_path, only=("executive_kpis", "freshness"))
     with pytest.raises(QualityGateError, match="time travel"):
         job.run(spark, cfg)
     assert spark.read.parquet(f"{cfg.out_dir}/executive_kpis").count() > 0
+    assert sorted(p for p in os.listdir(cfg.out_dir)) == ["catalogue", "data_quality", "executive_kpis", "freshness"]
     assert spark.read.parquet(f"{cfg.out_dir}/freshness").first()[1] == "no cache"

@@ -28,6 +28,7 @@ class Config:
     recency_day: dt.date | None = None  # None: newest booking
     aging_day: dt.date | None = None  # None: newest invoice
     route: tuple[str, str] = ("UAODS", "CNSHA")
+    only: tuple[str, ...] | None = None  # publish these marts (and data_quality) only
 
 
 FEED_TABLES = ["port_activity_daily", "chokepoint_transits_daily"]
@@ -130,7 +131,10 @@ def run(spark: SparkSession, cfg: Config, gate: bool = True) -> DataFrame:
     looked into.
     """
     loaded = load(spark, cfg)
-    catalogue = publish.publish(spark, marts(loaded, cfg), cfg.out_dir)
+    wanted = marts(loaded, cfg)
+    if cfg.only is not None:
+        wanted = {n: m for n, m in wanted.items() if n in cfg.only or n == "data_quality"}
+    catalogue = publish.publish(spark, wanted, cfg.out_dir)
     if gate:
         checks.gate(spark.read.parquet(f"{cfg.out_dir}/data_quality"))
     return catalogue
