@@ -309,17 +309,13 @@ class Bound:
 
     @cached_property
     def requests(self) -> DataFrame:
-        """The first three nations ask for a way to every region they ship to."""
-        origins = self.ports.where(F.col("nation") <= 2).select(
-            F.col("port_code").alias("origin_port")
-        )
+        """Every nation asks for a way to every region it ships to."""
         region = self.ports.select(
             F.col("port_code").alias("dest_port"), F.col("region").alias("dest_city")
         )
         return (
             self.lane_daily.select("origin_port", "dest_port")
             .distinct()
-            .join(origins, "origin_port")
             .join(region, "dest_port")
             .select("origin_port", "dest_city")
             .distinct()

@@ -183,7 +183,6 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "req": (
         ("ship", "port"),
         """SELECT DISTINCT s.origin_port, b.region AS city FROM ship s
-           JOIN port a ON a.port_code = s.origin_port AND a.nation <= 2
            JOIN port b ON b.port_code = s.dest_port""",
     ),
     "inland": (

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradelane.session import materialize
+
 
 
 def upsert(base: DataFrame, feed: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -40,7 +42,11 @@ def override(
     start = feed.agg(F.min(day)).first()[0]
     if start is None:
         return base
-    covered = feed.select(F.col(group)).distinct().withColumn("_covered", F.lit(True))
+    # one row per group, written so that the join sees how small it is: a plain
+    # shuffle on a handful of groups would put most of the table into few tasks
+    covered = materialize(feed.select(F.col(group)).distinct(), "covered").withColumn(
+        "_covered", F.lit(True)
+    )
     kept = (
         base.join(covered, group, "left")
         .where(F.col("_covered").isNull() | (F.col(day) < F.lit(start)))
