@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +27,24 @@ CLUSTER_SETTINGS = {
 }
 
 
+# Work folder of single-machine sessions that name none (tests, bench).
+LOCAL_WORK = "/tmp/checkpoints/tradelane"
+
+
 def build(
-    app: str = "tradelane", master: str | None = None, cluster: bool = False, **extra: str
+    app: str = "tradelane",
+    master: str | None = None,
+    cluster: bool = False,
+    work_dir: str | None = None,
+    **extra: str,
 ) -> SparkSession:
-    """A session with the library's settings; ``cluster`` adds those for large inputs."""
+    """A session with the library's settings; ``cluster`` adds those for large inputs.
+
+    ``work_dir`` is the shared folder for written intermediates.
+    """
     builder = SparkSession.builder.appName(app)
+    if work_dir:
+        extra["spark.checkpoint.dir"] = work_dir
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **(CLUSTER_SETTINGS if cluster else {}), **extra}.items():
@@ -41,15 +53,18 @@ def build(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is used only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Where it is unset, a single-machine session gets ``LOCAL_WORK``; on a cluster
+    each executor would write to its own disk there, so that is an error.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradelane-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir (or session.build(work_dir=...)) to a folder all executors share")
+    spark.sparkContext.setCheckpointDir(LOCAL_WORK)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
