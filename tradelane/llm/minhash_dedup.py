@@ -282,7 +282,7 @@ def groups(docs: DataFrame, percent: int = 80, bands: int = BANDS, rows: int = R
     )
     links = materialize(verify(texts, materialize(_estimate(first, percent).distinct(), "pairs"), percent, words), "links")
     # ids repeated over several texts are one node already; classes of one id need no link
-    united = materialize(components(links, rounds=2), "components")
+    united = materialize(components(links), "components")
 
     def component(frame, column, out):
         named = united.select(F.col("node").alias(column), F.col("component").alias(out))

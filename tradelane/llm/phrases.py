@@ -14,6 +14,7 @@ from __future__ import annotations
 import numpy as np
 
 TRIGGER = 32
+PIECE = 17
 U = np.uint64
 
 
@@ -28,6 +29,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(32))
 
 
+def tag(h: np.ndarray, windows: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """A phrase's digest, with its length and its trigger's place."""
+    return mix(h + (windows * 1024 + offset).astype(np.uint64))
+
+
 class Roller:
     """Polynomial hashes modulo 2**64 of any substring, by prefix sums."""
 
@@ -81,18 +87,44 @@ class Parser:
         self.cores, self.wholes = Roller(11), Roller(29)
 
     def parse(self, data: np.ndarray):
-        """``(trigger hash, phrase hash, start, windows)`` arrays, one entry per phrase."""
+        """``(trigger hash, phrase hash, start, windows, offset of the trigger)`` per phrase."""
         if len(data) < self.window:
-            none = np.zeros(0, dtype=np.uint64)
-            return none, none, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            none, zero = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+            return none, none, zero, zero, zero
         cores = mix(self.cores.all(self.cores.prefix(data), TRIGGER))
         packed = (cores & U(0xFFFFFFFF00000000)) | np.arange(len(cores), dtype=np.uint64)
         at = (sliding_min(packed, self.window - TRIGGER + 1) & U(0xFFFFFFFF)).astype(np.int64)
         start = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
         windows = np.diff(np.concatenate([start, [len(at)]]))
         sums = self.wholes.prefix(data)
-        whole = self.wholes.of(sums, start, windows + self.window - 1) + windows.astype(np.uint64)
-        return cores[at[start]], mix(whole), start, windows
+        whole = self.wholes.of(sums, start, windows + self.window - 1)
+        offset = at[start] - start
+        return cores[at[start]], tag(whole, windows, offset), start, windows, offset
+
+    def pieces(self, data: np.ndarray, start: int, windows: int, offset: int):
+        """A phrase cut at multiples of ``PIECE`` before its trigger, as further phrases.
+
+        All windows of a piece contain the ``window - PIECE + 1`` bytes from its end
+        point on, which are its trigger.
+        """
+        trigger = start + offset
+        first, last = trigger - start, trigger - (start + windows - 1)
+        slot = np.arange(last // PIECE, first // PIECE + 1)
+        low = np.maximum(trigger - slot * PIECE - PIECE + 1, start)
+        high = np.minimum(trigger - slot * PIECE, start + windows - 1)
+        core = trigger - slot * PIECE
+        span = self.window - PIECE + 1
+        part_from = start
+        part = data[part_from : start + windows + self.window - 1 + PIECE]
+        sums, cores = self.wholes.prefix(part), self.cores.prefix(part)
+        key = self.cores.of(cores, core - part_from, span)
+        whole = self.wholes.of(sums, low - part_from, high - low + self.window)
+        return (
+            mix(key + slot.astype(np.uint64)),
+            tag(whole, high - low + 1, core - low),
+            low,
+            high - low + 1,
+        )
 
     def windows(self, data: np.ndarray, start: int, count: int) -> np.ndarray:
         """Hashes of ``count`` windows from ``start``."""

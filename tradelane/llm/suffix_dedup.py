@@ -8,7 +8,8 @@ one phrase, so
 * an occurrence of a phrase that is not its first repeats all windows of the phrase, which
   the parse alone decides, once per phrase and not per byte;
 * two different dictionary phrases can share windows only if they share their trigger.
-  For those the dictionary's suffixes are ordered to the depth of one window (as digests,
+  Those are cut finer and compared again as phrases with longer triggers; for what is
+  then still different under one trigger, the dictionary's suffixes are ordered to the depth of one window (as digests,
   since only equality at full depth counts), and among the suffixes of one class the
   parse's order names the first in the corpus.
 
@@ -91,8 +92,34 @@ def _repeated_triggers(texts: DataFrame, window: int) -> DataFrame:
     )
 
 
+def _firsts(window: int, key, phrase, doc, start, n, offset) -> pa.RecordBatch:
+    """One row per phrase of a task, its first; spans of the others are known to repeat."""
+    order = np.lexsort((start, doc, phrase, key))
+    key, phrase, doc, start, n, offset = (x[order] for x in (key, phrase, doc, start, n, offset))
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = (key[1:] != key[:-1]) | (phrase[1:] != phrase[:-1])
+    # rows of one id and place (repeated rows) are all first
+    group = np.cumsum(first) - 1
+    at = np.flatnonzero(first)
+    same = (doc == doc[at][group]) & (start == start[at][group])
+    d, s, e = _merge(doc[~same], start[~same], start[~same] + n[~same] + window - 1)
+    k, none = first.sum(), np.zeros(len(d), dtype=np.uint64)
+    return _batch(
+        key=np.concatenate([key[first], none]),
+        phrase=np.concatenate([phrase[first], none]),
+        doc=np.concatenate([doc[first], d]),
+        start=np.concatenate([start[first], s]).astype(np.int32),
+        n=np.concatenate([n[first], e - s - window + 1]).astype(np.int32),
+        offset=np.concatenate([offset[first], np.zeros(len(d), dtype=np.int64)]).astype(np.int32),
+        again=np.arange(k + len(d)) >= k,
+    )
+
+
+PHRASE = "key bigint, phrase bigint, doc bigint, start int, n int, offset int, again boolean"
+
+
 def _occurrences(texts: DataFrame, window: int, bits: np.ndarray) -> DataFrame:
-    """Phrases whose trigger may repeat; ``again`` marks spans that a task already knows to repeat."""
+    """The parse: phrases whose trigger may repeat, by document and place."""
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def make():
@@ -101,32 +128,37 @@ def _occurrences(texts: DataFrame, window: int, bits: np.ndarray) -> DataFrame:
         def step(batch):
             found = []
             for doc, text in zip(_ids(batch), _bytes(batch), strict=True):
-                key, phrase, start, n = parser.parse(text)
+                key, phrase, start, n, offset = parser.parse(text)
                 hit = in_bitmap(shared.value, key)
-                found.append((key[hit], phrase[hit], np.full(hit.sum(), doc), start[hit], n[hit]))
-            key, phrase, doc, start, n = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.lexsort((start, doc, phrase, key))
-            key, phrase, doc, start, n = (x[order] for x in (key, phrase, doc, start, n))
-            first = np.ones(len(key), dtype=bool)
-            first[1:] = (key[1:] != key[:-1]) | (phrase[1:] != phrase[:-1])
-            # rows of one id and place (repeated rows) are all first
-            group = np.cumsum(first) - 1
-            at = np.flatnonzero(first)
-            same = (doc == doc[at][group]) & (start == start[at][group])
-            d, s, e = _merge(doc[~same], start[~same], start[~same] + n[~same] + window - 1)
-            k = first.sum()
-            return _batch(
-                key=np.concatenate([key[first], np.zeros(len(d), dtype=np.uint64)]),
-                phrase=np.concatenate([phrase[first], np.zeros(len(d), dtype=np.uint64)]),
-                doc=np.concatenate([doc[first], d]),
-                start=np.concatenate([start[first], s]).astype(np.int32),
-                n=np.concatenate([n[first], e - s]).astype(np.int32),
-                again=np.arange(k + len(d)) >= k,
-            )
+                found.append((key[hit], phrase[hit], np.full(hit.sum(), doc), start[hit], n[hit], offset[hit]))
+            return _firsts(window, *(np.concatenate(x) for x in zip(*found, strict=True)))
 
         return step
 
-    return arrow_map(texts, make, "key bigint, phrase bigint, doc bigint, start int, n int, again boolean")
+    return arrow_map(texts, make, PHRASE)
+
+
+def _pieces(entries: DataFrame, window: int) -> DataFrame:
+    """Dictionary phrases cut finer, for those that share a trigger with a different phrase."""
+
+    def make():
+        parser = Parser(window)
+
+        def step(batch):
+            found = []
+            for doc, text, items in zip(_ids(batch), _bytes(batch), batch.column(2).to_pylist(), strict=True):
+                for x in items:
+                    if x["start"] + x["n"] + window - 1 > len(text):
+                        continue  # another row's text under the same id
+                    key, phrase, low, n = parser.pieces(text, x["start"], x["n"], x["offset"])
+                    found.append((key, phrase, np.full(len(key), doc), low, n, np.zeros(len(key), dtype=np.int64)))
+            if not found:
+                return None
+            return _firsts(window, *(np.concatenate(x) for x in zip(*found, strict=True)))
+
+        return step
+
+    return arrow_map(entries, make, PHRASE)
 
 
 def _suffixes(entries: DataFrame, window: int) -> DataFrame:
@@ -163,46 +195,54 @@ def _suffixes(entries: DataFrame, window: int) -> DataFrame:
     return arrow_map(entries, make, "digest bigint, doc bigint, place bigint, again boolean")
 
 
-def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc, text, spans``: for each row of ``doc, text`` (binary) its repeated intervals.
+def _resolve(phrases: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of phrases that are not the first of their kind, and the entries to look into.
 
-    Intervals may overlap; ``spans`` is null where nothing repeats.
+    A phrase has at most one row from each task, however common it is.
     """
-    occ = materialize(
-        _occurrences(docs, window, bitmap(_repeated_triggers(docs, window), "key")), "phrases"
+    order = Window.partitionBy("key", "phrase").orderBy("doc", "start")
+    ranked = phrases.where("not again").withColumn("_rank", F.rank().over(order))
+    end = (F.col("start") + F.col("n") + (window - 1)).alias("end")
+    repeated = phrases.where("again").select("doc", "start", end).unionByName(
+        ranked.where("_rank > 1").select("doc", "start", end)
     )
-    phrases = occ.where("not again").drop("again")
-    dictionary = phrases.groupBy("key", "phrase").agg(F.min(F.struct("doc", "start", "n")).alias("first"))
-    place = F.struct("doc", "start")
-    later = (
-        phrases.join(dictionary, ["key", "phrase"])
-        .where(place != F.struct("first.doc", "first.start"))
-        .select("doc", "start", (F.col("start") + F.col("n") + (window - 1)).alias("end"))
-    )
-    ambiguous = dictionary.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    dictionary = ranked.where("_rank = 1").drop("_rank", "again")
+    shared = dictionary.groupBy("key").agg(F.min("phrase").alias("_a"), F.max("phrase").alias("_b"))
     entries = (
-        dictionary.join(ambiguous, "key")
-        .select("first.doc", F.struct("key", "first.start", "first.n").alias("entry"))
+        dictionary.join(shared.where("_a != _b").select("key"), "key")
+        .select("doc", F.struct("key", "start", "n", "offset").alias("entry"))
         .groupBy("doc")
         .agg(F.collect_list("entry").alias("entries"))
     )
-    dealt = docs.repartition("doc")  # one exchange of the texts serves both joins
-    suffix = _suffixes(
-        dealt.join(entries.hint("shuffle_hash"), "doc").select("doc", "text", "entries"), window
+    return repeated, entries
+
+
+def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``doc, text, spans``: for each row of ``doc, text`` (binary) its repeated intervals.
+
+    Intervals may overlap; ``spans`` is null where nothing repeats.
+    """
+    parse = materialize(
+        _occurrences(docs, window, bitmap(_repeated_triggers(docs, window), "key")), "phrases"
     )
-    # a class has at most one row from each task, however common it is
-    order = Window.partitionBy("digest", F.shiftright("place", 32)).orderBy("doc", F.col("place"))
+    dealt = docs.repartition("doc")  # one exchange of the texts serves all three joins
+
+    def with_text(entries: DataFrame) -> DataFrame:
+        return dealt.join(entries.hint("shuffle_hash"), "doc").select("doc", "text", "entries")
+
+    coarse, entries = _resolve(parse, window)
+    fine, entries = _resolve(_pieces(with_text(entries), window), window)
+    order = Window.partitionBy("digest", F.shiftright("place", 32)).orderBy("doc", "place")
     position = F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
-    again = (
-        suffix.withColumn("_known", F.col("again").cast("int"))
+    single = (
+        _suffixes(with_text(entries), window)
         .withColumn("_rank", F.rank().over(order))
         .where("again or _rank > 1")
         .select("doc", position.alias("start"), (position + window).alias("end"))
     )
-    known = occ.where("again").select("doc", "start", (F.col("start") + F.col("n")).alias("end"))
     per_doc = (
-        known.unionByName(later)
-        .unionByName(again)
+        coarse.unionByName(fine)
+        .unionByName(single)
         .groupBy("doc")
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
