@@ -28,9 +28,10 @@ def doc_key(column: str = "doc_id") -> Column:
 
 
 def arrow_map(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Iterator | None]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with state set up once per task: ``make()`` gives the batch function."""
+    """``mapInArrow`` with state set up once per task: ``make()`` gives the batch function,
+    which returns a batch, an iterator of batches, or nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = None
@@ -38,12 +39,22 @@ def arrow_map(
             if batch.num_rows:
                 step = step or make()
                 out = step(batch)
-                if out is not None and out.num_rows:
-                    yield out
+                for part in out if isinstance(out, Iterator) else [out]:
+                    if part is not None and part.num_rows:
+                        yield part
 
     return df.mapInArrow(run, schema)
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of at most ``limit`` bytes of a binary column (one row at least)."""
+    size = np.array([len(x) if x else 0 for x in batch.column(column).to_pylist()])
+    part = (np.cumsum(size) - size) // limit
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(size)]
+    for a, b in zip(edges, edges[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 def spread(values: np.ndarray) -> np.ndarray:
     """64-bit finaliser for the bitmap, the same as ``_spread`` in SQL terms: none is needed
     for hashes, ids are multiplied into the high bits."""

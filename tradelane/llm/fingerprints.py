@@ -26,7 +26,7 @@ LANES = 7
 LOW_BITS = 56 - BIN_BITS
 LOW = (1 << LOW_BITS) - 1
 #: Rows of one slice when neighbours are looked up.
-SLICE = 4000
+SLICE = 500
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, packed: str | None = None) -> DataFrame:

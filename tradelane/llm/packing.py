@@ -14,6 +14,7 @@ are packed as often as they occur. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -32,11 +33,17 @@ VOCABULARY = "word_bpe_49k.json"
 MEMORY = 400_000
 
 
+#: A closing mark that stands alone after a Latin letter, and words of such letters.
+_MARK = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\xa0-\xb6\xb8-\xbf]))([.,])(?![^ \t\n\r])")
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
 class Words:
     """Ids of texts, word by word.
 
-    The vocabulary never joins characters across white space, so a text's ids are those
-    of its words in turn; ids are kept as little-endian 32-bit bytes.
+    The vocabulary drops white space and never joins characters across it, so a text's
+    ids are those of its words in turn; ids are kept as little-endian 32-bit bytes. It also
+    lower-cases, and parts letters from a closing mark, so ``Word,`` needs only ``word`` and ``,``.
     """
 
     def __init__(self, path: str):
@@ -48,18 +55,38 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
+    def _alone(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters only, many in one call: each is one unit of the vocabulary."""
+        out = []
+        for i in range(0, len(words), 2000):
+            part = words[i : i + 2000]
+            e = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
+            unit = np.array(e.word_ids, dtype=np.int64)
+            ids = np.array(e.ids, dtype="<u4").tobytes()
+            edge = (np.searchsorted(unit, np.arange(len(part) + 1)) * 4).tolist()
+            out += [ids[a:b] for a, b in zip(edge, edge[1:], strict=False)]
+        return out
+
     def batch(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() for t in texts]
+        split = []
+        for t in texts:
+            t = t or b""
+            # special strings are told by their case
+            split.append((t if b"<|" in t else _MARK.sub(rb" \1", t.lower())).split())
         known = self.known
         if len(known) > MEMORY:
             for w in list(known)[: MEMORY // 2]:
                 del known[w]
-        new = list(set().union(*split).difference(known))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, found, strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
+        new = set().union(*split).difference(known)
+        letters = [w for w in new if _LETTERS.fullmatch(w)]
+        known.update(zip(letters, self._letters(letters), strict=True))
+        odd = list(new.difference(known))
+        for i in range(0, len(odd), 20_000):
+            known.update(zip(odd[i : i + 20_000], self._alone(odd[i : i + 20_000]), strict=True))
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 

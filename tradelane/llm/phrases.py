@@ -101,35 +101,33 @@ class Parser:
         offset = at[start] - start
         return cores[at[start]], tag(whole, windows, offset), start, windows, offset
 
-    def pieces(self, data: np.ndarray, start: int, windows: int, offset: int):
-        """A phrase cut at multiples of ``PIECE`` before its trigger, as further phrases.
+    def pieces(self, data: np.ndarray, wanted=None):
+        """Phrases cut at multiples of ``PIECE`` before their triggers: ``(hash, phrase hash, start, windows)``.
 
-        All windows of a piece contain the ``window - PIECE + 1`` bytes from its end
-        point on, which are its trigger.
+        All windows of a piece contain the ``window - PIECE + 1`` bytes from its cut on,
+        which are its trigger. ``wanted`` chooses phrases by trigger hash.
         """
-        trigger = start + offset
-        first, last = trigger - start, trigger - (start + windows - 1)
-        slot = np.arange(last // PIECE, first // PIECE + 1)
-        low = np.maximum(trigger - slot * PIECE - PIECE + 1, start)
-        high = np.minimum(trigger - slot * PIECE, start + windows - 1)
-        core = trigger - slot * PIECE
-        span = self.window - PIECE + 1
-        part_from = start
-        part = data[part_from : start + windows + self.window - 1 + PIECE]
-        sums, cores = self.wholes.prefix(part), self.cores.prefix(part)
-        key = self.cores.of(cores, core - part_from, span)
-        whole = self.wholes.of(sums, low - part_from, high - low + self.window)
-        return (
-            mix(key + slot.astype(np.uint64)),
-            tag(whole, high - low + 1, core - low),
-            low,
-            high - low + 1,
-        )
-
-    def windows(self, data: np.ndarray, start: int, count: int) -> np.ndarray:
-        """Hashes of ``count`` windows from ``start``."""
-        part = data[start : start + count + self.window - 1]
-        return mix(self.wholes.all(self.wholes.prefix(part), self.window))
+        key, _, start, windows, offset = self.parse(data)
+        if wanted is not None and len(key):
+            hit = wanted(key)
+            start, windows, offset = start[hit], windows[hit], offset[hit]
+        if not len(start):
+            none, zero = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+            return none, none, zero, zero
+        core = start + offset - PIECE * np.arange((self.window - TRIGGER) // PIECE + 1)[:, None]
+        low = np.maximum(core - PIECE + 1, start)
+        high = np.minimum(core, start + windows - 1)
+        slot = np.broadcast_to(np.arange(len(core))[:, None], core.shape)
+        some = low <= high
+        core, low, high, slot = core[some], low[some], high[some], slot[some]
+        sums, cores = self.wholes.prefix(data), self.cores.prefix(data)
+        key = mix(self.cores.of(cores, core, self.window - PIECE + 1) + slot.astype(np.uint64))
+        whole = self.wholes.of(sums, low, high - low + self.window)
+        return key, tag(whole, high - low + 1, core - low), low, high - low + 1
+
+    def windows(self, data: np.ndarray) -> np.ndarray:
+        """Hashes of all windows."""
+        return mix(self.wholes.all(self.wholes.prefix(data), self.window))
 
 
 def union(start: np.ndarray, end: np.ndarray):

@@ -8,8 +8,8 @@ one phrase, so
 * an occurrence of a phrase that is not its first repeats all windows of the phrase, which
   the parse alone decides, once per phrase and not per byte;
 * two different dictionary phrases can share windows only if they share their trigger.
-  Those are cut finer and compared again as phrases with longer triggers; for what is
-  then still different under one trigger, the dictionary's suffixes are ordered to the depth of one window (as digests,
+  (Phrases with a repeated trigger are cut into pieces with longer triggers first, so few
+  do.) For those the dictionary's suffixes are ordered to the depth of one window (as digests,
   since only equality at full depth counts), and among the suffixes of one class the
   parse's order names the first in the corpus.
 
@@ -35,10 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelane.llm.common import arrow_map, bitmap, doc_key, in_bitmap, materialize, read
+from tradelane.llm.common import arrow_map, bitmap, by_bytes, doc_key, in_bitmap, materialize, read
 from tradelane.llm.phrases import Parser, mix, union
 
 WINDOW = 100
+#: Bytes of text that a task holds in arrays at a time.
+CHUNK = 8 << 20
 U = np.uint64
 
 
@@ -92,10 +94,10 @@ def _repeated_triggers(texts: DataFrame, window: int) -> DataFrame:
     )
 
 
-def _firsts(window: int, key, phrase, doc, start, n, offset) -> pa.RecordBatch:
+def _firsts(window: int, key, phrase, doc, start, n) -> pa.RecordBatch:
     """One row per phrase of a task, its first; spans of the others are known to repeat."""
     order = np.lexsort((start, doc, phrase, key))
-    key, phrase, doc, start, n, offset = (x[order] for x in (key, phrase, doc, start, n, offset))
+    key, phrase, doc, start, n = (x[order] for x in (key, phrase, doc, start, n))
     first = np.ones(len(key), dtype=bool)
     first[1:] = (key[1:] != key[:-1]) | (phrase[1:] != phrase[:-1])
     # rows of one id and place (repeated rows) are all first
@@ -110,55 +112,28 @@ def _firsts(window: int, key, phrase, doc, start, n, offset) -> pa.RecordBatch:
         doc=np.concatenate([doc[first], d]),
         start=np.concatenate([start[first], s]).astype(np.int32),
         n=np.concatenate([n[first], e - s - window + 1]).astype(np.int32),
-        offset=np.concatenate([offset[first], np.zeros(len(d), dtype=np.int64)]).astype(np.int32),
         again=np.arange(k + len(d)) >= k,
     )
 
 
-PHRASE = "key bigint, phrase bigint, doc bigint, start int, n int, offset int, again boolean"
-
-
-def _occurrences(texts: DataFrame, window: int, bits: np.ndarray) -> DataFrame:
-    """The parse: phrases whose trigger may repeat, by document and place."""
+def _parse(texts: DataFrame, window: int, bits: np.ndarray) -> DataFrame:
+    """The parse: pieces of phrases whose trigger may repeat, by document and place."""
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def make():
         parser = Parser(window)
 
         def step(batch):
-            found = []
-            for doc, text in zip(_ids(batch), _bytes(batch), strict=True):
-                key, phrase, start, n, offset = parser.parse(text)
-                hit = in_bitmap(shared.value, key)
-                found.append((key[hit], phrase[hit], np.full(hit.sum(), doc), start[hit], n[hit], offset[hit]))
-            return _firsts(window, *(np.concatenate(x) for x in zip(*found, strict=True)))
-
-        return step
-
-    return arrow_map(texts, make, PHRASE)
-
-
-def _pieces(entries: DataFrame, window: int) -> DataFrame:
-    """Dictionary phrases cut finer, for those that share a trigger with a different phrase."""
-
-    def make():
-        parser = Parser(window)
-
-        def step(batch):
-            found = []
-            for doc, text, items in zip(_ids(batch), _bytes(batch), batch.column(2).to_pylist(), strict=True):
-                for x in items:
-                    if x["start"] + x["n"] + window - 1 > len(text):
-                        continue  # another row's text under the same id
-                    key, phrase, low, n = parser.pieces(text, x["start"], x["n"], x["offset"])
-                    found.append((key, phrase, np.full(len(key), doc), low, n, np.zeros(len(key), dtype=np.int64)))
-            if not found:
-                return None
-            return _firsts(window, *(np.concatenate(x) for x in zip(*found, strict=True)))
+            for part in by_bytes(batch, 1, CHUNK):
+                found = []
+                for doc, text in zip(_ids(part), _bytes(part), strict=True):
+                    key, phrase, start, n = parser.pieces(text, lambda k: in_bitmap(shared.value, k))
+                    found.append((key, phrase, np.full(len(key), doc), start, n))
+                yield _firsts(window, *(np.concatenate(x) for x in zip(*found, strict=True)))
 
         return step
 
-    return arrow_map(entries, make, PHRASE)
+    return arrow_map(texts, make, "key bigint, phrase bigint, doc bigint, start int, n int, again boolean")
 
 
 def _suffixes(entries: DataFrame, window: int) -> DataFrame:
@@ -168,27 +143,31 @@ def _suffixes(entries: DataFrame, window: int) -> DataFrame:
         parser = Parser(window)
 
         def step(batch):
-            found = []
-            for doc, text, items in zip(_ids(batch), _bytes(batch), batch.column(2).to_pylist(), strict=True):
-                for x in items:
-                    if x["start"] + x["n"] + window - 1 > len(text):
+            for part in by_bytes(batch, 1, CHUNK):
+                found = []
+                for doc, text, items in zip(_ids(part), _bytes(part), part.column(2).to_pylist(), strict=True):
+                    # entries beyond the end come from another row's text under the same id
+                    items = [x for x in items if x["start"] + x["n"] + window - 1 <= len(text)]
+                    if not items:
                         continue
-                    h = parser.windows(text, x["start"], x["n"])
-                    check = U((x["key"] * 0x9E3779B97F4A7C15 >> 32) & 0x7FFFFFFF)
-                    place = np.arange(x["start"], x["start"] + x["n"], dtype=np.uint64)
-                    found.append((mix(h ^ check), np.full(len(h), doc), (check << U(32)) | place))
-            if not found:
-                return None
-            h, doc, place = (np.concatenate(x) for x in zip(*found, strict=True))
-            pos = (place & U(0xFFFFFFFF)).astype(np.int64)
-            check = place >> U(32)
-            order = np.lexsort((pos, doc, check, h))
-            h, doc, place, pos, check = (x[order] for x in (h, doc, place, pos, check))
-            first = np.ones(len(h), dtype=bool)
-            first[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
-            again = ~first
-            again[1:] &= ~((doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1]))
-            return _batch(digest=h, doc=doc, place=place, again=again)
+                    n = np.array([x["n"] for x in items])
+                    shift = np.repeat(np.array([x["start"] for x in items]) - np.cumsum(n) + n, n)
+                    place = shift + np.arange(n.sum())
+                    check = np.repeat(np.array([x["key"] for x in items], dtype=np.int64).view(np.uint64), n)
+                    check = (check * U(0x9E3779B97F4A7C15)) >> U(33)
+                    h = mix(parser.windows(text)[place] ^ check)
+                    found.append((h, np.full(len(h), doc), (check << U(32)) | place.astype(np.uint64)))
+                if not found:
+                    continue
+                h, doc, place = (np.concatenate(x) for x in zip(*found, strict=True))
+                pos, check = place & U(0xFFFFFFFF), place >> U(32)
+                order = np.lexsort((pos, doc, check, h))
+                h, doc, place, pos, check = (x[order] for x in (h, doc, place, pos, check))
+                first = np.ones(len(h), dtype=bool)
+                first[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
+                again = ~first
+                again[1:] &= ~((doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1]))
+                yield _batch(digest=h, doc=doc, place=place, again=again)
 
         return step
 
@@ -201,16 +180,18 @@ def _resolve(phrases: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     A phrase has at most one row from each task, however common it is.
     """
     order = Window.partitionBy("key", "phrase").orderBy("doc", "start")
-    ranked = phrases.where("not again").withColumn("_rank", F.rank().over(order))
+    ranked = materialize(
+        phrases.where("not again").withColumn("_later", F.rank().over(order) > 1).drop("again"), "ranked"
+    )
     end = (F.col("start") + F.col("n") + (window - 1)).alias("end")
     repeated = phrases.where("again").select("doc", "start", end).unionByName(
-        ranked.where("_rank > 1").select("doc", "start", end)
+        ranked.where("_later").select("doc", "start", end)
     )
-    dictionary = ranked.where("_rank = 1").drop("_rank", "again")
+    dictionary = ranked.where("not _later")
     shared = dictionary.groupBy("key").agg(F.min("phrase").alias("_a"), F.max("phrase").alias("_b"))
     entries = (
         dictionary.join(shared.where("_a != _b").select("key"), "key")
-        .select("doc", F.struct("key", "start", "n", "offset").alias("entry"))
+        .select("doc", F.struct("key", "start", "n").alias("entry"))
         .groupBy("doc")
         .agg(F.collect_list("entry").alias("entries"))
     )
@@ -222,27 +203,20 @@ def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Intervals may overlap; ``spans`` is null where nothing repeats.
     """
-    parse = materialize(
-        _occurrences(docs, window, bitmap(_repeated_triggers(docs, window), "key")), "phrases"
-    )
-    dealt = docs.repartition("doc")  # one exchange of the texts serves all three joins
-
-    def with_text(entries: DataFrame) -> DataFrame:
-        return dealt.join(entries.hint("shuffle_hash"), "doc").select("doc", "text", "entries")
-
-    coarse, entries = _resolve(parse, window)
-    fine, entries = _resolve(_pieces(with_text(entries), window), window)
+    bits = bitmap(_repeated_triggers(docs, window), "key")
+    coarse, entries = _resolve(materialize(_parse(docs, window, bits), "phrases"), window)
+    dealt = docs.repartition("doc")  # one exchange of the texts serves both joins
+    with_entries = dealt.join(entries.hint("shuffle_hash"), "doc").select("doc", "text", "entries")
     order = Window.partitionBy("digest", F.shiftright("place", 32)).orderBy("doc", "place")
     position = F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
     single = (
-        _suffixes(with_text(entries), window)
+        _suffixes(with_entries, window)
         .withColumn("_rank", F.rank().over(order))
         .where("again or _rank > 1")
         .select("doc", position.alias("start"), (position + window).alias("end"))
     )
     per_doc = (
-        coarse.unionByName(fine)
-        .unionByName(single)
+        coarse.unionByName(single)
         .groupBy("doc")
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
