@@ -10,9 +10,10 @@ put into band buckets. A bucket's smallest id, its hub, is compared with the oth
 one candidate per member and bucket, however large the bucket. Linked classes are united.
 Buckets whose members are then still in more than one component are compared on, in blocks
 of bounded size dealt over the tasks: members outside the hub's component against all members of
-another component. So a bucket of copies costs its length, and no link that would join two
-components is left out. Candidates first pass a bound on set sizes and the signatures'
-estimate (six standard deviations below the threshold), then the exact test on full sets.
+another component, all pairs of a block in one exact matrix product. So a bucket of copies costs
+its length, and no link that would join two components is left out. Candidates with a hub first
+pass a bound on set sizes and the signatures' estimate (six standard deviations below the
+threshold), then the exact test on full sets.
 
 With 32 bands of 6 a pair at similarity 0.85 shares a bucket with probability 1 - 3e-7
 (0.80: 1 - 6e-5).
@@ -148,11 +149,9 @@ def least_agreement(size: int, percent: int) -> float:
     return size * t - 6 * (size * t * (1 - t)) ** 0.5
 
 
-def verify(texts: DataFrame, pairs: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
-    """The pairs ``a, b`` with ``100 * intersection >= percent * union`` on their full sets."""
-    spark = texts.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    shared = spark.sparkContext.broadcast(bitmap(ids, "doc"))
+def full_sets(texts: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
+    """``doc, set``: the sorted shingle hashes of the documents in ``ids`` (``doc``)."""
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap(ids, "doc"))
 
     def make():
         shingle = Shingler(words)
@@ -165,7 +164,13 @@ def verify(texts: DataFrame, pairs: DataFrame, percent: int, words: int = WORDS)
 
         return step
 
-    sets = arrow_map(texts, make, "doc bigint, set binary").join(ids, "doc", "left_semi")
+    return arrow_map(texts, make, "doc bigint, set binary").join(ids, "doc", "left_semi")
+
+
+def verify(texts: DataFrame, pairs: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
+    """The pairs ``a, b`` with ``100 * intersection >= percent * union`` on their full sets."""
+    ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
+    sets = full_sets(texts, ids, words)
 
     def make_test():
         def step(batch):
@@ -217,42 +222,80 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     return least.unionByName(roots.withColumn("component", F.col("node")))
 
 
-def _across(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Candidates between components of one bucket: ``key, id, n, component, home`` in.
+def shared_counts(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all pairwise intersections: a product of 0/1 matrices, in strips of ``width`` hashes."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = n[column] > 1  # hashes of one set alone are in no intersection
+    owner, column = owner[several], (np.cumsum(n > 1) - 1)[column[several]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    edges = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + width, width))
+    for k, (a, b) in enumerate(zip(edges, [*edges[1:], len(column)], strict=True)):
+        if a < b:
+            strip = np.zeros((len(sets), width), dtype=np.float32)
+            strip[owner[a:b], column[a:b] - k * width] = 1
+            out += strip @ strip.T
+    return out.astype(np.int64)
+
+
+def _across(members: DataFrame, sets, percent: int) -> DataFrame:
+    """Links between components of one bucket: ``key, id, n, component, home`` in.
 
     ``home`` is the component of the bucket's hub. Members outside it are dealt into blocks
-    of about ``BLOCK``, and each block meets each block of all members.
+    of about ``BLOCK``, and each block meets each block of all members. Buckets with the same
+    members are looked at once. ``sets`` gives the full sets of a frame of ids; the test is
+    exact, and of a block's links those that join its components are returned.
     """
     size = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("all"), F.sum((F.col("component") != F.col("home")).cast("int")).alias("strays")
+        F.count(F.lit(1)).alias("all"),
+        F.sum((F.col("component") != F.col("home")).cast("int")).alias("strays"),
+        F.bit_xor(F.xxhash64("id")).alias("who"),
     )
-    rows = members.join(size.where("strays > 0"), "key").join(signatures, "id")
+    chosen = size.where("strays > 0").groupBy("who", "all", "strays").agg(F.min("key").alias("key"))
+    rows = materialize(members.join(chosen, "key"), "mixed")
+    rows = rows.join(sets(rows.select(F.col("id").alias("doc")).distinct()).withColumnRenamed("doc", "id"), "id")
     blocks_all = F.ceil(F.col("all") / BLOCK).cast("int")
     blocks_stray = F.ceil(F.col("strays") / BLOCK).cast("int")
     slot = F.xxhash64("id", "key")
-    keep = ["key", "id", "n", "component", "signature"]
-    left = rows.where("component != home").select(
-        *keep, F.pmod(slot, blocks_stray).alias("i"), F.explode(F.sequence(F.lit(0), blocks_all - 1)).alias("j"), F.lit(True).alias("stray")
-    )
-    right = rows.select(
-        *keep, F.explode(F.sequence(F.lit(0), blocks_stray - 1)).alias("i"), F.pmod(slot, blocks_all).alias("j"), F.lit(False).alias("stray")
-    ).select(left.columns)
+    keep = ["key", "id", "n", "component", "set"]
+    stray = F.col("component") != F.col("home")
+    i, j = F.pmod(slot, blocks_stray), F.pmod(slot, blocks_all)
+    # a row goes to the blocks it sits in: as a stray against all, and as one of all against each block of strays
+    as_one = F.transform(F.sequence(F.lit(0), blocks_stray - 1), lambda x: F.struct(x.cast("bigint").alias("i"), j.cast("bigint").alias("j"), (stray & (x == i)).alias("stray"), F.lit(True).alias("one")))
+    as_stray = F.when(
+        stray,
+        F.transform(
+            F.filter(F.sequence(F.lit(0), blocks_all - 1), lambda x: x != j),
+            lambda x: F.struct(i.cast("bigint").alias("i"), x.cast("bigint").alias("j"), F.lit(True).alias("stray"), F.lit(False).alias("one")),
+        ),
+    ).otherwise(F.array().cast("array<struct<i:bigint,j:bigint,stray:boolean,one:boolean>>"))
+    dealt = rows.select(*keep, F.explode(F.concat(as_one, as_stray)).alias("at")).select(*keep, "at.*")
 
     def compare(table: pa.Table) -> pa.Table:
-        stray = table.column("stray").to_numpy()
+        stray, one = (table.column(c).to_numpy() for c in ("stray", "one"))
         ids, n, comp = (table.column(c).to_numpy() for c in ("id", "n", "component"))
-        sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
-        least = least_agreement(sig.shape[1], percent)
-        other = np.flatnonzero(~stray)
+        both = shared_counts([np.frombuffer(x, dtype=np.uint64) for x in table.column("set").to_pylist()])
+        fits = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        x, y = np.nonzero(fits & (comp[:, None] != comp[None, :]) & stray[:, None] & one[None, :])
+        parent: dict[int, int] = {}
+
+        def root(c):
+            while parent.get(c, c) != c:
+                c = parent[c]
+            return c
+
         a, b = [], []
-        for s in np.flatnonzero(stray):
-            near = other[(comp[other] != comp[s]) & (np.minimum(n[other], n[s]) * 100 >= np.maximum(n[other], n[s]) * percent)]
-            near = near[(sig[near] == sig[s]).sum(axis=1) >= least]
-            a.append(np.minimum(ids[near], ids[s]))
-            b.append(np.maximum(ids[near], ids[s]))
-        return pa.table({"a": np.concatenate(a) if a else ids[:0], "b": np.concatenate(b) if b else ids[:0]})
+        for p, q in zip(x.tolist(), y.tolist(), strict=True):
+            s, t = root(comp[p]), root(comp[q])
+            if s != t:
+                parent[max(s, t)] = min(s, t)
+                a.append(min(ids[p], ids[q]))
+                b.append(max(ids[p], ids[q]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return left.unionByName(right).groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def groups(docs: DataFrame, percent: int = 80, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
@@ -289,8 +332,7 @@ def groups(docs: DataFrame, percent: int = 80, bands: int = BANDS, rows: int = R
         return frame.join(named, column, "left").withColumn(out, F.coalesce(out, column))
 
     placed = component(component(members, "id", "component"), "hub", "home").select("key", "id", "n", "component", "home")
-    more = materialize(_across(placed, signatures, percent), "pairs")
-    extra = materialize(verify(texts, more, percent, words), "links")
+    extra = materialize(_across(placed, lambda ids: full_sets(texts, ids, words), percent), "links")
     united = materialize(components(links.unionByName(extra)), "components")
     labelled = component(classes, "id", "component").select("h1", "h2", "n", "component")
     named = plain.where("n > 0").join(labelled, ["h1", "h2", "n"]).select("doc", "n", "component")

@@ -180,14 +180,12 @@ def _resolve(phrases: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     A phrase has at most one row from each task, however common it is.
     """
     order = Window.partitionBy("key", "phrase").orderBy("doc", "start")
-    ranked = materialize(
-        phrases.where("not again").withColumn("_later", F.rank().over(order) > 1).drop("again"), "ranked"
-    )
+    # spans that are known already ride along, spread by their place
+    spread = phrases.withColumn("key", F.when(F.col("again"), F.xxhash64("doc", "start")).otherwise(F.col("key")))
+    ranked = materialize(spread.withColumn("_later", F.rank().over(order) > 1), "ranked")
     end = (F.col("start") + F.col("n") + (window - 1)).alias("end")
-    repeated = phrases.where("again").select("doc", "start", end).unionByName(
-        ranked.where("_later").select("doc", "start", end)
-    )
-    dictionary = ranked.where("not _later")
+    repeated = ranked.where("again or _later").select("doc", "start", end)
+    dictionary = ranked.where("not again and not _later")
     shared = dictionary.groupBy("key").agg(F.min("phrase").alias("_a"), F.max("phrase").alias("_b"))
     entries = (
         dictionary.join(shared.where("_a != _b").select("key"), "key")
@@ -204,7 +202,7 @@ def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Intervals may overlap; ``spans`` is null where nothing repeats.
     """
     bits = bitmap(_repeated_triggers(docs, window), "key")
-    coarse, entries = _resolve(materialize(_parse(docs, window, bits), "phrases"), window)
+    coarse, entries = _resolve(_parse(docs, window, bits), window)
     dealt = docs.repartition("doc")  # one exchange of the texts serves both joins
     with_entries = dealt.join(entries.hint("shuffle_hash"), "doc").select("doc", "text", "entries")
     order = Window.partitionBy("digest", F.shiftright("place", 32)).orderBy("doc", "place")
