@@ -3,9 +3,10 @@ r"""WARC archives: segmented, chunked, deduplicated writing and exact reassembly
 Writing: pages with equal payloads of at least ``MIN_REVISIT`` bytes share the response of
 the smallest page id, the others are revisit records with its record id. A response's block is
 an HTTP head and the payload in chunked transfer framing. Blocks longer than ``SEGMENT``
-bytes are split into continuation records, and the segments are dealt over archives of about
-``ARCHIVE`` bytes, so one huge page does not make one huge file. Records are written with
-``\r\n\r\n`` between them, as the format asks, by Spark's text writer (raw bytes).
+bytes are split into continuation records. Each task writes one gzip archive of the rows it
+reads, so archives are as large as input splits; ``\r\n\r\n`` comes between records, as the
+format asks, from Spark's text writer (raw bytes). Only pages whose payload may occur again are
+shuffled.
 
 Reading: archives are parsed by their length headers. Whole records are decoded in place;
 segments are grouped by origin id, put in order of their number, checked against the total
@@ -17,6 +18,7 @@ row repeats. Null page ids come after all others.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 
@@ -24,13 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelane.llm.common import arrow_map, read
+from tradelane.llm.common import arrow_map, bitmap, in_bitmap, read
 from tradelane.session import new_path
 
 MIN_REVISIT = 100
 SEGMENT = 4096
 CHUNK = 1000
-ARCHIVE = 8 << 20
 NONE = 2**63 - 1
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
@@ -123,10 +124,32 @@ def write(pages: DataFrame, path: str) -> None:
         F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary")).alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload"))
     firsts = (
-        rows.where(F.col("size") >= MIN_REVISIT).groupBy("digest").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+        rows.where(F.col("size") >= MIN_REVISIT)
+        .groupBy("digest")
+        .agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("c"))
+        .where("c > 1")
+        .select("digest", "first")
     )
-    plan = rows.join(firsts.select("digest", "first"), "digest", "left").select(
-        "page", "url", "payload", "first", F.monotonically_increasing_id().alias("row")
+    # payloads that occur once are written where they are read; a fixed-size bitmap tells most of them
+    plan = rows.select("page", "url", "payload", F.xxhash64("digest").alias("mark"), F.monotonically_increasing_id().alias("row"))
+    shared = pages.sparkSession.sparkContext.broadcast(bitmap(firsts.select(F.xxhash64("digest").alias("mark")), "mark"))
+
+    def several(wanted: bool):
+        def make():
+            def step(batch):
+                hit = in_bitmap(shared.value, batch.column(3).to_numpy(zero_copy_only=False))
+                return batch.filter(pa.array(hit == wanted))
+
+            return step
+
+        return arrow_map(plan, make, "page bigint, url string, payload binary, mark bigint, row bigint")
+
+    plan = (
+        several(True)
+        .withColumn("digest", F.sha2("payload", 256))
+        .join(firsts, "digest", "left")
+        .select("page", "url", "payload", "first", "row")
+        .unionByName(several(False).select("page", "url", "payload", F.lit(None).cast("bigint").alias("first"), "row"))
     )
 
     def make():
@@ -148,12 +171,10 @@ def write(pages: DataFrame, path: str) -> None:
         return step
 
     made = arrow_map(plan, make, "record binary")
-    total = rows.agg(F.sum(F.col("size") + 600)).first()[0] or 0
-    files = max(1, -(-total // ARCHIVE))
     (
-        made.repartition(files, F.xxhash64("record"))
-        .select(F.col("record").cast("string").alias("value"))
+        made.select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", "\r\n\r\n")
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -171,9 +192,9 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
     def parse(batches):
         for batch in batches:
-            for data in batch.column(0):
+            for packed in batch.column(0):
                 out = []
-                for h, block in records(data.as_py()):
+                for h, block in records(gzip.decompress(packed.as_py())):
                     kind, number = h["WARC-Type"], h.get("WARC-Segment-Number")
                     page = int(h["X-Page-ID"]) if "X-Page-ID" in h else None
                     digest = h.get("WARC-Payload-Digest", "").removeprefix("sha256:")
