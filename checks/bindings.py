@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,7 +18,6 @@ from tradelane.functions.num import money
 from tradelane.marts.network import daily_lanes
 from tradelane.session import materialize
 
-RATE_DAYS = [1, 8, 15, 22]
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -175,11 +174,16 @@ class Bound:
 
     @cached_property
     def fx(self) -> DataFrame:
-        """Sparse fixings; a small table, written once like any stored rate table."""
-        day = F.to_date("o_orderdate")
+        """Sparse fixings; a small table, written once like any stored rate table.
+
+        Every order counts, on the last of the days 1, 8, 15 and 22 at or before its own.
+        """
+        date = F.to_date("o_orderdate")
+        number = F.dayofmonth(date)
+        back = (F.least(number, F.lit(28)) - 1) % 7 + F.greatest(number - 28, F.lit(0))
+        day = F.date_sub(date, back)
         rates = (
             self.raw("orders")
-            .where(F.dayofmonth(day).isin(RATE_DAYS))
             .groupBy(day.alias("rate_date"), F.col("o_orderpriority").alias("currency"))
             .agg(F.min("o_orderkey").alias("k"))
             .select(
@@ -293,17 +297,12 @@ class Bound:
                 (F.col("origin_port") != F.col("dest_port")) & F.col("transit_days").isNotNull()
             )
         )
-        cheapest = Window.partitionBy("origin_port").orderBy("cost_per_cbm", "dest_port")
-        edges = (
-            lanes.withColumn("_rn", F.row_number().over(cheapest))
-            .where(F.col("_rn") <= 3)
-            .select(
-                "origin_port",
-                "dest_port",
-                F.when(F.col("transit_days") % 2 == 0, "sea").otherwise("rail").alias("mode"),
-                F.col("transit_days").cast("bigint").alias("transit_days"),
-                "cost_per_cbm",
-            )
+        edges = lanes.select(
+            "origin_port",
+            "dest_port",
+            F.when(F.col("transit_days") % 2 == 0, "sea").otherwise("rail").alias("mode"),
+            F.col("transit_days").cast("bigint").alias("transit_days"),
+            "cost_per_cbm",
         )
         return materialize(edges, "routes")
 

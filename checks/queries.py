@@ -538,7 +538,7 @@ def p61_previous_event(b: Bound) -> DataFrame:
 def p62_running_share(b: Bound) -> DataFrame:
     df = b.invoices.select("invoice_id", "amount")
     shares = rank.running_total(
-        df, "amount", "amount", True, "run", "all", one_task_rows=0
+        df, "amount", "amount", True, "run", "all"
     )
     return shares.select(
         "invoice_id",
@@ -575,7 +575,7 @@ def p67_ntile(b: Bound) -> DataFrame:
         rank.Tile("by_customer", "customer", descending=True),
         rank.Tile("by_hot_value", "hot"),
     ]
-    return rank.ntile(df, tiles, "order_id", one_task_rows=0).select(
+    return rank.ntile(df, tiles, "order_id").select(
         "order_id", "by_amount", "by_customer", "by_hot_value"
     )
 
@@ -585,8 +585,8 @@ def p68_rank(b: Bound) -> DataFrame:
     df = b.raw("lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"), "l_quantity"
     )
-    up = rank.rank(df, "l_quantity", "up", one_task_rows=0)
-    ranked = rank.rank(up, "l_quantity", "down", descending=True, one_task_rows=0)
+    up = rank.rank(df, "l_quantity", "up")
+    ranked = rank.rank(up, "l_quantity", "down", descending=True)
     return ranked.select("order_id", "line", "up", "down")
 
 

@@ -10,7 +10,7 @@ from tradelane.operators import rank
 
 def frame(spark, values):
     return spark.createDataFrame(
-        [(i, v, v * 7 % 11) for i, v in enumerate(values)], "id int, v int, w int"
+        [(i, v, (v or 3) * 7 % 11) for i, v in enumerate(values)], "id int, v int, w int"
     )
 
 
@@ -21,14 +21,15 @@ CASES = {
     "third in one value": [0 if i % 3 == 0 else rng.randrange(-50, 50) for i in range(601)],
     "two hot values": [rng.choice([1, 1, 9, 9, i]) for i in range(400)],
     "fewer than tiles": [3, 1, 2],
+    "nulls": [None if i % 4 == 0 else i % 9 for i in range(203)],
+    "nulls only": [None] * 23,
     "one row": [4],
     "none": [],
 }
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_ntile_equals_one_big_window(spark, case, limit):
+def test_ntile_equals_one_big_window(spark, case):
     df = frame(spark, CASES[case])
     tiles = [rank.Tile("up", "v"), rank.Tile("down", "v", True), rank.Tile("other", "w")]
     want = df.select(
@@ -37,7 +38,7 @@ def test_ntile_equals_one_big_window(spark, case, limit):
         F.ntile(5).over(Window.orderBy(F.desc("v"), "id")).alias("down"),
         F.ntile(5).over(Window.orderBy("w", "id")).alias("other"),
     )
-    out = rank.ntile(df, tiles, "id", 5, slices=8, one_task_rows=limit)
+    out = rank.ntile(df, tiles, "id", 5, slices=8)
     assert sorted(got(out, "id", "up", "down", "other")) == sorted(got(want))
 
 
@@ -47,15 +48,16 @@ def test_running_total_and_rank(spark, case, descending):
     df = frame(spark, CASES[case])
     w = Window.orderBy(F.desc("v") if descending else F.asc("v"))
     want = df.select("id", F.sum("w").over(w).alias("run"), F.rank().over(w).alias("rk"))
-    for limit in (0, 10**6):
-        out = rank.running_total(df, "v", "w", descending, "run", "all", limit)
-        out = rank.rank(out, "v", "rk", descending, limit)
+    for slices in (None, 7):
+        out = rank.running_total(df, "v", "w", descending, "run", "all", slices)
+        out = rank.rank(out, "v", "rk", descending, slices)
+        assert out.columns == ["id", "v", "w", "run", "all", "rk"]
         assert sorted(got(out, "id", "run", "rk")) == sorted(got(want))
         assert {r[0] for r in got(out, "all")} == {sum(r[0] for r in got(df, "w"))}
 
 
 def test_no_task_orders_the_whole_table(spark):
     df = frame(spark, CASES["spread"])
-    out = rank.ntile(df, [rank.Tile("up", "v")], "id", one_task_rows=0)
+    out = rank.ntile(df, [rank.Tile("up", "v")], "id")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Exchange" not in plan

@@ -33,7 +33,7 @@ def headline_facts(
     regions = finance.revenue_by_region(
         {**t, "shipments": t["shipments"] if consignments is None else consignments}
     ).agg(
-        F.max_by("region", "revenue_usd").alias("top_region"),
+        F.max_by("region", F.struct("revenue_usd", "region")).alias("top_region"),
         pct(F.max("revenue_usd"), F.sum("revenue_usd"), 0).alias("top_region_pct"),
     )
     ports = network.port_table(t, as_of, book_as_of)

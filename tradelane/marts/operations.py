@@ -231,7 +231,7 @@ def robust_anomalies(
     t: Tables,
     z_threshold: float = 3.5,
     min_shipments: int = 30,
-    top: int | None = 20,
+    top: int | None = None,
 ) -> DataFrame:
     """Median/MAD score beside the classic one, worst first."""
     delivered = _delivered(t).where(F.col("actual_days").isNotNull())

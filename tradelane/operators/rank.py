@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from tradelane.session import materialize
 
 SLICES = 64
-# A table counted and found this small is ordered by one task instead.
-ONE_TASK_ROWS = 100_000
+# Beyond SLICES times this many rows there are more slices, so that a slice stays near it.
+SLICE_ROWS = 1_000_000
 
 
 def _cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[str, list]:
@@ -30,16 +30,20 @@ def _cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[str, list]
 
 
 def _slice(col: Column, cuts: Sequence, first: int = 0) -> Column:
-    """Number of sorted cuts at or below the value, as a balanced comparison tree.
+    """Number of sorted cuts at or below the value, as a balanced comparison tree; -1 for NULL.
 
     Some six comparisons inside generated code, where a lambda over an array of
     cuts would be interpreted for every row.
     """
+    return F.when(col.isNull(), -1).otherwise(_tree(col, cuts, first))
+
+
+def _tree(col: Column, cuts: Sequence, first: int) -> Column:
     if not cuts:
         return F.lit(first)
     middle = len(cuts) // 2
-    return F.when(col < F.lit(cuts[middle]), _slice(col, cuts[:middle], first)).otherwise(
-        _slice(col, cuts[middle + 1 :], first + middle + 1)
+    return F.when(col < F.lit(cuts[middle]), _tree(col, cuts[:middle], first)).otherwise(
+        _tree(col, cuts[middle + 1 :], first + middle + 1)
     )
 
 
@@ -53,24 +57,28 @@ def _whole():
     )
 
 
+def _slices(rows: int, slices: int | None) -> int:
+    return slices or max(SLICES, -(-rows // SLICE_ROWS))
+
+
 def cumulate(
     df: DataFrame,
     value: str,
     measure: Column,
     descending: bool = False,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Per distinct ``value``: the measure's total before it and up to it.
 
     Returns ``value, before, through, grand_total``. Equal values share one
     total, like a RANGE frame. Rows are first added up per value, so a value
-    held by very many rows is one row from there on.
+    held by very many rows is one row from there on. NULL is the smallest value.
     """
     per_value = materialize(
-        df.where(F.col(value).isNotNull()).groupBy(value).agg(F.sum(measure).alias("_m")),
+        df.groupBy(value).agg(F.sum(measure).alias("_m")),
         "per-value",
     )
-    cuts = sorted(set(_cuts(per_value, [value], slices)[value]))
+    cuts = sorted(set(_cuts(per_value, [value], _slices(per_value.count(), slices))[value]))
     sliced = per_value.withColumn("_slice", _slice(F.col(value), cuts))
     order = F.col("_slice").desc() if descending else F.col("_slice").asc()
     # at most len(cuts) + 1 rows: one task and a broadcast are fine
@@ -97,6 +105,12 @@ def cumulate(
     )
 
 
+def _joined(df: DataFrame, value: str, sums: DataFrame, out: Sequence[str]) -> DataFrame:
+    """``df`` with the columns ``out`` of its value's row, NULL included; columns in order."""
+    named = sums.withColumnRenamed(value, "_value")
+    return df.join(named, F.col(value).eqNullSafe(F.col("_value")), "left").select(*df.columns, *out)
+
+
 def running_total(
     df: DataFrame,
     value: str,
@@ -104,41 +118,29 @@ def running_total(
     descending: bool,
     out: str,
     total_out: str,
-    one_task_rows: int = ONE_TASK_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """``SUM(measure) OVER (ORDER BY value)`` with peers sharing, plus the grand total.
 
-    ``value`` must not be NULL. ``df`` is counted first and read again: pass a table, not a long plan.
+    NULL sorts first, last when descending. ``df`` is read twice: pass a table, not a long plan.
     """
-    if df.count() <= one_task_rows:
-        order = Window.orderBy(_direction(value, descending))
-        return df.withColumn(out, F.sum(measure).over(order)).withColumn(
-            total_out, F.sum(measure).over(_whole())
-        )
-    sums = cumulate(df, value, F.col(measure), descending).select(
+    sums = cumulate(df, value, F.col(measure), descending, slices).select(
         value, F.col("through").alias(out), F.col("grand_total").alias(total_out)
     )
-    return df.join(sums, value, "left")
+    return _joined(df, value, sums, [out, total_out])
 
 
 def rank(
-    df: DataFrame,
-    value: str,
-    out: str,
-    descending: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
+    df: DataFrame, value: str, out: str, descending: bool = False, slices: int | None = None
 ) -> DataFrame:
     """``RANK() OVER (ORDER BY value)``: one more than the rows strictly before.
 
-    ``value`` must not be NULL. ``df`` is counted first and read again: pass a table, not a long plan.
+    NULL sorts first, last when descending. ``df`` is read twice: pass a table, not a long plan.
     """
-    if df.count() <= one_task_rows:
-        order = Window.orderBy(_direction(value, descending))
-        return df.withColumn(out, F.rank().over(order).cast("bigint"))
-    places = cumulate(df, value, F.lit(1).cast("bigint"), descending).select(
+    places = cumulate(df, value, F.lit(1).cast("bigint"), descending, slices).select(
         value, (F.col("before") + 1).alias(out)
     )
-    return df.join(places, value, "left")
+    return _joined(df, value, places, [out])
 
 
 def _hot(cuts: Sequence) -> set:
@@ -148,6 +150,13 @@ def _hot(cuts: Sequence) -> set:
 def _range(col: Column, key: Column, cuts: Sequence, key_cuts: Sequence, v: int, k: int) -> Column:
     """The rows of slice ``(v, k)`` as plain comparisons."""
     ladder = sorted(set(cuts))
+    if v < 0:  # NULL
+        inside = col.isNull()
+        if k > 0:
+            inside = inside & (key >= F.lit(key_cuts[k - 1]))
+        if k < len(key_cuts):
+            inside = inside & (key < F.lit(key_cuts[k]))
+        return inside
     below = v // 2  # cuts at or below the slice
     if v % 2 == 0 and below and ladder[below - 1] in _hot(cuts):
         inside = col == F.lit(ladder[below - 1])
@@ -173,8 +182,12 @@ class Tile:
 
 
 def _after(col: Column, key: Column, cut_value, cut_key, descending: bool) -> Column:
+    if cut_value is None:
+        same = col.isNull() & (key >= F.lit(cut_key))
+        return same if descending else col.isNotNull() | same
     beyond = col < F.lit(cut_value) if descending else col > F.lit(cut_value)
-    return beyond | ((col == F.lit(cut_value)) & (key >= F.lit(cut_key)))
+    after = beyond | ((col == F.lit(cut_value)) & (key >= F.lit(cut_key)))
+    return F.coalesce(after, F.lit(descending))
 
 
 def ntile(
@@ -182,26 +195,18 @@ def ntile(
     tiles: Sequence[Tile],
     key: str,
     k: int = 5,
-    slices: int = SLICES,
-    one_task_rows: int = ONE_TASK_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY value, key)`` for several columns at once.
 
     A tile is decided by the first row of each tile, so it is enough to find
     those k-1 rows and compare. ``key`` must be unique and numeric (it breaks
-    ties); values must not be NULL. ``df`` is read several times: pass a table,
+    ties); NULL sorts first, last when descending. ``df`` is read several times: pass a table,
     not a long plan. A value held by very many rows gets a slice of its own,
     cut further by ``key``, so every slice stays near 1/``slices`` of the rows.
     """
-    if df.count() <= one_task_rows:
-        small = df
-        for t in tiles:
-            order = Window.orderBy(_direction(t.value, t.descending), key)
-            small = small.withColumn(t.out, F.ntile(k).over(order).cast("bigint"))
-        return small
-
     columns = list(dict.fromkeys([t.value for t in tiles] + [key]))
-    cuts = _cuts(df, columns, slices)
+    cuts = _cuts(df, columns, _slices(df.count(), slices))
     key_cuts = sorted(set(cuts[key]))
 
     def place(tile: Tile) -> Column:
@@ -210,12 +215,10 @@ def ntile(
         col = F.col(tile.value)
         # a hot value h owns the slice between "cuts <= h" counted twice and not
         ladder = sorted(set(values))
-        base = _slice(col, ladder) * 2
-        if not hot:
-            return F.struct(base.alias("v"), F.lit(0).alias("k"))
-        is_hot = col.isin(hot)
+        base = F.when(col.isNull(), -2).otherwise(_slice(col, ladder) * 2)
+        is_hot = col.isNull() | col.isin(hot)
         # rows above a hot value but below the next cut come after it
-        base = F.when(is_hot, base).otherwise(base + 1)
+        base = F.when(is_hot | F.lit(not hot), base).otherwise(base + 1)
         return F.struct(
             base.alias("v"),
             F.when(is_hot, _slice(F.col(key), key_cuts)).otherwise(F.lit(0)).alias("k"),

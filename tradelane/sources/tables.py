@@ -48,6 +48,7 @@ def ingest(
 
 
 def write_table(df: DataFrame, path: str, by_month_of: str | None = None) -> None:
+    """Replace the whole table: months that ``df`` no longer has are gone too."""
     if by_month_of is None:
         df.write.mode("overwrite").parquet(path)
         return
@@ -57,6 +58,7 @@ def write_table(df: DataFrame, path: str, by_month_of: str | None = None) -> Non
         df.withColumn("month", F.date_format(by_month_of, "yyyy-MM"))
         .hint("rebalance", "month")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("month")
         .parquet(path)
     )
