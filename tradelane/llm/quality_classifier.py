@@ -129,12 +129,13 @@ def fit(x: np.ndarray, target: np.ndarray, steps: int = 300) -> np.ndarray:
     """Logistic regression by accelerated gradient; classes weigh alike. Last weight: constant."""
     x = np.concatenate([x, np.ones((len(x), 1), dtype=np.float32)], axis=1)
     good = target.sum()
-    weight = np.where(target > 0.5, 0.5 / max(good, 1), 0.5 / max(len(target) - good, 1))
-    w, ahead = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    weight = np.where(target > 0.5, 0.5 / max(good, 1), 0.5 / max(len(target) - good, 1)).astype(np.float32)
+    target = target.astype(np.float32)
+    w, ahead = np.zeros(x.shape[1], dtype=np.float32), np.zeros(x.shape[1], dtype=np.float32)
     for k in range(steps):
         p = 1 / (1 + np.exp(-(x @ ahead)))
-        new = ahead - 2.0 * (x.T @ (weight * (p - target)) + 1e-5 * ahead)
-        ahead = new + (new - w) * k / (k + 3)
+        new = ahead - np.float32(2) * ((weight * (p - target)) @ x + np.float32(1e-5) * ahead)
+        ahead = new + (new - w) * np.float32(k / (k + 3))
         w = new
     return w
 
