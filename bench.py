@@ -1,4 +1,4 @@
-"""Time the headline queries: one JSON line on stdout.
+"""Time all queries: one JSON line on stdout.
 
 ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose the data and the local cores; names
 given as arguments choose the queries.
@@ -16,25 +16,10 @@ from pyspark.sql import SparkSession
 from checks.queries import QUERIES
 from tradelane.session import SETTINGS
 
-HEADLINE = [name for name in QUERIES if name[0] in "mv"] + [
-    "d06_port_table",
-    "d12_headline_facts",
-    "i2_keyed_upsert",
-    "i5_declared_constraints",
-    "i6_feature_flatten",
-    "p23_asof_inner",
-    "p23_asof_timestamps",
-    "p61_previous_event",
-    "p62_running_share",
-    "p64_symmetric_range",
-    "p67_ntile",
-]
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or HEADLINE
+    names = sys.argv[1:] or list(QUERIES)
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")

@@ -500,19 +500,22 @@ DQ = " UNION ALL ".join(
         _check("05 · Invoices paid before they were issued", "critical",
                "FROM inv WHERE paid < issue"),
         _check("06 · Shipments referencing unknown ports", "critical",
-               f"FROM ship WHERE origin_port NOT IN (SELECT port_code FROM port WHERE nation <> {P.HIDDEN_NATION})"
-               f" OR dest_port NOT IN (SELECT port_code FROM port WHERE nation <> {P.HIDDEN_NATION})"),
+               f"FROM ship WHERE origin_port NOT IN (SELECT port_code FROM port)"
+               f" OR CASE WHEN order_id % {P.LOST_EVERY} = 0 THEN '{P.LOST_PORT}' ELSE dest_port END"
+               " NOT IN (SELECT port_code FROM port)"),
         _check("07 · Non-positive volumes or amounts", "critical",
                "FROM ship WHERE volume_cbm <= 0 OR freight <= 0"),
         _check("08 · Currency codes without an FX fixing", "warning",
-               f"FROM (SELECT DISTINCT currency FROM inv WHERE currency NOT IN (SELECT currency FROM fx WHERE currency <> '{P.HIDDEN_CURRENCY}'))"),
+               f"FROM (SELECT DISTINCT CASE WHEN invoice_id % {P.LOST_EVERY} = 0 THEN '{P.LOST_CURRENCY}' ELSE currency END AS c FROM inv)"
+               " WHERE c NOT IN (SELECT currency FROM fx)"),
         _check("09 · Shipments billed more than once (review)", "warning",
                "FROM (SELECT shipment_id FROM inv GROUP BY 1 HAVING count(*) > 1)"),
         _check("10 · Bookings dated before customer onboarding", "warning",
                "FROM ship JOIN onboard USING (customer_id) WHERE booked < first_day + 30"),
         _check("11 · Chokepoint lanes referencing unknown ports", "critical",
-               f"FROM bridge WHERE origin_port NOT IN (SELECT port_code FROM port WHERE nation <> {P.HIDDEN_NATION})"
-               f" OR dest_port NOT IN (SELECT port_code FROM port WHERE nation <> {P.HIDDEN_NATION})"),
+               f"FROM bridge WHERE origin_port NOT IN (SELECT port_code FROM port)"
+               f" OR CASE WHEN dest_port = '{P.LAST_PORT}' THEN '{P.LOST_PORT}' ELSE dest_port END"
+               " NOT IN (SELECT port_code FROM port)"),
     ]
 )
 DQ_NEEDS = ("ship", "mile", "inv", "port", "fx", "onboard", "bridge")
@@ -717,9 +720,10 @@ ORACLE["i5_declared_constraints"] = " UNION ALL ".join(
            "FROM (SELECT count(*) AS k FROM orders GROUP BY o_orderkey)"),
         _c("orders", "not null: o_orderkey", "count(*)", "FROM orders WHERE o_orderkey IS NULL"),
         _c("orders", "reference: o_custkey -> customer", "count(*)",
-           f"FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> '{P.HIDDEN_SEGMENT}')"),
+           f"FROM orders WHERE CASE WHEN o_orderkey % {P.LOST_EVERY} = 0 THEN -o_custkey ELSE o_custkey END"
+           " NOT IN (SELECT c_custkey FROM customer)"),
         _c("customer", "unique: c_custkey", "coalesce(sum(k - 1), 0)",
-           f"FROM (SELECT count(*) AS k FROM customer WHERE c_mktsegment <> '{P.HIDDEN_SEGMENT}' GROUP BY c_custkey)"),
+           "FROM (SELECT count(*) AS k FROM customer GROUP BY c_custkey)"),
         _c("customer", "not null: c_custkey", "count(*)", "FROM customer WHERE c_custkey IS NULL"),
     ]
 )

@@ -113,16 +113,27 @@ def v3_aml_normalized(b: Bound) -> DataFrame:
 
 
 def _quality(b: Bound) -> DataFrame:
-    shipments = b.shipments(raw_arrival=True).withColumn("shipment_id", F.col("order_id"))
+    def lost(key: str, column: str, value: str):
+        hit = F.col(key) % P.LOST_EVERY == 0
+        return F.when(hit, F.lit(value)).otherwise(F.col(column))
+
+    shipments = (
+        b.shipments(raw_arrival=True)
+        .withColumn("dest_port", lost("order_id", "dest_port", P.LOST_PORT))
+        .withColumn("shipment_id", F.col("order_id"))
+    )
+    lane_end = F.when(F.col("dest_port") == P.LAST_PORT, P.LOST_PORT).otherwise(F.col("dest_port"))
     return quality.data_quality(
         {
             "shipments": shipments,
-            "invoices": b.invoices,
+            "invoices": b.invoices.withColumn(
+                "currency", lost("invoice_id", "currency", P.LOST_CURRENCY)
+            ),
             "shipment_events": b.milestones,
-            "ports": b.ports.where(F.col("nation") != P.HIDDEN_NATION),
-            "fx_rates": b.fx.where(F.col("currency") != P.HIDDEN_CURRENCY),
+            "ports": b.ports,
+            "fx_rates": b.fx,
             "customers": b.customers(onboarded=True, delay=30),
-            "lane_chokepoints": b.bridge,
+            "lane_chokepoints": b.bridge.withColumn("dest_port", lane_end),
         }
     )
 
@@ -296,8 +307,11 @@ CONSTRAINTS = {
 
 @query
 def i5_declared_constraints(b: Bound) -> DataFrame:
-    customers = b.raw("customer").where(F.col("c_mktsegment") != P.HIDDEN_SEGMENT)
-    frames = {"lineitem": b.raw("lineitem"), "orders": b.raw("orders"), "customer": customers}
+    lost = F.col("o_orderkey") % P.LOST_EVERY == 0
+    orders = b.raw("orders").withColumn(
+        "o_custkey", F.when(lost, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    )
+    frames = {"lineitem": b.raw("lineitem"), "orders": orders, "customer": b.raw("customer")}
     return quality_ops.declared(frames, CONSTRAINTS)
 
 
@@ -401,7 +415,7 @@ def p23_asof_inner(b: Bound) -> DataFrame:
 def p24_asof_left(b: Bound) -> DataFrame:
     rates = b.fx.withColumn("priced", F.lit(True))
     joined = asof.join_daily(
-        b.invoices, rates, ["currency"], "issue_date", "rate_date", "left", broadcast_rows=0
+        b.invoices, rates, ["currency"], "issue_date", "rate_date", "left"
     )
     rate = F.coalesce("rate_to_usd", F.lit(Decimal(1)))
     return joined.select(
@@ -523,7 +537,7 @@ def p61_previous_event(b: Bound) -> DataFrame:
         ["shipment_id"],
         ["event_time", "event_id"],
         {"event_type": "prev_event", "event_time": "prev_time"},
-        F.to_date("event_time"),
+        F.date_trunc("minute", "event_time"),
     )
     return pairs.select(
         "event_id",

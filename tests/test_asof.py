@@ -38,10 +38,19 @@ def facts(spark):
                                  "id int, currency string, issued date")
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
+@pytest.fixture(params=["broadcast", "shuffle"])
+def any_join(spark, request):
+    """Both ways the planner may choose for the calendar."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10m" if request.param == "broadcast" else "-1")
+    yield request.param
+    spark.conf.set(name, before)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_daily_join(facts, rates, how, limit):
-    out = dict(got(asof.join_daily(facts, rates, ["currency"], "issued", "rate_date", how, limit)
+def test_daily_join(facts, rates, how, any_join):
+    out = dict(got(asof.join_daily(facts, rates, ["currency"], "issued", "rate_date", how)
                    .select("id", F.col("rate").cast("decimal(10,2)").cast("string"))))
     want = dict(WANT) if how == "inner" else {i: WANT.get(i) for i, _, _ in FACTS}
     assert out == want
@@ -55,13 +64,11 @@ def test_sliced_join_on_dates(facts, rates, how):
     assert out == want
 
 
-def test_plan_is_an_equi_join(facts, rates):
+def test_plan_is_an_equi_join(facts, rates, any_join):
     df = asof.join_daily(facts, rates, ["currency"], "issued", "rate_date")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [currency" in plan and "NestedLoop" not in plan
-    big = asof.join_daily(facts, rates, ["currency"], "issued", "rate_date", broadcast_rows=0)
-    plan = big._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin [currency" in plan and "Broadcast" not in plan
+    kind = "BroadcastHashJoin" if any_join == "broadcast" else "SortMergeJoin"
+    assert f"{kind} [currency" in plan and "NestedLoop" not in plan
 
 
 def test_no_rates_at_all(facts, rates):
@@ -86,7 +93,7 @@ def brute_force(left, right):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_against_brute_force(spark, seed):
+def test_random_against_brute_force(spark, seed, any_join):
     rng = random.Random(seed)
     start = dt.datetime(2025, 1, 1)
     # one key holds half of everything
@@ -108,6 +115,14 @@ def test_random_against_brute_force(spark, seed):
     want = brute_force(ldays, rdays)
     ldf = spark.createDataFrame(ldays, "id int, k string, t date")
     rdf = spark.createDataFrame(rdays, "k string, rt date, v int")
-    for limit in (10**6, 0):
-        out = asof.join_daily(ldf, rdf, ["k"], "t", "rt", "left", limit).select("id", "v")
-        assert dict(got(out)) == want
+    out = asof.join_daily(ldf, rdf, ["k"], "t", "rt", "left").select("id", "v")
+    assert dict(got(out)) == want
+
+
+def test_repeated_rates_give_the_largest_whatever_the_order(spark, facts, rates):
+    other = rates.withColumn("rate", F.col("rate") + 1)
+    want = {i: f"{Decimal(r) + 1:.2f}" for i, r in WANT.items()}
+    for both in (rates.union(other), other.union(rates).repartition(7)):
+        for join in (asof.join_daily, asof.join_sliced):
+            out = join(facts, both, ["currency"], "issued", "rate_date")
+            assert dict(got(out.select("id", F.col("rate").cast("decimal(10,2)").cast("string")))) == want

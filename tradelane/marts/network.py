@@ -217,7 +217,8 @@ def _strait_exposure(t: Tables, as_of: dt.date | None, book_as_of: dt.date | Non
     transits = t["chokepoint_transits_daily"]
     as_of = as_of or latest(transits, "transit_date")
     w = trend.period_over_period(
-        transits, "chokepoint_code", "transit_date", as_of, {"n": F.col("n_container")}
+        transits, "chokepoint_code", "transit_date", as_of, {"n": F.col("n_container")},
+        keys=t["chokepoints"],
     )
     total = book.agg(F.sum("cbm").alias("cbm")).first()["cbm"]
     exposure = (

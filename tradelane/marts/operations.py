@@ -132,7 +132,7 @@ def transit_bottlenecks(t: Tables, min_observations: int = 40, top: int | None =
         ["shipment_id"],
         ["event_time", "event_id"],
         {"event_type": "prev_event", "event_time": "prev_time"},
-        F.to_date("event_time"),
+        F.date_trunc("minute", "event_time"),
     )
     gaps = pairs.select(
         F.concat("prev_event", F.lit(ARROW), "event_type").alias("stage"),

@@ -42,55 +42,56 @@ def data_quality(t: Tables) -> DataFrame:
     def hits(condition: Column, out: str) -> Column:
         return F.count(F.when(condition, 1)).alias(out)
 
-    # every check on shipment rows and on their ports comes from one pass,
-    # counted per lane so that ports meet lanes and not shipments
-    lanes = shipments.groupBy("origin_port", "dest_port").agg(
+    # every check on shipment rows comes from one pass: counted per lane, so that
+    # ports meet lanes, and per customer and day, so that customers meet days
+    by_lane, by_day = ["origin_port", "dest_port"], ["customer_id", "booked_date"]
+    counted = shipments.groupingSets([by_lane, by_day], *by_lane, *by_day).agg(
+        F.grouping_id().alias("_set"),
         F.count("*").alias("n"),
         hits(F.col("ata") < F.col("atd"), "time_travel"),
         hits((F.col("status") == "DELIVERED") & F.col("ata").isNull(), "no_arrival"),
         hits((F.col("volume_cbm") <= 0) | (F.col("freight_amount") <= 0), "non_positive"),
     )
+    lane = F.col("_set") == 0b0011
+    early = F.col("booked_date") < F.col("onboarded_date")
     on_shipments = quality.stacked(
-        _with_ports(lanes, ports),
+        _with_ports(counted, ports).join(
+            t["customers"].select("customer_id", "onboarded_date"), "customer_id", "left"
+        ),
         [
-            (TIME_TRAVEL, CRITICAL, F.sum("time_travel")),
-            (NO_ARRIVAL, CRITICAL, F.sum("no_arrival")),
-            (NON_POSITIVE, CRITICAL, F.sum("non_positive")),
-            (UNKNOWN_PORTS, CRITICAL, F.sum(F.when(F.col("unknown"), F.col("n")))),
+            (TIME_TRAVEL, CRITICAL, F.sum(F.when(lane, F.col("time_travel")))),
+            (NO_ARRIVAL, CRITICAL, F.sum(F.when(lane, F.col("no_arrival")))),
+            (NON_POSITIVE, CRITICAL, F.sum(F.when(lane, F.col("non_positive")))),
+            (UNKNOWN_PORTS, CRITICAL, F.sum(F.when(lane & F.col("unknown"), F.col("n")))),
+            (EARLY_BOOKING, WARNING, F.sum(F.when(~lane & early, F.col("n")))),
         ],
     )
-    # likewise for invoices, counted per shipment
+    # invoices and events are counted per shipment and meet the shipments together
     known = shipments.select("shipment_id").distinct().withColumn("known", F.lit(True))
-    billed = (
-        invoices.groupBy("shipment_id")
-        .agg(F.count("*").alias("n"), hits(F.col("paid_date") < F.col("issue_date"), "early"))
-        .join(known, "shipment_id", "left")
+    billed = invoices.groupBy("shipment_id").agg(
+        F.count("*").alias("bills"), hits(F.col("paid_date") < F.col("issue_date"), "early")
     )
-    on_invoices = quality.stacked(
-        billed,
+    events = t["shipment_events"].groupBy("shipment_id").agg(F.count("*").alias("events"))
+    children = billed.unionByName(events, allowMissingColumns=True).join(
+        known, "shipment_id", "left"
+    )
+    lost = F.col("known").isNull()
+    on_children = quality.stacked(
+        children,
         [
-            (ORPHAN_INVOICES, CRITICAL, F.sum(F.when(F.col("known").isNull(), F.col("n")))),
+            (ORPHAN_EVENTS, CRITICAL, F.sum(F.when(lost, F.col("events")))),
+            (ORPHAN_INVOICES, CRITICAL, F.sum(F.when(lost, F.col("bills")))),
             (EARLY_PAYMENT, CRITICAL, F.sum("early")),
-            (BILLED_TWICE, WARNING, F.count(F.when(F.col("n") > 1, 1))),
+            (BILLED_TWICE, WARNING, F.count(F.when(F.col("bills") > 1, 1))),
         ],
     )
-    lost_events = quality.orphans(t["shipment_events"], "shipment_id", shipments, "shipment_id")
     currencies = quality.orphans(invoices, "currency", t["fx_rates"], "currency")
-    # bookings are counted per customer and day before they meet the customer
-    early = (
-        shipments.groupBy("customer_id", "booked_date")
-        .agg(F.count("*").alias("n"))
-        .join(t["customers"].select("customer_id", "onboarded_date"), "customer_id")
-        .where(F.col("booked_date") < F.col("onboarded_date"))
-    )
     bridge = _with_ports(t["lane_chokepoints"], ports)
     return quality.union(
         [
             on_shipments,
-            on_invoices,
-            quality.total(lost_events, ORPHAN_EVENTS, CRITICAL, F.sum("n")),
+            on_children,
             quality.total(currencies, NO_FIXING, WARNING, F.count("*")),
-            quality.total(early, EARLY_BOOKING, WARNING, F.sum("n")),
             quality.total(
                 bridge, UNKNOWN_LANE_PORTS, CRITICAL, F.count(F.when(F.col("unknown"), 1))
             ),

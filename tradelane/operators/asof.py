@@ -7,9 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A calendar up to this many rows (some tens of MB) may be broadcast.
-BROADCAST_ROWS = 500_000
+from tradelane.session import materialize
 
 
 def _payload(right: DataFrame, by: Sequence[str], time: str) -> list[str]:
@@ -21,9 +21,10 @@ def calendar(right: DataFrame, by: Sequence[str], time: str, last_day: dt.date)
 
     Each row is valid until the day before the key's next row; the newest row
     of a key is valid up to ``last_day``, the newest day of the whole table.
+    Of repeated rows for a key and day, the one with the largest values counts.
     """
     by = list(by)
-    order = Window.partitionBy(*by).orderBy(time)
+    order = Window.partitionBy(*by).orderBy(time, *_payload(right, by, time))
     until = F.coalesce(F.date_sub(F.lead(time).over(order), 1), F.lit(last_day))
     return (
         right.withColumn("_until", until)
@@ -40,37 +41,25 @@ def join_daily(
     left_time: str,
     right_time: str,
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """As-of join on DATE columns, planned as a plain equi-join.
 
     The right side becomes a daily calendar, so every fact row meets exactly
     one candidate instead of all rows of its key. Fact days after the newest
-    right day look up that newest day. The calendar's row count is measured
-    first: it is broadcast below ``broadcast_rows`` and shuffled on (key, day)
-    above, where AQE can split a hot day.
+    right day look up that newest day. The calendar is written first, so the
+    planner chooses the join by its true bytes; on a shuffle by (key, day) AQE
+    can split a hot day.
     """
     by = list(by)
-    # the spans of a key add up to its last day minus its first, so the size
-    # of the calendar needs no expansion
-    per_key = right.groupBy(*by).agg(
-        F.min(right_time).alias("_first"), F.max(right_time).alias("_last")
-    )
-    last_day, keys, first_sum = per_key.agg(
-        F.max("_last"), F.count("*"), F.sum(F.unix_date("_first").cast("bigint"))
-    ).first()
+    last_day = right.agg(F.max(right_time)).first()[0]
     payload = _payload(right, by, right_time)
     if last_day is None:
         empty = left
         for name in payload:
             empty = empty.withColumn(name, F.lit(None).cast(right.schema[name].dataType))
         return empty if how == "left" else empty.where(F.lit(False))
-    last_index = (last_day - dt.date(1970, 1, 1)).days
-    rows = keys * (last_index + 1) - first_sum
-
     days = calendar(right.select(*by, right_time, *payload), by, right_time, last_day)
-    days = days.withColumnRenamed(right_time, "_asof_day")
-    days = F.broadcast(days) if rows <= broadcast_rows else days.hint("merge")
+    days = materialize(days.withColumnRenamed(right_time, "_asof_day"), "calendar")
     keyed = left.withColumn("_asof_day", F.least(F.col(left_time), F.lit(last_day)))
     # least() skips NULLs, a NULL fact day must not match
     keyed = keyed.withColumn("_asof_day", F.when(F.col(left_time).isNotNull(), F.col("_asof_day")))
@@ -89,12 +78,15 @@ def join_sliced(
     """As-of join for any time type by merging both sides in time order.
 
     Only the distinct (key, time) pairs of the left side are ordered, so many
-    facts at one instant cost one row. Each key is cut into time slices that
-    are ordered apart from each other; the value in force when a slice opens is
-    carried over from the slices before it. No task holds a whole key.
+    facts at one instant cost one row. Each key is cut into time slices (minutes,
+    or days where the times are dates) that are ordered apart from each other;
+    the value in force when a slice opens is carried over from the slices before
+    it, which needs one row per slice. Of repeated rows for a key and time, the
+    one with the largest values counts.
     """
     by = list(by)
-    slice_of = slice_expr or (lambda c: F.to_date(c))
+    dates = isinstance(right.schema[right_time].dataType, T.DateType)
+    slice_of = slice_expr or (lambda c: c if dates else F.date_trunc("minute", c))
     payload = _payload(right, by, right_time)
     value = F.struct(*payload)
 
@@ -111,7 +103,7 @@ def join_sliced(
     both = asks.withColumn("_ask", F.lit(1)).unionByName(
         marks.withColumn("_ask", F.lit(0)), allowMissingColumns=True
     )
-    order = Window.partitionBy(*by, "_slice").orderBy("_t", "_ask")
+    order = Window.partitionBy(*by, "_slice").orderBy("_t", "_ask", "_v")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     merged = both.withColumn("_v", F.last("_v", ignorenulls=True).over(so_far)).withColumn(
         "_last", F.lead(F.lit(True)).over(order).isNull()
@@ -123,16 +115,10 @@ def join_sliced(
     opening = merged.where("_last").select(
         *by, "_slice", F.last("_v", ignorenulls=True).over(before).alias("_open")
     )
-    found = merged.where(F.col("_ask") == 1)
     resolved = (
-        found.where(F.col("_v").isNotNull())
-        .select(*by, "_t", "_v")
-        .unionByName(
-            found.where(F.col("_v").isNull())
-            .join(opening, [*by, "_slice"])
-            .select(*by, "_t", F.col("_open").alias("_v"))
-        )
-        .withColumnRenamed("_t", left_time)
+        merged.where(F.col("_ask") == 1)
+        .join(opening, [*by, "_slice"], "left")
+        .select(*by, F.col("_t").alias(left_time), F.coalesce("_v", "_open").alias("_v"))
     )
     if how == "inner":
         resolved = resolved.where(F.col("_v").isNotNull())
