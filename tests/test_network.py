@@ -112,14 +112,14 @@ def door(t, routes, table):
 def test_door_to_door(door):
     out = got(network.door_to_door_routing(door))
     best = {r[0]: r for r in out if r[1] == 1}
-    # sea days, inland days and five in the gateway; lane costs, inland leg and the gateway's risk
+    # leg days, inland days, two days at the origin and three at each change; leg costs, inland leg, the gateway's risk
     assert best == {
         "CNSHA → Kyiv": ("CNSHA → Kyiv", 1, "CNSHA → EGALY → UAODS ⇒ Kyiv", "UAODS", "truck",
-                         15 + 6 + 2 + 5, 50.0 + 25 + 22 + 12, 0, 151.0),
+                         15 + 6 + 2 + 2 + 3, 50.0 + 25 + 22 + 12, 0, 151.0),
         "CNSHA → Poltava": ("CNSHA → Poltava", 1, "CNSHA → EGALY → UAODS ⇒ Poltava", "UAODS", "truck",
-                            15 + 6 + 2 + 5, 50.0 + 25 + 27 + 12, 0, 156.0),
+                            15 + 6 + 2 + 2 + 3, 50.0 + 25 + 27 + 12, 0, 156.0),
         "CNSZX → Poltava": ("CNSZX → Poltava", 1, "CNSZX → CNSHA → EGALY → UAODS ⇒ Poltava", "UAODS", "truck",
-                            2 + 15 + 6 + 2 + 5, 10.0 + 50 + 25 + 27 + 12, 0, 169.0),
+                            2 + 15 + 6 + 2 + 2 + 3 + 3, 10.0 + 50 + 25 + 27 + 12, 0, 173.5),
     }
     assert {r[3] for r in out} == {"UAODS", "PLGDN"}
 
