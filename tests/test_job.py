@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import os
 
 import pytest
@@ -77,5 +78,61 @@ def test_a_bad_load_fails_after_publishing(spark, frames, table, tmp_path):
     with pytest.raises(QualityGateError, match="time travel"):
         job.run(spark, cfg)
     assert spark.read.parquet(f"{cfg.out_dir}/executive_kpis").count() > 0
-    assert sorted(p for p in os.listdir(cfg.out_dir)) == ["catalogue", "data_quality", "executive_kpis", "freshness"]
+    assert sorted(p for p in os.listdir(cfg.out_dir)) == [
+        "catalogue", "data_quality", "declared_constraints", "executive_kpis", "freshness"]
     assert spark.read.parquet(f"{cfg.out_dir}/freshness").first()[1] == "no cache"
+
+
+def page(*rows):
+    return json.dumps({"features": [{"attributes": dict(date=str(d), portid=p, portname="n", portcalls_container=n)} for d, p, n in rows]})
+
+
+def put(folder, name, text):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+
+
+def test_raw_feeds_merge_by_key_and_keep_older_days(spark, frames, tmp_path):
+    write(f"{tmp_path}/csv", frames)
+    ports = tmp_path / "ports"
+    put(tmp_path, "codes.csv", "portwatch_id,port_code\nport1,CNSHA\n")
+    d1, d2, d3 = (TODAY - dt.timedelta(days=n) for n in (70, 3, 2))
+    put(ports, "page1.json", page((d1, "port1", 1), (d2, "port1", 2), (d2, "other", 9)))
+    put(tmp_path / "fx", "a.json", json.dumps({"rates": {ago(100): {"EUR": 0.5, "USD": 1.0}}}))
+    bank = [dict(exchangedate=dt.date.fromisoformat(ago(100)).strftime("%d.%m.%Y"), rate=0.25, rate_per_unit=None)]
+    put(tmp_path / "bank", "a.json", json.dumps(bank))
+    cfg = config(
+        tmp_path, raw={"port_activity_daily": str(ports), "fx_rates": str(tmp_path / "fx")},
+        codes={"port_activity_daily": str(tmp_path / "codes.csv")}, banks={"EUR": str(tmp_path / "bank")},
+        only=("load_profile", "revenue_total"))
+    first = job.run(spark, cfg)
+    assert {r.mart: r.row_count for r in first.collect()}["load_profile"] == 3
+    # the next feed no longer carries the oldest day; within it the later row and the later file win
+    cfg.raw["port_activity_daily"] = str(tmp_path / "ports2")
+    put(tmp_path / "ports2", "page1.json", page((d2, "port1", 5), (d2, "port1", 6), (d3, "port1", 7)))
+    put(tmp_path / "ports2", "page2.json", page((d3, "port1", 8)))
+    job.run(spark, cfg)
+    stored = tables.stored_table(spark, cfg.table_dir, "port_activity_daily")
+    assert sorted((r.activity_date, r.portcalls_container) for r in stored.collect()) == [(d1, 1), (d2, 6), (d3, 8)]
+    profile = {r.table_name: r for r in spark.read.parquet(f"{cfg.out_dir}/load_profile").collect()}
+    assert profile["port_activity_daily"].row_count == 3 and profile["port_activity_daily"].first_date == d1
+    assert profile["fx_rates"].currency_list == "EUR, USD" and profile["chokepoint_transits_daily"].row_count == 0
+    # the bank's list beats the rate map: 1 / 0.25 from a hundred days ago on
+    want = sum((200 + i) * (1 if i % 2 == 0 else 4 if 5 * i + 1 <= 100 else 1.1) for i in range(120))
+    assert spark.read.parquet(f"{cfg.out_dir}/revenue_total").first()[0] == round(want)
+
+
+def test_a_broken_key_fails_the_gate(spark, frames, tmp_path):
+    twice = frames["customers"].union(frames["customers"].limit(1))
+    write(f"{tmp_path}/csv", {**frames, "customers": twice})
+    with pytest.raises(QualityGateError, match="customers, unique: customer_id: 1"):
+        job.run(spark, config(tmp_path, only=("freshness",)))
+
+
+def test_the_last_line_of_a_csv_feed_wins(spark, frames, table, tmp_path):
+    write(f"{tmp_path}/csv", frames)
+    lines = ["rate_date,currency,rate_to_usd", f"{ago(9)},EUR,2.0", f"{ago(9)},EUR,3.0"]
+    put(tmp_path, "fx.csv", "\n".join(lines) + "\n")
+    cfg = config(tmp_path, feeds={"fx_rates": str(tmp_path / "fx.csv")})
+    rates = job.load(spark, cfg)["fx_rates"].where(f"rate_date = DATE'{ago(9)}'").collect()
+    assert [float(r.rate_to_usd) for r in rates] == [3.0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,16 +40,24 @@ def flatten_features(
     codes: DataFrame,
     code: str,
     day: str,
+    version: str | None = None,
 ) -> DataFrame:
     """``{"features": [{"attributes": {...}}]}`` texts to one typed row per feature.
 
     ``attributes`` maps a payload field to a typed output column. ``codes`` maps
     ``portwatch_id`` to the table's own ``code``; features of unknown ids go.
+    ``version`` names a column that orders the payloads; it comes out last, as
+    (version, place in the payload).
     """
     fields = ", ".join(f"{name}: string" for name in ["date", "portid", "portname", *attributes])
     schema = f"struct<features: array<struct<attributes: struct<{fields}>>>>"
-    parsed = payloads.select(F.from_json(body, schema, {"mode": "FAILFAST"}).alias("p"))
-    rows = parsed.select(F.explode("p.features").alias("f")).select("f.attributes.*")
+    order = F.lit(None) if version is None else F.col(version)
+    parsed = payloads.select(
+        F.from_json(body, schema, {"mode": "FAILFAST"}).alias("p"), order.alias("_version")
+    )
+    rows = parsed.select(F.posexplode("p.features").alias("_at", "f"), "_version").select(
+        "f.attributes.*", F.struct("_version", "_at").alias("_version")
+    )
     columns = []
     for name, typed in attributes.items():
         out, kind = typed.split()
@@ -60,9 +68,11 @@ def flatten_features(
             F.col("portid").alias("portwatch_id"),
             F.coalesce("portname", F.lit("")).alias("portwatch_name"),
             *columns,
+            *([] if version is None else [F.col("_version").alias(version)]),
         )
         .join(codes.select("portwatch_id", code), "portwatch_id")
-        .select(day, code, "portwatch_id", "portwatch_name", *[a.split()[0] for a in attributes.values()])
+        .select(day, code, "portwatch_id", "portwatch_name", *[a.split()[0] for a in attributes.values()],
+                *([] if version is None else [version]))
     )
 
 
@@ -99,3 +109,30 @@ def central_bank_list(records: DataFrame, currency: str, start: dt.date, version
             version,
         )
     )
+
+
+def payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file of a folder as one text ``body``; ``version`` is the file name, so a later name wins."""
+    return spark.read.text(folder, wholetext=True).select(
+        F.col("value").alias("body"), F.col("_metadata.file_name").alias("version")
+    )
+
+
+def rate_files(spark: SparkSession, folder: str, start: dt.date, rank: int = 0) -> DataFrame:
+    """Files ``{"rates": {date: {currency: units per USD}}}`` as versioned fixings."""
+    schema = "struct<rates: map<string, map<string, double>>>"
+    texts = payloads(spark, folder).select(
+        F.from_json("body", schema, {"mode": "FAILFAST"}).alias("p"),
+        F.struct(F.lit(rank).alias("rank"), "version").alias("version"),
+    )
+    return rates_by_day(texts.select("version", "p.rates"), "rates", start, "version")
+
+
+def bank_files(spark: SparkSession, folder: str, currency: str, start: dt.date, rank: int = 1) -> DataFrame:
+    """Files ``[{exchangedate, rate, rate_per_unit}]`` of one currency as versioned fixings."""
+    schema = "array<struct<exchangedate: string, rate: double, rate_per_unit: double>>"
+    records = payloads(spark, folder).select(
+        F.explode(F.from_json("body", schema, {"mode": "FAILFAST"})).alias("r"),
+        F.struct(F.lit(rank).alias("rank"), "version").alias("version"),
+    )
+    return central_bank_list(records.select("version", "r.*"), currency, start, "version")

@@ -7,22 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CATALOGUE = "mart string, title string, path string"
+CATALOGUE = "mart string, title string, path string, source string"
 
 
 def publish(
-    spark: SparkSession, marts: dict[str, tuple[str, Callable[[], DataFrame]]], out_dir: str
+    spark: SparkSession, marts: dict[str, tuple], out_dir: str
 ) -> DataFrame:
-    """Write every mart whole and return ``mart, title, path``.
+    """Write every mart whole and return ``mart, title, path, source``.
 
-    ``marts`` maps a name to (title, builder). Row counts are taken from the
+    ``marts`` maps a name to (title, builder) or (title, builder, source), the
+    source saying where the rows come from. Row counts are taken from the
     written files by :func:`with_counts`.
     """
     rows = []
-    for name, (title, build) in marts.items():
+    build: Callable[[], DataFrame]
+    for name, (title, build, *source) in marts.items():
         path = f"{out_dir}/{name}"
         build().write.mode("overwrite").parquet(path)
-        rows.append((name, title, path))
+        rows.append((name, title, path, source[0] if source else None))
     catalogue = spark.createDataFrame(rows, CATALOGUE)
     catalogue.write.mode("overwrite").parquet(f"{out_dir}/catalogue")
     return catalogue

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelane.schemas import TABLES, lookup_tables
+from tradelane.session import materialize
+from tradelane.sources.merge import upsert
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -22,6 +25,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     )
 
 
+def read_versioned_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str
+) -> DataFrame:
+    """:func:`read_csv` with ``version``, which grows with file name and line."""
+    return read_csv(spark, path, schema).select(
+        "*",
+        F.struct(
+            "_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id()
+        ).alias("version"),
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.option("header", True).mode("errorifexists").csv(path)
 
@@ -64,6 +79,47 @@ def write_table(df: DataFrame, path: str, by_month_of: str | None = None) -> Non
     )
 
 
+def merge_table(
+    spark: SparkSession, feed: DataFrame, table_dir: str, name: str, by_month_of: str
+) -> DataFrame:
+    """Upsert a feed, unique by key, into a stored table laid out by month.
+
+    Older days that the feed no longer carries stay. Only months of the feed are
+    read and written again, rows inside a file in (date, code) order. The merged
+    rows are written to the work folder first: the stored months are replaced
+    from there. A table that is not stored yet is made.
+    """
+    spec = TABLES[name]
+    path = f"{table_dir}/{name}"
+    feed = materialize(
+        feed.select(*spec.schema.names).withColumn("month", F.date_format(by_month_of, "yyyy-MM")),
+        "feed",
+    )
+    stored = stored_table(spark, table_dir, name)
+    touched = stored.join(feed.select("month").distinct(), "month", "left_semi")
+    merged = materialize(upsert(touched, feed, spec.key), "merged")
+    (
+        merged.hint("rebalance", "month")
+        .sortWithinPartitions("month", *spec.key)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month")
+        .parquet(path)
+    )
+    return stored_table(spark, table_dir, name)
+
+
+def stored_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
+    """A table laid out by month, or no rows where none is stored."""
+    schema = TABLES[name].schema.add("month", "string")
+    try:
+        return spark.read.schema(schema).parquet(f"{table_dir}/{name}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
     """A stored table; one laid out by month keeps its ``month`` column for pruning."""
     return spark.read.parquet(f"{table_dir}/{name}")
