@@ -5,14 +5,16 @@ met are collected, and words of equal length advance together: hashes of all the
 substrings, by prefix sums, probe the sorted piece keys; then position by position the best
 score of any piece ending there is a vectorised maximum whose argument is the back pointer.
 
-The segmentation is the one with the greatest sum of the vocabulary's piece scores (on equal
-sums, the longest last piece). This is what SentencePiece computes for unigram models. A
-vocabulary stored as merges has ranks for scores; read this way it gives the best-scored
-segmentation, which may differ from replaying the merges. Decoding is the same for both.
-Characters without a piece become their UTF-8 bytes' pieces.
+The segmentation has the greatest sum of the vocabulary's piece scores (on equal sums, the
+longest last piece): what SentencePiece computes for unigram models. A vocabulary stored as
+merges has ranks for scores, and its ids are those that replaying the merges gives. There the
+best path is a proposal: it is right if every two neighbouring pieces, merged by themselves,
+stay those two pieces (the first merge across a border would also happen in the pair alone).
+Pairs are tested once per task; words whose path fails are replayed. Either way the ids are
+SentencePiece's own. Characters without a piece become their UTF-8 bytes' pieces.
 
-Words are cut before every space and pieces with an inner escaped space (runs of spaces) are
-not used, so a word's ids depend on the word alone.
+A word is a run of escaped spaces and the characters up to the next one. No piece has an escaped
+space after another character, so a word's ids depend on the word alone.
 
 Null text is empty and has no pieces. Texts are encoded whole; repeated rows alike. A text that
 holds the escape character itself reads back with a space there, as in SentencePiece.
@@ -21,6 +23,8 @@ holds the escape character itself reads back with a space there, as in SentenceP
 from __future__ import annotations
 
 import hashlib
+import heapq
+import re
 import zlib
 
 import numpy as np
@@ -34,6 +38,8 @@ from tradelane.llm.common import arrow_map, read
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
+MERGES = 2
+WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Words whose ids a task remembers; the oldest half goes when it is full.
 MEMORY = 300_000
 #: Characters of one batch of equally long words.
@@ -80,10 +86,22 @@ def load_pieces(path: str) -> list[tuple[str, float, int]]:
     return out
 
 
+def model_kind(path: str) -> int:
+    """1: unigram, 2: merges (of the trainer's settings in the model file)."""
+    with open(path, "rb") as f:
+        settings = next((v for n, v in _fields(f.read()) if n == 2), b"")
+    return dict(_fields(settings)).get(3, 1)
+
+
 class Viterbi:
     def __init__(self, path: str):
         pieces = load_pieces(path)
-        normal = [(p, s, i) for i, (p, s, t) in enumerate(pieces) if t == NORMAL and SPACE not in p[1:]]
+        normal = [(p, s, i) for i, (p, s, t) in enumerate(pieces) if t == NORMAL]
+        if any(SPACE in p.lstrip(SPACE) for p, _, _ in normal):
+            raise ValueError("a piece goes on beyond a word")
+        self.rank = {p: s for p, s, _ in normal} if model_kind(path) == MERGES else None
+        self.number = {p: i for p, _, i in normal}
+        self.settled: dict[int, bool] = {}
         self.bytes_ids = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(pieces) if t == BYTE}
         self.longest = max(len(p) for p, _, _ in normal)
         worst = min(s for _, s, _ in normal)
@@ -104,7 +122,9 @@ class Viterbi:
             raise ValueError("two pieces share a hash")
         self.scores = np.array([normal[k][1] for k in order])
         self.ids = np.array([normal[k][2] for k in order], dtype=np.uint32)
-        self.table = [p.encode() for p, _, _ in pieces]
+        self.byte_ids = set(self.bytes_ids.values())
+        self.text = [p for p, _, _ in pieces]
+        self.table = [p.encode() for p in self.text]
         for b, i in self.bytes_ids.items():
             self.table[i] = bytes([b])
         self.known: dict[str, bytes] = {}
@@ -165,12 +185,72 @@ class Viterbi:
                 else:
                     ids += [self.bytes_ids[b] for b in reversed(word[end - 1].encode("utf-8", "surrogatepass"))]
                 end -= length
-            out.append(ids[::-1])
+            ids.reverse()
+            if self.rank is not None and not self._holds(ids):
+                ids = self._replay(word)
+            out.append(ids)
         return out
 
+    def _holds(self, ids: list[int]) -> bool:
+        """Whether merging gives these pieces: each neighbouring pair, merged alone, stays apart."""
+        settled = self.settled
+        if len(settled) > MEMORY:
+            settled.clear()
+        for a, b in zip(ids, ids[1:] or ids[:1], strict=False):
+            # a single piece is held against itself: merging must lead to it
+            pair = (a << 32) | b if len(ids) > 1 else a
+            ok = settled.get(pair)
+            if ok is None:
+                if a in self.byte_ids or b in self.byte_ids:  # nothing merges with a character without a piece
+                    parts = [x for x in (a, b) if x not in self.byte_ids]
+                    ok = all(self._replay(self.text[x]) == [x] for x in parts)
+                else:
+                    whole = self.text[a] + (self.text[b] if len(ids) > 1 else "")
+                    ok = self._replay(whole) == ([a, b] if len(ids) > 1 else [a])
+                settled[pair] = ok
+            if not ok:
+                return False
+        return True
+
+    def _replay(self, word: str) -> list[int]:
+        """Ids by merging: the best-ranked neighbouring symbols first, the leftmost of equals."""
+        rank = self.rank
+        size = len(word)
+        end, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        heap = []
+
+        def offer(a: int) -> None:
+            m = end[a]
+            if m < size:
+                score = rank.get(word[a : end[m]])
+                if score is not None:
+                    heapq.heappush(heap, (-score, a, m, end[m]))
+
+        for a in range(size):
+            offer(a)
+        while heap:
+            _, a, m, e = heapq.heappop(heap)
+            if end[a] != m or end[m] != e:  # one of the two has been merged since
+                continue
+            end[a], end[m] = e, -1
+            if e < size:
+                before[e] = a
+                offer(a)
+            if before[a] >= 0:
+                offer(before[a])
+        ids, a = [], 0
+        while a < size:
+            i = self.number.get(word[a : end[a]])
+            if i is None:
+                ids += [self.bytes_ids[b] for b in word[a : end[a]].encode("utf-8", "surrogatepass")]
+            else:
+                ids.append(i)
+            a = end[a]
+        return ids
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
-        split = [t.replace(" ", SPACE).split(SPACE) if t else [] for t in texts]
+        split = [WORD.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         known = self.known
         if len(known) > MEMORY:
             for w in list(known)[: MEMORY // 2]:
@@ -179,10 +259,10 @@ class Viterbi:
         for w in set().union(*split).difference(known):
             groups.setdefault(len(w), []).append(w)
         for size, words in groups.items():
-            step = max(1, BATCH // (size + 1))
+            step = max(1, BATCH // size)
             for i in range(0, len(words), step):
                 part = words[i : i + step]
-                for w, ids in zip(part, self.segment([SPACE + w for w in part]), strict=True):
+                for w, ids in zip(part, self.segment(part), strict=True):
                     known[w] = np.array(ids, dtype="<u4").tobytes()
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
