@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelane.session import materialize
+from tradelane.session import materialize, shuffles_dropped
 
 __all__ = ["NO_ID", "arrow_map", "bitmap", "in_bitmap", "doc_key", "materialize", "read"]
 
@@ -82,12 +82,13 @@ def bitmap(keys: DataFrame, column: str) -> np.ndarray:
 
         return step
 
-    words = (
-        arrow_map(keys.select(column), make, "word bigint, bits bigint")
-        .groupBy("word")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
+    with shuffles_dropped(keys.sparkSession):
+        words = (
+            arrow_map(keys.select(column), make, "word bigint, bits bigint")
+            .groupBy("word")
+            .agg(F.bit_or("bits").alias("bits"))
+            .toArrow()
+        )
     out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return out
