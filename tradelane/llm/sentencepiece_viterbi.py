@@ -44,6 +44,8 @@ WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 MEMORY = 300_000
 #: Characters of one batch of equally long words.
 BATCH = 200_000
+#: Longer words are replayed one by one.
+LONG = 64
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -185,12 +187,56 @@ class Viterbi:
                 else:
                     ids += [self.bytes_ids[b] for b in reversed(word[end - 1].encode("utf-8", "surrogatepass"))]
                 end -= length
-            ids.reverse()
-            if self.rank is not None and not self._holds(ids):
-                ids = self._replay(word)
-            out.append(ids)
+            out.append(ids[::-1])
+        if self.rank is not None:
+            wrong = [row for row, ids in enumerate(out) if not self._holds(ids)]
+            if size > LONG:
+                for row in wrong:
+                    out[row] = self._replay(words[row])
+            elif wrong:
+                for row, ends in zip(wrong, self._merge(found, np.array(wrong), size), strict=True):
+                    out[row] = self._pieces(words[row], ends)
         return out
 
+    def _merge(self, found: list[np.ndarray], rows: np.ndarray, size: int) -> list[list[int]]:
+        """``_replay`` of words of one length, together: where the symbol from each place ends."""
+        n, longest = len(rows), len(found) - 1
+        score = np.full((longest + 1, n, size), -np.inf)
+        for length in range(2, longest + 1):
+            piece = found[length][rows]
+            score[length, :, : size + 1 - length] = np.where(piece >= 0, self.scores[piece], -np.inf)
+        at = np.arange(n)
+        end, before = np.tile(np.arange(1, size + 1), (n, 1)), np.tile(np.arange(-1, size - 1), (n, 1))
+        offer = score[2].copy()
+        while len(at):
+            a = offer[at].argmax(axis=1)  # the leftmost of equals
+            some = offer[at, a] > -np.inf
+            at, a = at[some], a[some]
+            m = end[at, a]
+            e = end[at, m]
+            end[at, a], end[at, m], offer[at, m] = e, 0, -np.inf
+            inner = e < size
+            length = np.where(inner, end[at, np.minimum(e, size - 1)] - a, 0)
+            offer[at, a] = score[np.where(length <= longest, length, 0), at, a]
+            before[at[inner], e[inner]] = a[inner]
+            left = before[at, a] >= 0
+            row, place = at[left], before[at, a][left]
+            length = e[left] - place
+            offer[row, place] = score[np.where(length <= longest, length, 0), row, place]
+        return end.tolist()
+
+    def _pieces(self, word: str, end: list[int]) -> list[int]:
+        """Ids of a word's symbols, given where each ends."""
+        ids, a = [], 0
+        while a < len(word):
+            i = self.number.get(word[a : end[a]])
+            if i is None:
+                ids += [self.bytes_ids[b] for b in word[a : end[a]].encode("utf-8", "surrogatepass")]
+            else:
+                ids.append(i)
+            a = end[a]
+        return ids
+
     def _holds(self, ids: list[int]) -> bool:
         """Whether merging gives these pieces: each neighbouring pair, merged alone, stays apart."""
         settled = self.settled
@@ -238,19 +284,18 @@ class Viterbi:
                 offer(a)
             if before[a] >= 0:
                 offer(before[a])
-        ids, a = [], 0
-        while a < size:
-            i = self.number.get(word[a : end[a]])
-            if i is None:
-                ids += [self.bytes_ids[b] for b in word[a : end[a]].encode("utf-8", "surrogatepass")]
-            else:
-                ids.append(i)
-            a = end[a]
-        return ids
+        return self._pieces(word, end)
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """Words without their first escaped space."""
+        if "  " not in text and text[0] != " " and SPACE not in text:
+            return text.split(" ")
+        return [w[1:] for w in WORD.findall(SPACE + text.replace(" ", SPACE))]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
-        split = [WORD.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        split = [self._words(t) if t else [] for t in texts]
         known = self.known
         if len(known) > MEMORY:
             for w in list(known)[: MEMORY // 2]:
@@ -259,10 +304,10 @@ class Viterbi:
         for w in set().union(*split).difference(known):
             groups.setdefault(len(w), []).append(w)
         for size, words in groups.items():
-            step = max(1, BATCH // size)
+            step = max(1, BATCH // (size + 1))
             for i in range(0, len(words), step):
                 part = words[i : i + step]
-                for w, ids in zip(part, self.segment(part), strict=True):
+                for w, ids in zip(part, self.segment([SPACE + w for w in part]), strict=True):
                     known[w] = np.array(ids, dtype="<u4").tobytes()
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
