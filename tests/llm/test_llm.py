@@ -72,6 +72,26 @@ def test_suffix_dedup(spark, folder, docs):
         assert got[r.doc_id] == (len(b), gone.sum(), (edge == 1).sum(), hashlib.sha256(kept).hexdigest())
 
 
+def test_suffix_dedup_tells_rows_of_one_id_apart(spark, tmp_path):
+    """Null ids and repeated ids: each row is cut by its own spans, and one of equal texts stays."""
+    one, two = (" ".join(f"{w}{i}" for i in range(150)) for w in ("kilo", "lima"))
+    b = two[:500] + one[:200] + two[500:]
+    late = {None: "".join(f"mike{i} " for i in range(100)), 5: "".join(f"november{i} " for i in range(100))}
+    rows = [(None, one), (None, b), (None, late[None]), (5, late[5]), (5, late[5]), (5, "short"), (5, "short"), (7, late[None])]
+    schema = "doc_id long, text string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.op2_suffix_array_dedup(spark, str(tmp_path)).collect()]
+    kept = sorted((r.doc_id, r.text) for r in suffix_dedup.clean(spark.createDataFrame(rows, schema).repartition(3)).collect() if r.doc_id)
+    assert kept == sorted([(5, late[5]), (5, ""), (5, "short"), (5, "short"), (7, "")])
+    size = lambda x: len(x.encode())
+    sure = [(None, size(late[None]), 0), (5, size(late[5]), 0), (5, size(late[5]), size(late[5])), (5, 5, 0), (5, 5, 0), (7, size(late[None]), size(late[None]))]
+    # whichever of the two comes first stays whole, the other loses the 200 bytes they share
+    shared = sorted((n, gone) for i, n, gone in got if i is None and n != size(late[None]))
+    assert shared in ([(size(one), 0), (size(b), 200)], [(size(one), 200), (size(b), 0)])
+    rest = [x for x in got if x[0] is not None or x[1] == size(late[None])]
+    assert sorted(map(str, rest)) == sorted(map(str, sure))
+
+
 def test_suffix_clean_keeps_columns_and_rows(docs):
     out = suffix_dedup.clean(docs)
     assert out.columns == docs.columns and out.count() == docs.count()

@@ -22,8 +22,9 @@ unique trigger, most of a corpus, never leave the scan: a bitmap of fixed size d
 Digests: a phrase by 128 bits (trigger and phrase), a suffix by 96.
 
 Nulls: a null text is empty; a null id comes before all others. Texts shorter than the
-window repeat nothing. Rows that share an id count as one document seen once: what is
-removed for the id is removed from each of them. Other columns pass through.
+window repeat nothing. Rows that share an id are documents of their own: they come by a digest
+of their content, and equal rows by a row number that is written once, so a span is cut only from
+the row it was found in, and of equal texts the first alone stays. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -44,12 +45,33 @@ CHUNK = 8 << 20
 U = np.uint64
 
 
+def identified(rows: DataFrame, content: str) -> tuple[DataFrame, list[str]]:
+    """``rows``, and the columns that tell each from all others, in corpus order.
+
+    ``doc`` alone where no id repeats. Otherwise a digest of the column ``content`` and a row
+    number are written with the rows.
+    """
+    if rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return rows, ["doc"]
+    told = rows.withColumn("content", F.xxhash64(content)).withColumn("copy", F.monotonically_increasing_id())
+    return materialize(told, "rows"), ["doc", "content", "copy"]
+
+
+def _typed(ids: list[str]) -> str:
+    return ", ".join(f"{c} bigint" for c in ids)
+
+
 def _bytes(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(t or b"", dtype=np.uint8) for t in batch.column(1).to_pylist()]
+    return [np.frombuffer(t or b"", dtype=np.uint8) for t in batch.column("text").to_pylist()]
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column(0).to_numpy(zero_copy_only=False)
+def _ranks(batch: pa.RecordBatch, ids: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Each row's place among the rows of the batch, and the ``ids`` by place."""
+    columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ids]
+    order = np.lexsort(columns[::-1])
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return rank, {c: x[order] for c, x in zip(ids, columns, strict=True)}
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -94,29 +116,29 @@ def _repeated_triggers(texts: DataFrame, window: int) -> DataFrame:
     )
 
 
-def _firsts(window: int, key, phrase, doc, start, n) -> pa.RecordBatch:
-    """One row per phrase of a task, its first; spans of the others are known to repeat."""
+def _firsts(window: int, ids: dict[str, np.ndarray], key, phrase, doc, start, n) -> pa.RecordBatch:
+    """One row per phrase of a task, its first; spans of the others are known to repeat.
+
+    ``doc`` is a place in ``ids``.
+    """
     order = np.lexsort((start, doc, phrase, key))
     key, phrase, doc, start, n = (x[order] for x in (key, phrase, doc, start, n))
     first = np.ones(len(key), dtype=bool)
     first[1:] = (key[1:] != key[:-1]) | (phrase[1:] != phrase[:-1])
-    # rows of one id and place (repeated rows) are all first
-    group = np.cumsum(first) - 1
-    at = np.flatnonzero(first)
-    same = (doc == doc[at][group]) & (start == start[at][group])
-    d, s, e = _merge(doc[~same], start[~same], start[~same] + n[~same] + window - 1)
+    d, s, e = _merge(doc[~first], start[~first], start[~first] + n[~first] + window - 1)
     k, none = first.sum(), np.zeros(len(d), dtype=np.uint64)
+    doc = np.concatenate([doc[first], d])
     return _batch(
         key=np.concatenate([key[first], none]),
         phrase=np.concatenate([phrase[first], none]),
-        doc=np.concatenate([doc[first], d]),
+        **{c: x[doc] for c, x in ids.items()},
         start=np.concatenate([start[first], s]).astype(np.int32),
         n=np.concatenate([n[first], e - s - window + 1]).astype(np.int32),
         again=np.arange(k + len(d)) >= k,
     )
 
 
-def _parse(texts: DataFrame, window: int, bits: np.ndarray) -> DataFrame:
+def _parse(texts: DataFrame, ids: list[str], window: int, bits: np.ndarray) -> DataFrame:
     """The parse: pieces of phrases whose trigger may repeat, by document and place."""
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
@@ -124,32 +146,30 @@ def _parse(texts: DataFrame, window: int, bits: np.ndarray) -> DataFrame:
         parser = Parser(window)
 
         def step(batch):
-            for part in by_bytes(batch, 1, CHUNK):
+            for part in by_bytes(batch, batch.schema.get_field_index("text"), CHUNK):
                 found = []
-                for doc, text in zip(_ids(part), _bytes(part), strict=True):
+                rank, known = _ranks(part, ids)
+                for doc, text in zip(rank, _bytes(part), strict=True):
                     key, phrase, start, n = parser.pieces(text, lambda k: in_bitmap(shared.value, k))
                     found.append((key, phrase, np.full(len(key), doc), start, n))
-                yield _firsts(window, *(np.concatenate(x) for x in zip(*found, strict=True)))
+                yield _firsts(window, known, *(np.concatenate(x) for x in zip(*found, strict=True)))
 
         return step
 
-    return arrow_map(texts, make, "key bigint, phrase bigint, doc bigint, start int, n int, again boolean")
+    return arrow_map(texts, make, f"key bigint, phrase bigint, {_typed(ids)}, start int, n int, again boolean")
 
 
-def _suffixes(entries: DataFrame, window: int) -> DataFrame:
+def _suffixes(entries: DataFrame, ids: list[str], window: int) -> DataFrame:
     """Window digests of dictionary phrases; ``again`` where the task itself has an earlier one."""
 
     def make():
         parser = Parser(window)
 
         def step(batch):
-            for part in by_bytes(batch, 1, CHUNK):
+            for part in by_bytes(batch, batch.schema.get_field_index("text"), CHUNK):
                 found = []
-                for doc, text, items in zip(_ids(part), _bytes(part), part.column(2).to_pylist(), strict=True):
-                    # entries beyond the end come from another row's text under the same id
-                    items = [x for x in items if x["start"] + x["n"] + window - 1 <= len(text)]
-                    if not items:
-                        continue
+                rank, known = _ranks(part, ids)
+                for doc, text, items in zip(rank, _bytes(part), part.column("entries").to_pylist(), strict=True):
                     n = np.array([x["n"] for x in items])
                     shift = np.repeat(np.array([x["start"] for x in items]) - np.cumsum(n) + n, n)
                     place = shift + np.arange(n.sum())
@@ -157,68 +177,64 @@ def _suffixes(entries: DataFrame, window: int) -> DataFrame:
                     check = (check * U(0x9E3779B97F4A7C15)) >> U(33)
                     h = mix(parser.windows(text)[place] ^ check)
                     found.append((h, np.full(len(h), doc), (check << U(32)) | place.astype(np.uint64)))
-                if not found:
-                    continue
                 h, doc, place = (np.concatenate(x) for x in zip(*found, strict=True))
                 pos, check = place & U(0xFFFFFFFF), place >> U(32)
                 order = np.lexsort((pos, doc, check, h))
                 h, doc, place, pos, check = (x[order] for x in (h, doc, place, pos, check))
                 first = np.ones(len(h), dtype=bool)
                 first[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
-                again = ~first
-                again[1:] &= ~((doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1]))
-                yield _batch(digest=h, doc=doc, place=place, again=again)
+                yield _batch(digest=h, **{c: x[doc] for c, x in known.items()}, place=place, again=~first)
 
         return step
 
-    return arrow_map(entries, make, "digest bigint, doc bigint, place bigint, again boolean")
+    return arrow_map(entries, make, f"digest bigint, {_typed(ids)}, place bigint, again boolean")
 
 
-def _resolve(phrases: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+def _resolve(phrases: DataFrame, ids: list[str], window: int) -> tuple[DataFrame, DataFrame]:
     """Spans of phrases that are not the first of their kind, and the entries to look into.
 
     A phrase has at most one row from each task, however common it is.
     """
-    order = Window.partitionBy("key", "phrase").orderBy("doc", "start")
+    order = Window.partitionBy("key", "phrase").orderBy(*ids, "start")
     # spans that are known already ride along, spread by their place
-    spread = phrases.withColumn("key", F.when(F.col("again"), F.xxhash64("doc", "start")).otherwise(F.col("key")))
+    spread = phrases.withColumn("key", F.when(F.col("again"), F.xxhash64(*ids, "start")).otherwise(F.col("key")))
     ranked = materialize(spread.withColumn("_later", F.rank().over(order) > 1), "ranked")
     end = (F.col("start") + F.col("n") + (window - 1)).alias("end")
-    repeated = ranked.where("again or _later").select("doc", "start", end)
+    repeated = ranked.where("again or _later").select(*ids, "start", end)
     dictionary = ranked.where("not again and not _later")
     shared = dictionary.groupBy("key").agg(F.min("phrase").alias("_a"), F.max("phrase").alias("_b"))
     entries = (
         dictionary.join(shared.where("_a != _b").select("key"), "key")
-        .select("doc", F.struct("key", "start", "n").alias("entry"))
-        .groupBy("doc")
+        .select(*ids, F.struct("key", "start", "n").alias("entry"))
+        .groupBy(*ids)
         .agg(F.collect_list("entry").alias("entries"))
     )
     return repeated, entries
 
 
-def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc, text, spans``: for each row of ``doc, text`` (binary) its repeated intervals.
+def spans(docs: DataFrame, ids: list[str], window: int = WINDOW) -> DataFrame:
+    """``ids``, ``text, spans``: for each row of ``ids`` and ``text`` (binary) its repeated intervals.
 
     Intervals may overlap; ``spans`` is null where nothing repeats.
     """
     bits = bitmap(_repeated_triggers(docs, window), "key")
-    coarse, entries = _resolve(_parse(docs, window, bits), window)
-    dealt = docs.repartition("doc")  # one exchange of the texts serves both joins
-    with_entries = dealt.join(entries.hint("shuffle_hash"), "doc").select("doc", "text", "entries")
-    order = Window.partitionBy("digest", F.shiftright("place", 32)).orderBy("doc", "place")
+    coarse, entries = _resolve(_parse(docs, ids, window, bits), ids, window)
+    dealt = docs.repartition(*ids)  # one exchange of the texts serves both joins
+    with_entries = dealt.join(entries.hint("shuffle_hash"), ids).select(*ids, "text", "entries")
+    order = Window.partitionBy("digest", F.shiftright("place", 32)).orderBy(*ids, "place")
     position = F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
     single = (
-        _suffixes(with_entries, window)
+        _suffixes(with_entries, ids, window)
         .withColumn("_rank", F.rank().over(order))
         .where("again or _rank > 1")
-        .select("doc", position.alias("start"), (position + window).alias("end"))
+        .select(*ids, position.alias("start"), (position + window).alias("end"))
     )
     per_doc = (
         coarse.unionByName(single)
-        .groupBy("doc")
+        .groupBy(*ids)
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
-    return dealt.join(per_doc.hint("shuffle_hash"), "doc", "left").select("doc", "text", "spans")
+    return dealt.join(per_doc.hint("shuffle_hash"), ids, "left").select(*ids, "text", "spans")
 
 
 def cut(text: bytes, found: list | None) -> tuple[list[tuple[int, int]], bytes]:
@@ -241,29 +257,21 @@ def clean(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         doc_key().alias("doc"), F.struct(F.col("text").cast("binary").alias("text"),
                                          *[F.col(c).alias(n) for c, n in zip(rest, names, strict=True)]).alias("row")
     )
-    base = packed.select("doc", F.col("row.text").alias("text"))
-    found = spans(base, window)
+    packed, ids = identified(packed, "row")
+    found = spans(packed.select(*ids, F.col("row.text").alias("text")), ids, window)
 
     def make():
         def step(batch):
             out = []
-            for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 got, left = cut(text or b"", found)
-                out.append((doc, text, left.decode("utf-8", "ignore") if got else None))
-            return pa.RecordBatch.from_pydict(
-                {"doc": [x[0] for x in out], "whole": [x[1] for x in out], "left": [x[2] for x in out]},
-                pa.schema([("doc", pa.int64()), ("whole", pa.binary()), ("left", pa.string())]),
-            )
+                out.append(left.decode("utf-8", "ignore") if got else None)
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ids), pa.array(out, pa.string())], [*ids, "left"])
 
         return step
 
-    cuts = (
-        arrow_map(found.where("spans is not null"), make, "doc bigint, whole binary, left string")
-        .where("left is not null")
-        .select("doc", F.xxhash64("whole").alias("_whole"), "left")
-        .dropDuplicates(["doc", "_whole"])
-    )
-    joined = packed.withColumn("_whole", F.xxhash64("row.text")).join(cuts, ["doc", "_whole"], "left")
+    cuts = arrow_map(found.where("spans is not null"), make, f"{_typed(ids)}, left string").where("left is not null")
+    joined = packed.join(cuts, ids, "left")
     text = F.coalesce("left", F.col("row.text").cast("string"))
     values = {n: F.col(f"row.{n}") for n in names}
     columns = []
@@ -279,12 +287,13 @@ def clean(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def op2_suffix_array_dedup(spark, sf_dir) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    found = spans(docs.select(doc_key().alias("doc"), F.col("text").cast("binary").alias("text")))
+    rows, ids = identified(docs.select(doc_key().alias("doc"), F.col("text").cast("binary").alias("text")), "text")
+    found = spans(rows.select(*ids, "text"), ids)
 
     def make():
         def step(batch):
             rows = []
-            for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "spans")), strict=True):
                 text = text or b""
                 got, left = cut(text, found)
                 rows.append((doc, len(text), len(text) - len(left), len(got), hashlib.sha256(left).hexdigest()))
