@@ -92,6 +92,11 @@ def test_suffix_dedup_tells_rows_of_one_id_apart(spark, tmp_path):
     assert sorted(map(str, rest)) == sorted(map(str, sure))
 
 
+def test_repeats_of_one_window_do_not_meet(spark):
+    rows = spark.range(200).select(F.lit(9).alias("digest"), F.col("id").alias("doc"), F.lit(4).alias("place"), (F.col("id") > 1).alias("again"))
+    assert rows.select(suffix_dedup._group(["doc"])).distinct().count() == 199
+
+
 def test_suffix_clean_keeps_columns_and_rows(docs):
     out = suffix_dedup.clean(docs)
     assert out.columns == docs.columns and out.count() == docs.count()

@@ -9,11 +9,12 @@ one phrase, so
   the parse alone decides, once per phrase and not per byte;
 * two different dictionary phrases can share windows only if they share their trigger.
   (Phrases with a repeated trigger are cut into pieces with longer triggers first, so few
-  do.) For those the dictionary's suffixes are ordered to the depth of one window (as digests,
-  since only equality at full depth counts), and among the suffixes of one class the
+  do.) For those the dictionary's windows are grouped by digest, and in a group the
   parse's order names the first in the corpus.
 
-Both together say of every window whether it starts earlier in the corpus too.
+Both together say of every window whether it starts earlier in the corpus too. No suffix array is
+built, neither of the dictionary nor of the parse: only equality to the depth of one window
+counts, which the digests tell without an order.
 
 Scale: hot phrases are reduced inside each task before anything is shuffled, the joins are
 on digests, and each step moves a few rows per phrase that is not unique. Phrases with a
@@ -33,7 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelane.llm.common import arrow_map, bitmap, by_bytes, doc_key, in_bitmap, materialize, read
@@ -212,6 +213,11 @@ def _resolve(phrases: DataFrame, ids: list[str], window: int) -> tuple[DataFrame
     return repeated, entries
 
 
+def _group(ids: list[str]) -> Column:
+    """The window's digest; rows known to repeat ride along, spread by their place."""
+    return F.when(F.col("again"), F.xxhash64(*ids, "place")).otherwise(F.col("digest"))
+
+
 def spans(docs: DataFrame, ids: list[str], window: int = WINDOW) -> DataFrame:
     """``ids``, ``text, spans``: for each row of ``ids`` and ``text`` (binary) its repeated intervals.
 
@@ -221,10 +227,11 @@ def spans(docs: DataFrame, ids: list[str], window: int = WINDOW) -> DataFrame:
     coarse, entries = _resolve(_parse(docs, ids, window, bits), ids, window)
     dealt = docs.repartition(*ids)  # one exchange of the texts serves both joins
     with_entries = dealt.join(entries.hint("shuffle_hash"), ids).select(*ids, "text", "entries")
-    order = Window.partitionBy("digest", F.shiftright("place", 32)).orderBy(*ids, "place")
+    order = Window.partitionBy("group", F.shiftright("place", 32), "again").orderBy(*ids, "place")
     position = F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
     single = (
         _suffixes(with_entries, ids, window)
+        .withColumn("group", _group(ids))
         .withColumn("_rank", F.rank().over(order))
         .where("again or _rank > 1")
         .select(*ids, position.alias("start"), (position + window).alias("end"))
