@@ -240,6 +240,14 @@ def test_warc_round_trip(spark, tmp_path):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_warc_revisits_of_a_page_with_two_payloads(spark, tmp_path):
+    a, b = "<p>a</p>" * 40, "<p>bb</p>" * 1000
+    rows = [(1, "u", a), (1, "u", b), (2, "u", a), (3, "u", b)]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/w")
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.load(spark, f"{tmp_path}/w").collect())
+    assert got == [(1, len(a), "response", None), (1, len(b), "response", None), (2, len(a), "revisit", 1), (3, len(b), "revisit", 1)]
+
+
 def test_pieces_are_sentencepieces_own(docs):
     import public_tokenizers
     import sentencepiece

@@ -10,7 +10,8 @@ shuffled.
 
 Reading: archives are parsed by their length headers. Whole records are decoded in place;
 segments are grouped by origin id, put in order of their number, checked against the total
-length, and decoded. Revisits get length and digest of the record they refer to.
+length, and decoded. Revisits get length and digest of the record they refer to, which
+page id and digest name together.
 
 Null html is an empty payload. All rows of the smallest page id are responses, also when the
 row repeats. Null page ids come after all others.
@@ -244,10 +245,9 @@ def load(spark: SparkSession, path: str) -> DataFrame:
         F.lit("response").alias("kind"), "page", "digest", F.lit(None).cast("bigint").alias("refers"), "size"
     )
     both = whole.unionByName(rebuilt)
-    sizes = both.where("kind = 'response'").groupBy(F.col("page").alias("refers")).agg(
-        F.max("size").alias("_size"), F.max("digest").alias("_digest")
-    )
-    kinds = both.where("kind = 'revisit'").drop("size").join(sizes, "refers", "left").withColumn("size", F.when(F.col("digest") == F.col("_digest"), F.col("_size")))
+    # a page may hold several payloads; record ids are of page and payload, and so is this
+    sizes = both.where("kind = 'response'").groupBy(F.col("page").alias("refers"), "digest").agg(F.max("size").alias("size"))
+    kinds = both.where("kind = 'revisit'").drop("size").join(sizes, ["refers", "digest"], "left")
     out = both.where("kind = 'response'").unionByName(kinds.select("kind", "page", "digest", "refers", "size"))
     return out.select(
         F.nullif("page", F.lit(NONE)).alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
