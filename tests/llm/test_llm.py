@@ -309,6 +309,33 @@ def test_packing(spark, docs):
     assert packing.lower_bound(np.array([1500, 1500, 400])) == 2
 
 
+def items(spark, lengths):
+    rows = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "doc_id long, length long")
+    zero = F.lit(0).cast("bigint")
+    return rows.select("doc_id", F.lit(0).alias("piece"), zero.alias("start"), "length", zero.alias("ids_crc32"))
+
+
+def test_packing_goes_on_while_bins_are_saved(spark, caplog):
+    caplog.set_level("INFO", packing.__name__)
+    lengths = np.random.default_rng(3).integers(600, 1100, 400)
+    out = packing.pack(items(spark, lengths), part=40).collect()
+    assert sorted(r.doc_id for r in out) == list(range(400))
+    by = {}
+    for r in out:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for v in by.values():
+        v.sort()
+        assert all(o == sum(n for _, n in v[:k]) for k, (o, _) in enumerate(v)) and sum(n for _, n in v) <= packing.CAPACITY
+    assert caplog.messages == [f"{len(by)} sequences, at least {packing.lower_bound(lengths)} needed"]
+
+
+def test_equal_pieces_are_dealt_apart_in_every_round(spark):
+    # nine hundreds: two to a bin, below the bound in no part
+    same = items(spark, [900] * 60).withColumn("doc_id", F.lit(1).cast("bigint"))
+    out = packing.pack(same, part=10).collect()
+    assert len(out) == 60 and len({r.sequence_id >> 24 & 0xFFFFFF for r in out}) > 1
+
+
 def test_empty_tables(spark, empty):
     for query in (fingerprints.op1_document_fingerprints, suffix_dedup.op2_suffix_array_dedup, quality_rules.op3_quality_rules,
                   quality_classifier.op4_quality_classifier, sentencepiece_viterbi.op7_sentencepiece_viterbi,

@@ -6,7 +6,9 @@ decreasing. A lower bound from dual feasible functions (round sizes up to a whol
 ``capacity - a``, drop those below ``a``, for every ``a``) certifies a partition whose bin
 count equals it. Partitions with a gap put their pieces into a common pool, certified ones the
 contents of their emptiest bin; the pool is dealt anew and packed again, in rounds, until it fits
-one partition. A round's pool holds about one bin of every partition, so it shrinks fast.
+one partition, or until a round neither shrinks it nor saves a bin; then the pool's packing with the
+fewest bins is taken. Where most parts meet the bound a round's pool holds about one bin of every
+partition and shrinks fast. The bins used and the bound of all pieces are logged.
 
 Null text is empty, and an empty text is one piece holding the end id alone. Repeated rows
 are packed as often as they occur. An empty table gives no pieces.
@@ -14,6 +16,7 @@ are packed as often as they occur. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 
@@ -27,12 +30,13 @@ from tradelane.llm.common import arrow_map, materialize, read
 
 CAPACITY = 2048
 PART = 50_000
-ROUNDS = 6
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a task remembers; the oldest half goes when it is full.
 MEMORY = 400_000
 
 
+log = logging.getLogger(__name__)
+
 #: A closing mark that stands alone after a Latin letter, and words of such letters.
 _MARK = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\xa0-\xb6\xb8-\xbf]))([.,])(?![^ \t\n\r])")
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -146,13 +150,17 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     """No packing has fewer bins, by the best of the dual feasible functions for each ``a``."""
-    n = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    return _bound(np.bincount(lengths, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def _bound(n: np.ndarray, capacity: int) -> int:
+    """``lower_bound`` of ``n[x]`` items of each length ``x``."""
     count, total = np.cumsum(n), np.cumsum(n * np.arange(capacity + 1))
     a = np.arange(capacity // 2 + 1)
     above = count[-1] - count[capacity - a]  # counted as a whole bin
     below = np.where(a > 0, total[np.maximum(a - 1, 0)], 0)  # counted as nothing
     middle = total[capacity - a] - below
-    return int((above + -(-middle // capacity)).max()) if len(lengths) else 0
+    return int((above + -(-middle // capacity)).max())
 
 
 def _packed(table: pa.Table, capacity: int) -> pa.Table:
@@ -168,26 +176,45 @@ def _packed(table: pa.Table, capacity: int) -> pa.Table:
     return table.append_column("bin", pa.array(bins)).append_column("offset", pa.array(offsets)).append_column("again", pa.array(again))
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART, rounds: int = ROUNDS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, part: int = PART) -> DataFrame:
     """``items`` (``doc_id, piece, start, length, ids_crc32``) with ``sequence_id`` and ``offset``."""
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part bigint, bin bigint, offset bigint, again boolean"
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     pool, done = materialize(items.select(columns), "pieces"), []
-    left = pool.count()
-    for k in range(rounds):
+    n = np.zeros(capacity + 1, dtype=np.int64)
+    for r in pool.groupBy("length").count().collect():
+        n[r["length"]] = r["count"]
+    left, used, k = int(n.sum()), 0, 0
+    best = None  # the present pool's packing with the fewest bins, and their number
+
+    def close(packed: DataFrame, k: int) -> None:
+        number = F.lit(k << 48) + F.shiftleft(F.col("part"), 24) + F.col("bin")
+        done.append(packed.select(*columns, number.alias("sequence_id"), "offset"))
+
+    while True:
         parts = max(1, -(-left // part))
-        last = parts == 1 or k == rounds - 1
-        dealt = pool.withColumn("part", F.pmod(F.xxhash64(F.lit(k), *columns, F.monotonically_increasing_id() if k == 0 else F.lit(0)), F.lit(parts)))
+        dealt = pool.withColumn("part", F.pmod(F.xxhash64(F.lit(k), *columns, F.monotonically_increasing_id()), F.lit(parts)))
         packed = materialize(dealt.groupBy("part").applyInArrow(lambda t: _packed(t, capacity), schema), "packed")
-        number = F.lit(k << 56) + F.shiftleft(F.col("part"), 24) + F.col("bin")
-        closed = packed if last else packed.where("not again")
-        done.append(closed.select(*columns, number.alias("sequence_id"), "offset"))
-        if last:
-            break
-        pool = packed.where("again").select(columns)
-        left = pool.count()
-        if not left:
+        # a part puts back all its bins, or one, or none
+        back = F.when(F.col("again") == F.col("rows"), F.col("bins")).otherwise((F.col("again") > 0).cast("bigint"))
+        bins, again, held = (
+            packed.groupBy("part")
+            .agg((F.max("bin") + 1).alias("bins"), F.count_if("again").alias("again"), F.count(F.lit(1)).alias("rows"))
+            .agg(F.coalesce(F.sum("bins"), F.lit(0)), F.coalesce(F.sum("again"), F.lit(0)), F.coalesce(F.sum(back), F.lit(0)))
+            .first()
+        )
+        stuck = again == left and best is not None and bins >= best[1]
+        if parts == 1 or not again or stuck:
+            packed, bins, k = min(((packed, bins, k), best or (packed, bins, k)), key=lambda x: x[1])
+            close(packed, k)
+            used += bins
             break
+        if again < left:
+            close(packed.where("not again"), k)
+            pool, left, used = packed.where("again").select(columns), again, used + bins - held
+        best = (packed.where("again"), held, k)
+        k += 1
+    log.info("%d sequences, at least %d needed", used, _bound(n, capacity))
     out = done[0]
     for other in done[1:]:
         out = out.unionByName(other)
