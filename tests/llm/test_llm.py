@@ -351,3 +351,65 @@ def test_pipeline_ends_in_gapless_sequences(spark, folder):
     for r in out:
         total.setdefault(r.sequence_id, []).append((r.offset, r.length))
     assert out and all(sum(n for _, n in v) <= 2048 for v in total.values())
+
+
+def plain_stages(spark, rows):
+    """The pipeline's stages in plain Python on ``(doc_id, text)``: texts left after each, and the pieces."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    left, counts = {}, []
+    for i, t in rows:
+        found = quality_rules.judge(t)
+        if found["kept"]:
+            left[i] = found["clean"]
+    counts.append(len(left))
+    weights = quality_classifier.train(spark.createDataFrame(sorted(left.items()), "doc_id long, text string"))
+
+    def good(text):
+        b = text.encode()
+        return b and quality_classifier.features(b, quality_classifier.measures(b)) @ weights[:-1] + weights[-1] >= 0
+
+    left = {i: t for i, t in left.items() if good(t)}
+    counts.append(len(left))
+    group = components({i: shingles(t) for i, t in left.items()}, 80)
+    left = {i: t for i, t in left.items() if group[i] == i}
+    counts.append(len(left))
+    seen, pieces, cut = set(), [], 0
+    tok = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    for i, t in sorted(left.items()):
+        b = t.encode()
+        gone = np.zeros(len(b), dtype=bool)
+        for p in range(len(b) - 99):
+            if b[p : p + 100] in seen:
+                gone[p : p + 100] = True
+            seen.add(b[p : p + 100])
+        cut += int(gone.sum())
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone]).decode("utf-8", "ignore")
+        ids = np.array([*tok.encode(kept, add_special_tokens=False).ids, 0], dtype="<u4")
+        for k in range(0, len(ids), 2048):
+            part = ids[k : k + 2048]
+            pieces.append((i, k // 2048, k, len(part), zlib.crc32(part.tobytes())))
+    return counts, cut, pieces
+
+
+@pytest.mark.parametrize("given", [False, True])
+def test_pipeline_is_its_plain_stages(spark, folder, given):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001" if given else folder
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not there")
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    counts, cut, want = plain_stages(spark, rows)
+    assert not given or (len(rows) > counts[0] and counts[1] > counts[2] and cut)
+    out = corpus_pipeline.run(spark, sf).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == sorted(want)
+    by = {}
+    for r in out:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for v in by.values():
+        v.sort()
+        assert all(o == sum(n for _, n in v[:k]) for k, (o, _) in enumerate(v)) and sum(n for _, n in v) <= 2048
