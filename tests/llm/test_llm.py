@@ -331,9 +331,9 @@ def test_packing_goes_on_while_bins_are_saved(spark, caplog):
 
 def test_equal_pieces_are_dealt_apart_in_every_round(spark):
     # nine hundreds: two to a bin, below the bound in no part
-    same = items(spark, [900] * 60).withColumn("doc_id", F.lit(1).cast("bigint"))
-    out = packing.pack(same, part=10).collect()
-    assert len(out) == 60 and len({r.sequence_id >> 24 & 0xFFFFFF for r in out}) > 1
+    same = items(spark, [900] * 120).withColumn("doc_id", F.lit(1).cast("bigint"))
+    out = packing.pack(same, part=30).collect()
+    assert len(out) == 120 and len({r.sequence_id >> 24 & 0xFFFFFF for r in out}) > 1
 
 
 def test_empty_tables(spark, empty):
