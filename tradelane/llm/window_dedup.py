@@ -11,9 +11,10 @@ those of one anchor's place are a phrase.
    The sketches of the partitions are merged by adding cells up. The least of an anchor's cells
    overestimates the anchor, and so its windows: what is estimated at one is unique and is done with.
 2. The other phrases are grouped exactly, by digest. One found twice or more is repeated whole.
-3. Where an anchor estimated as repeated serves unlike phrases, some windows may be shared and some
-   not: these windows are grouped exactly, one by one.
+3. Where an anchor serves unlike phrases, some windows of those found once may be shared: their
+   windows are grouped exactly, one by one, with those of one example of each repeated phrase.
 4. Spans found are made distinct per text before they are gathered, and cut from the rows.
+   Fixed-size bitmaps spare rows that need no grouping, and texts without spans the shuffle.
 
 No window is lost: a repeated one has a repeated anchor, so it reaches step 2, and unless its
 phrases are equal, step 3. Rows are told apart by the digest of their text: equal texts are cut
@@ -24,8 +25,8 @@ Size: the sketch has four cells for each anchor expected of the text's bytes, up
 cell of one row, so 32 MB at most are broadcast. On more text cells fill up and step 2 groups more
 phrases: some 40 bytes for every 16 words. Results do not change.
 
-Exact means by 128-bit digests: words by BLAKE2b, windows by two independent sums of their 35 word
-digests under random odd factors. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null and empty texts
+Exact means by 128-bit digests: words by lanes of eight bytes mixed into two numbers (long ones by
+BLAKE2b), windows by two independent sums of their word digests under random odd factors. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null and empty texts
 have none. Texts of any length are read whole, in slices of ``SLICE`` bytes or one text. Null and
 repeated ids are plain rows; an empty table gives an empty result; other columns pass through
 ``clean``.
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 
 from tradelane.llm.common import arrow_map, bitmap, by_bytes, in_bitmap, materialize, read
 from tradelane.llm.phrases import mix, sliding_min, union
+from tradelane.llm.words import word_digests
 from tradelane.session import shuffles_dropped
 
 U = np.uint64
@@ -51,18 +53,6 @@ MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 27
 #: Text bytes for which the sketch has one cell a row: about a quarter of an anchor.
 BYTES_PER_CELL = 24
 SLICE = 4 << 20
-#: Words whose digests a task remembers.
-KNOWN = 1 << 20
-
-
-class _Digests(dict):
-    """Word -> 128-bit digest, remembered up to ``KNOWN`` words."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KNOWN:
-            self.clear()
-        found = self[word] = hashlib.blake2b(word, digest_size=16).digest()
-        return found
 
 
 class Windows:
@@ -71,21 +61,13 @@ class Windows:
     def __init__(self, window: int = WINDOW):
         if window < GRAM:
             raise ValueError(f"windows have at least {GRAM} words")
-        self.window, self.known = window, _Digests()
+        self.window = window
         stream = np.random.default_rng(1201)
         self.gram = stream.integers(0, 2**63, GRAM, dtype=np.uint64) * U(2) + U(1)
         self.factors = stream.integers(0, 2**63, (2, window), dtype=np.uint64) * U(2) + U(1)
 
     def load(self, texts: list[bytes | None]) -> None:
-        words: list[bytes] = []
-        count = []
-        for text in texts:
-            own = text.split() if text else []
-            words += own
-            count.append(len(own))
-        both = np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=np.uint64).reshape(-1, 2)
-        self.words = np.ascontiguousarray(both.T)
-        self.count = np.array(count, dtype=np.int64)
+        self.words, self.count = word_digests(texts)
         self.first = np.cumsum(self.count) - self.count
 
     def phrases(self):
@@ -171,107 +153,187 @@ def estimated_repeated(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     return hit
 
 
-def _found(texts: DataFrame, wanted, window: int, single: bool) -> DataFrame:
-    """``key, start, n, anchor, h1, h2``: phrases whose anchor ``wanted()`` takes, or their windows one by one."""
+def _phrases(texts: DataFrame, window: int, result) -> DataFrame:
+    """Rows of the texts' phrases: ``result()``, made once per task, chooses by anchor and builds them."""
 
     def make():
-        windows, takes = Windows(window), wanted()
+        windows, made = Windows(window), result()
 
         def step(batch):
             for part in by_bytes(batch, 0, SLICE):
-                texts = part.column(0).to_pylist()
-                windows.load(texts)
+                own = part.column(0).to_pylist()
+                windows.load(own)
                 anchor, start, n, offset = windows.phrases()
-                hit = takes(anchor)
-                anchor, start, n, offset = anchor[hit], start[hit], n[hit], offset[hit]
-                if not len(start):
+                hit = made.wants(anchor)
+                if not hit.any():
                     continue
-                if single:
-                    anchor = np.repeat(anchor, n)
-                    start = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    n = np.ones(len(start), dtype=np.int64)
-                    h1, h2 = windows.digests(start)
-                else:  # first and last window share or touch, so together they are the phrase
-                    (a1, a2), (b1, b2) = windows.digests(start), windows.digests(start + n - 1)
-                    shape = (n * 64 + offset).astype(np.uint64)
-                    h1, h2 = mix(a1 * U(0x9E3779B97F4A7C15) + b1 + shape), mix(a2 * U(0xC2B2AE3D27D4EB4F) + b2 + shape)
+                anchor, start, n, offset = anchor[hit], start[hit], n[hit], offset[hit]
                 text = windows.text_of(start)
-                keys = {t: text_key(texts[t]) for t in np.unique(text).tolist()}
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([keys[t] for t in text.tolist()], pa.binary()), pa.array((start - windows.first[text]).astype(np.int32)),
-                        pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-                    ],
-                    ["key", "start", "n", "anchor", "h1", "h2"],
-                )
+                some = np.unique(text)
+                keys = np.frombuffer(b"".join([text_key(own[t]) for t in some.tolist()]), dtype="V16")[np.searchsorted(some, text)]
+                yield made.rows(windows, anchor, start, n, offset, keys, start - windows.first[text])
 
         return step
 
-    return arrow_map(texts, make, "key binary, start int, n int, anchor bigint, h1 bigint, h2 bigint")
+    return arrow_map(texts, make, result.schema)
+
+
+def _binary(keys: np.ndarray) -> pa.Array:
+    return pa.array(keys.tolist(), pa.binary())
+
+
+def _phrase_digests(windows: Windows, start, n, offset):
+    """First and last window share or touch, so together they are the phrase."""
+    (a1, a2), (b1, b2) = windows.digests(start), windows.digests(start + n - 1)
+    shape = (n * 64 + offset).astype(np.uint64)
+    return mix(a1 * U(0x9E3779B97F4A7C15) + b1 + shape), mix(a2 * U(0xC2B2AE3D27D4EB4F) + b2 + shape)
+
+
+def _spot(keys: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A number for a place in a text."""
+    return mix(keys.view(np.uint64).reshape(-1, 2)[:, 0] + place.astype(np.uint64) * U(0x9E3779B97F4A7C15))
+
+
+class _Repeated:
+    """Step 2's rows: phrases whose anchor the sketch estimates as repeated."""
+
+    schema = "key binary, start int, n int, anchor bigint, h1 bigint, h2 bigint, spot bigint"
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def wants(self, anchor):
+        return estimated_repeated(self.bits, anchor)
+
+    def rows(self, windows, anchor, start, n, offset, keys, place):
+        h1, h2 = _phrase_digests(windows, start, n, offset)
+        numbers = [x.view(np.int64) for x in (anchor, h1, h2, _spot(keys, place))]
+        return pa.RecordBatch.from_arrays(
+            [_binary(keys), pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32)), *map(pa.array, numbers)],
+            ["key", "start", "n", "anchor", "h1", "h2", "spot"],
+        )
+
+
+class _Single:
+    """Step 3's rows: windows of phrases found once, and without place those of one of each repeated phrase."""
+
+    schema = "key binary, start int, weight int, h1 bigint, h2 bigint"
+
+    def __init__(self, anchors: np.ndarray, lone: np.ndarray, examples: np.ndarray):
+        self.anchors, self.lone, self.examples = anchors, lone, examples
+
+    def wants(self, anchor):
+        return in_bitmap(self.anchors, anchor)
+
+    def rows(self, windows, anchor, start, n, offset, keys, place):
+        lone = in_bitmap(self.lone, _phrase_digests(windows, start, n, offset)[0])
+        use = lone | in_bitmap(self.examples, _spot(keys, place))
+        lone, start, n, keys, place = lone[use], start[use], n[use], keys[use], place[use]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        lone, keys, place = (np.repeat(x, n) for x in (lone, keys, place))
+        h1, h2 = windows.digests(np.repeat(start, n) + inner)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k if x else None for k, x in zip(keys.tolist(), lone.tolist(), strict=True)], pa.binary()),
+                pa.array((place + inner).astype(np.int32)), pa.array(np.where(lone, 1, 2).astype(np.int32)),
+                pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
+            ],
+            ["key", "start", "weight", "h1", "h2"],
+        )
+
+
+def _within(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """Rows whose ``column`` may be in the bitmap."""
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+    at = df.columns.index(column)
+
+    def step(batch):
+        return batch.filter(pa.array(in_bitmap(shared.value, batch.column(at).to_numpy(zero_copy_only=False))))
+
+    return arrow_map(df, lambda: step, ", ".join(f"{n} {t}" for n, t in df.dtypes))
 
 
 def spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """``key, start, length``: distinct runs of words in repeated windows, by text digest; they may overlap.
 
-    ``texts`` has one column, ``text`` (binary), and is read four times.
+    ``texts`` has one column, ``text`` (binary), and is read four times over.
     """
     spark = texts.sparkSession
-    cells = cells_for(texts)
-    merged = spark.sparkContext.broadcast(sketch(texts, cells, window))
-    phrases = materialize(
-        _found(texts, lambda: lambda anchor: estimated_repeated(merged.value, anchor), window, single=False), "phrases"
+    share = spark.sparkContext.broadcast
+    merged = share(sketch(texts, cells_for(texts), window))
+    phrases = materialize(_phrases(texts, window, _late(_Repeated, merged)), "phrases")
+    counts = materialize(
+        phrases.groupBy("anchor", "h1", "h2").agg(F.count(F.lit(1)).alias("c"), F.min("spot").alias("spot")), "phrase_counts"
     )
-    counts = materialize(phrases.groupBy("anchor", "h1", "h2").agg(F.count(F.lit(1)).alias("c")), "phrase_counts")
     whole = phrases.join(counts.where("c > 1").select("anchor", "h1", "h2"), ["anchor", "h1", "h2"], "left_semi")
-    unlike = counts.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    mixed = spark.sparkContext.broadcast(bitmap(unlike, "anchor"))
-    singles = materialize(
-        _found(texts, lambda: lambda anchor: in_bitmap(mixed.value, anchor), window, single=True).drop("n", "anchor"), "windows"
+    unlike = materialize(counts.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"), "anchors")
+    mixed = counts.join(unlike, "anchor", "left_semi")
+    chosen = [share(bitmap(*x)) for x in ((unlike, "anchor"), (mixed.where("c = 1"), "h1"), (mixed.where("c > 1"), "spot"))]
+    singles = materialize(_phrases(texts, window, _late(_Single, *chosen)), "windows")
+    twice = materialize(
+        singles.groupBy("h1", "h2").agg(F.sum("weight").alias("w")).where("w > 1").select("h1", "h2"), "repeated"
     )
-    twice = materialize(singles.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "repeated")
-    shared = singles.join(twice, ["h1", "h2"], "left_semi").withColumn("n", F.lit(1))
-    found = [x.select("key", "start", (F.col("n") + window - 1).alias("length")) for x in (whole, shared)]
+    shared = _within(singles.where("key is not null"), "h1", bitmap(twice, "h1")).join(twice, ["h1", "h2"], "left_semi")
+    found = [x.select("key", "start", (n + window - 1).alias("length")) for x, n in ((whole, F.col("n")), (shared, F.lit(1)))]
     return found[0].unionByName(found[1]).distinct()
 
 
+def _late(kind, *shared):
+    """``kind`` made in the task from broadcast values."""
+
+    def make():
+        return kind(*[x.value for x in shared])
+
+    make.schema = kind.schema
+    return make
+
+
 def _cut(docs: DataFrame, window: int, schema: str, result) -> DataFrame:
-    """``mapInArrow`` over ``text, spans, *rest`` of ``docs`` with ``result(words, kept words, batch columns)``."""
+    """``mapInArrow`` over ``text, spans, *rest`` of ``docs`` with ``result(batch, (words, kept words) per row)``.
+
+    Only texts with a span, going by a bitmap of their digests, are shuffled to meet their spans.
+    """
     names = [f"_{i}" for i in range(len(docs.columns))]
     packed = docs.toDF(*names)
     at = names[docs.columns.index("text")]
     texts = packed.select(F.col(at).cast("binary").alias("text"))
-    gathered = spans(texts, window).groupBy("key").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths")
-    )
+    place = F.struct("start", "length")
+    gathered = materialize(spans(texts, window).groupBy("key").agg(F.collect_list(place).alias("spans")), "spans")
+    head = F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("bigint").alias("head")
+    hit = docs.sparkSession.sparkContext.broadcast(bitmap(gathered.select(head), "head"))
+    own = ", ".join(f"`{n}` {t}" for n, t in packed.dtypes)
+    source = packed.select(F.col(at).cast("binary").alias("_text"), *names)
 
-    def keys(batch):
-        key = pa.array([text_key(t) for t in batch.column(0).to_pylist()], pa.binary())
-        return pa.RecordBatch.from_arrays([key, *batch.columns[1:]], ["_key", *batch.schema.names[1:]])
+    def marked(batch):
+        keys = [text_key(t) for t in batch.column(0).to_pylist()]
+        return keys, in_bitmap(hit.value, np.array([int.from_bytes(k[:7], "big") for k in keys], dtype=np.int64))
 
-    own = ", ".join(f"`{n}` {t}" for n, t in packed.dtypes)
-    keyed = arrow_map(packed.select(F.col(at).cast("binary").alias("_text"), *names), lambda: keys, f"_key binary, {own}")
-    joined = keyed.join(gathered, F.col("_key") == F.col("key"), "left").select(
-        F.col(at).cast("binary").alias("text"), "starts", "lengths", *names
-    )
+    def with_key(batch):
+        keys, cut = marked(batch)
+        batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *batch.columns], ["_key", *batch.schema.names])
+        return batch.filter(pa.array(cut))
 
-    def make():
-        def step(batch):
-            return result(batch, [_split(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)])
+    def untouched(batch):
+        batch = batch.filter(pa.array(~marked(batch)[1]))
+        return result(batch, 1, [_split(t, None) for t in batch.column(0).to_pylist()]) if batch.num_rows else None
 
-        return step
+    def cut(batch):
+        return result(batch, 2, [_split(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True)])
 
-    return arrow_map(joined, make, schema)
+    keyed = arrow_map(source, lambda: with_key, f"_key binary, _text binary, {own}")
+    joined = keyed.join(gathered, F.col("_key") == F.col("key"), "left").select("_text", "spans", *names)
+    return arrow_map(source, lambda: untouched, schema).unionByName(arrow_map(joined, lambda: cut, schema))
 
 
-def _split(text: bytes | None, starts: list[int] | None, lengths: list[int] | None) -> tuple[int, list[bytes]]:
+def _split(text: bytes | None, spans: list[dict] | None) -> tuple[int, list[bytes]]:
     """``(words, words that stay)``."""
     words = text.split() if text else []
-    if not starts:
+    if not spans:
         return len(words), words
-    begin = np.array(starts, dtype=np.int64)
+    start, length = (np.array([x[k] for x in spans], dtype=np.int64) for k in ("start", "length"))
     kept: list[bytes] = []
     done = 0
-    for a, b in zip(*(x.tolist() for x in union(begin, begin + np.array(lengths, dtype=np.int64))), strict=True):
+    for a, b in zip(*(x.tolist() for x in union(start, start + length)), strict=True):
         kept += words[done:a]
         done = b
     return len(words), kept + words[done:]
@@ -286,14 +348,14 @@ def clean(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = ", ".join(f"`_{i}` {t}" for i, (_, t) in enumerate(docs.dtypes))
     at = {names.index("text"): pa.string()} | ({names.index("n_chars"): None} if "n_chars" in names else {})
 
-    def result(batch, rows):
-        old = batch.column(3 + names.index("text")).to_pylist()
+    def result(batch, first, rows):
+        old = batch.column(first + names.index("text")).to_pylist()
         text = [o if len(kept) == n else b" ".join(kept).decode() for o, (n, kept) in zip(old, rows, strict=True)]
-        columns = list(batch.columns[3:])
+        columns = list(batch.columns[first:])
         for i in at:
             values = text if names[i] == "text" else [len(t or "") for t in text]
             columns[i] = pa.array(values).cast(columns[i].type)
-        return pa.RecordBatch.from_arrays(columns, batch.schema.names[3:])
+        return pa.RecordBatch.from_arrays(columns, batch.schema.names[first:])
 
     return _cut(docs, window, schema, result).toDF(*names)
 
@@ -301,11 +363,11 @@ def clean(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row of ``docs``."""
 
-    def result(batch, rows):
+    def result(batch, first, rows):
         n, kept = [r[0] for r in rows], [r[1] for r in rows]
         return pa.RecordBatch.from_arrays(
             [
-                batch.column(3), pa.array(n, pa.int64()), pa.array([a - len(k) for a, k in zip(n, kept, strict=True)], pa.int64()),
+                batch.column(first), pa.array(n, pa.int64()), pa.array([a - len(k) for a, k in zip(n, kept, strict=True)], pa.int64()),
                 pa.array([hashlib.sha256(b" ".join(k)).hexdigest() for k in kept]),
             ],
             ["doc_id", "n_words", "n_removed", "kept_sha256"],
