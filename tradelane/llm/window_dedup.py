@@ -52,7 +52,7 @@ ROWS = 2
 MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 27
 #: Text bytes for which the sketch has one cell a row: about a quarter of an anchor.
 BYTES_PER_CELL = 24
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 class Windows:
@@ -315,10 +315,12 @@ def _cut(docs: DataFrame, window: int, schema: str, result) -> DataFrame:
 
     def untouched(batch):
         batch = batch.filter(pa.array(~marked(batch)[1]))
-        return result(batch, 1, [_split(t, None) for t in batch.column(0).to_pylist()]) if batch.num_rows else None
+        for part in by_bytes(batch, 0, SLICE) if batch.num_rows else ():
+            yield result(part, 1, [_split(t, None) for t in part.column(0).to_pylist()])
 
     def cut(batch):
-        return result(batch, 2, [_split(*row) for row in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True)])
+        for part in by_bytes(batch, 0, SLICE):
+            yield result(part, 2, [_split(*row) for row in zip(*(part.column(i).to_pylist() for i in range(2)), strict=True)])
 
     keyed = arrow_map(source, lambda: with_key, f"_key binary, _text binary, {own}")
     joined = keyed.join(gathered, F.col("_key") == F.col("key"), "left").select("_text", "spans", *names)
