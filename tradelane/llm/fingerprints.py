@@ -2,7 +2,8 @@
 
 Every five-word shingle is hashed once. The top bits of the hash name one of ``BINS`` bins
 and each bin keeps its least value. An empty bin is filled by optimal densification: it
-borrows from the full bin that comes first in a pseudo-random order of its own. Of each bin the low
+tries other bins in a pseudo-random order of its own and borrows from the first full one (after
+``TRIES`` in vain, from the full bin with the least hash beside its own number). Of each bin the low
 eight bits are stored, seven bins packed into a long; the likeness of two fingerprints
 is the share of equal bins, corrected for the 1 in 256 that agree by chance.
 
@@ -13,6 +14,8 @@ other (1.0), unlike any other (0.0).
 
 from __future__ import annotations
 
+from random import Random
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +28,8 @@ LANES = 7
 #: Bits of a bin's value below the bin number: 56-bit hashes.
 LOW_BITS = 56 - BIN_BITS
 LOW = (1 << LOW_BITS) - 1
+#: Factors and addends (48 bits) of an empty bin's first tries.
+TRIES = [tuple(Random(k).getrandbits(48) | 1 for _ in range(2)) for k in range(16)]
 #: Rows of one slice when neighbours are looked up.
 SLICE = 500
 
@@ -32,6 +37,7 @@ SLICE = 500
 def with_fingerprint(df: DataFrame, text: str, out: str, packed: str | None = None) -> DataFrame:
     """``df`` with the hex fingerprint of column ``text`` in ``out``, and as longs in ``packed``."""
     kept = df.columns
+    none = F.slice(F.array(F.lit(0).cast("bigint")), 1, 0)  # an array without nulls is sorted as plain longs
     empties = F.array(*[F.lit((b << LOW_BITS) | LOW).cast("bigint") for b in range(BINS)])
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[ \\t-\\r]+"), lambda w: w != "")
     step = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
@@ -42,7 +48,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str, packed: str | None = No
             F.sequence(F.lit(1), F.greatest(n - (WORDS - 1), F.lit(1))),
             lambda i: F.shiftrightunsigned(F.xxhash64(*[F.get("_h", i + (j - 1)) for j in range(WORDS)]), 8),
         ),
-    ).otherwise(F.when(n > 0, F.array(F.shiftrightunsigned(F.xxhash64("_h"), 8))).otherwise(F.array().cast("array<bigint>")))
+    ).otherwise(F.when(n > 0, F.array(F.shiftrightunsigned(F.xxhash64("_h"), 8))).otherwise(none))
     step = step.withColumn("_s", F.sort_array(F.concat(shingle, empties)))
     # the first of each run of equal bins: one value per bin, in bin order
     step = step.withColumn(
@@ -63,8 +69,18 @@ def with_fingerprint(df: DataFrame, text: str, out: str, packed: str | None = No
         )
         return F.array_min(rank).bitwiseAND(255)
 
+    step = step.withColumn("_n", F.transform("_d", lambda v: F.when(v.bitwiseAND(LOW) != LOW, v.bitwiseAND(255))))
+
+    def tried(v: Column) -> list[Column]:
+        """The bins an empty bin tries first, by multiply-shift hashing of its number."""
+        b = F.shiftrightunsigned(v, LOW_BITS)
+        return [F.get("_n", F.shiftrightunsigned(b * F.lit(m) + F.lit(a), 40).bitwiseAND(BINS - 1).cast("int")) for m, a in TRIES]
+
     step = step.withColumn(
-        "_b", F.transform("_d", lambda v: F.when(v.bitwiseAND(LOW) != LOW, v.bitwiseAND(255)).otherwise(borrowed(v)))
+        "_b",
+        F.transform(
+            "_d", lambda v: F.when(v.bitwiseAND(LOW) != LOW, v.bitwiseAND(255)).otherwise(F.coalesce(*tried(v), borrowed(v)))
+        ),
     )
 
     def lane(i: Column) -> Column:
