@@ -38,7 +38,7 @@ MEMORY = 400_000
 log = logging.getLogger(__name__)
 
 #: A closing mark that stands alone after a Latin letter, and words of such letters.
-_MARK = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\xa0-\xb6\xb8-\xbf]))([.,])(?![^ \t\n\r])")
+_MARK = re.compile(rb"[.,](?![^ \t\n\r])(?:(?<=[a-z].)|(?<=\xc3[\xa0-\xb6\xb8-\xbf].))")
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
@@ -80,7 +80,7 @@ class Words:
         for t in texts:
             t = t or b""
             # special strings are told by their case
-            split.append((t if b"<|" in t else _MARK.sub(rb" \1", t.lower())).split())
+            split.append((t if b"<|" in t else _MARK.sub(rb" \g<0>", t.lower())).split())
         known = self.known
         if len(known) > MEMORY:
             for w in list(known)[: MEMORY // 2]:
