@@ -18,8 +18,11 @@ threshold), then the exact test on full sets.
 With 32 bands of 6 a pair at similarity 0.85 shares a bucket with probability 1 - 3e-7
 (0.80: 1 - 6e-5).
 
+Shingles are told apart by 64-bit hashes of their words' 128-bit digests; no arrangement of words or
+bytes makes two of them meet but chance.
+
 Nulls and odd rows: null and empty texts, and texts without words, have an empty set and are
-alone. Rows with a null id are left alone too. Rows that share an id are one document. Other columns
+alone. Rows with a null id are left alone too (the query gives the size of their set). Rows that share an id are one document. Other columns
 are not touched.
 """
 
@@ -31,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelane.llm.common import arrow_map, bitmap, in_bitmap, materialize, read
-from tradelane.llm.phrases import Roller, mix
+from tradelane.llm.phrases import mix
+from tradelane.llm.words import word_digests
 
 U = np.uint64
 PLACES = 20
@@ -39,31 +43,25 @@ BANDS, ROWS = 32, 6
 WORDS = 5
 BLOCK = 256
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's word shingles."""
+    """Sorted distinct 64-bit hashes of a text's word shingles, made of the words' 128-bit digests."""
 
     def __init__(self, words: int = WORDS):
         self.words = words
-        self.roller = Roller(101)
-        self.factors = np.random.default_rng(103).integers(0, 2**63, words, dtype=np.uint64) * U(2) + U(1)
+        self.factors = np.random.default_rng(103).integers(0, 2**63, (2, words), dtype=np.uint64) * U(2) + U(1)
 
     def __call__(self, text: bytes | None) -> np.ndarray:
-        data = np.frombuffer((text or b"").translate(LOWER), dtype=np.uint8)
-        inside = np.concatenate([[False], ~SPACE[data], [False]])
-        edge = np.flatnonzero(inside[1:] != inside[:-1])
-        start, end = edge[::2], edge[1::2]
-        if not len(start):
+        word = word_digests([(text or b"").translate(LOWER)])[0]
+        if not word.shape[1]:
             return np.zeros(0, dtype=np.uint64)
-        sums = self.roller.prefix(data)
-        word = mix(self.roller.of(sums, start, end - start) + (end - start).astype(np.uint64))
-        k = min(self.words, len(word))
-        total = np.zeros(len(word) - k + 1, dtype=np.uint64)
+        k = min(self.words, word.shape[1])
+        n = word.shape[1] - k + 1
+        total = np.full(n, k, dtype=np.uint64)
         for j in range(k):
-            total += word[j : j + len(total)] * self.factors[j]
-        return np.unique(mix(total + U(k)))
+            total += word[0, j : j + n] * self.factors[0, j] + word[1, j : j + n] * self.factors[1, j]
+        return np.unique(mix(total))
 
 
 class Circulant:
@@ -341,9 +339,11 @@ def groups(docs: DataFrame, percent: int = 80, bands: int = BANDS, rows: int = R
 
 
 def dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, columns as they are."""
-    gone = groups(docs, percent).where("component != doc").select(F.col("doc").alias("_doc")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_doc"), "left_anti")
+    """The rows of ``docs`` whose id is the smallest of its group, columns as they are, whatever their names."""
+    gone = groups(docs, percent).where("component != doc").select("doc").distinct().toDF("_doc")
+    packed = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    at = f"_{docs.columns.index('doc_id')}"
+    return packed.join(gone, packed[at] == gone["_doc"], "left_anti").toDF(*docs.columns)
 
 
 def op9_minhash_near_dedup(spark, sf_dir) -> DataFrame:
@@ -352,7 +352,8 @@ def op9_minhash_near_dedup(spark, sf_dir) -> DataFrame:
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
         (F.col("doc") == F.col("component")).alias("kept"),
     )
-    alone = docs.where("doc_id is null").select(
-        "doc_id", F.lit(None).cast("bigint").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"), F.lit(True).alias("kept")
+    nameless = docs.where("doc_id is null").select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
+    alone = prints(nameless).select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"), F.lit(True).alias("kept")
     )
     return known.unionByName(alone)
