@@ -140,6 +140,99 @@ def test_minhash_chain_and_odd_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i in want if want[i] == i} | {None}
 
 
+def thue_morse(a, b, n=1024):
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
+
+
+def test_minhash_tells_arranged_words_apart(spark, tmp_path):
+    """Polynomials modulo a power of two are equal for these; also null and repeated ids through the query."""
+    base = [f"v{i}" for i in range(200)]
+    rows = [(1, thue_morse("a", "b")), (2, thue_morse("b", "a")), (3, thue_morse("x", "y") + " z"), (4, thue_morse("y", "x") + " z")]
+    rows += [(5, None), (None, "one two three four five six"), (6, " "), (7, "SAME words"), (7, "SAME words"), (8, "same WORDS")]
+    rows += [(20 + k, " ".join(base[: 100 + k] + ["new"] * (k % 3) + base[100 + k :])) for k in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.op9_minhash_near_dedup(spark, str(tmp_path)).collect()}
+    sets = {i: shingles(t) for i, t in rows if i is not None}
+    want = components(sets, 85)
+    assert want[2] == 2 and want[4] == 4 and want[8] == 7 and want[49] == 20
+    assert got == {(i, len(s), want[i], want[i] == i) for i, s in sets.items()} | {(None, 2, None, True)}
+
+
+def test_stages_take_clashing_columns(spark, docs):
+    odd = docs.withColumnsRenamed({"lang": "_score", "source": "_doc", "doc": "_0"})
+    for out in (minhash_dedup.dedup(odd), quality_classifier.keep(odd), quality_classifier.keep(odd, docs)):
+        assert out.schema == odd.schema and out.count() > 0
+
+
+def test_classifier_stage_learns_from_the_whole_table(spark, tmp_path):
+    """A bad document that passes the rules goes in the second stage, for which the rules' input is read."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not there")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = quality_rules.clean(docs).cache()
+    out = corpus_pipeline.classifier(spark, kept, sf)
+    assert out.schema == kept.schema and 0.9 * kept.count() < out.count() < kept.count()
+
+
+def plain_posterior(counts, rounds=50):
+    """Expectation-maximisation over vote patterns, one document class at a time."""
+    import math
+
+    n = len(quality_classifier.LIMITS)
+    vote = {c: [c // 3**i % 3 for i in range(n)] for c in counts}
+    right, prior, good = [0.8] * n, 0.8, {}
+    for _ in range(rounds):
+        for c, v in vote.items():
+            lean = math.log(prior / (1 - prior))
+            for x, r in zip(v, right):
+                lean += {2: 1, 1: 0, 0: -1}[x] * math.log(r / (1 - r))
+            good[c] = 1 / (1 + math.exp(-min(max(lean, -30), 30)))
+        for i in range(n):
+            agree = sum(counts[c] * (good[c] if vote[c][i] == 2 else 1 - good[c]) for c in counts if vote[c][i] != 1)
+            said = sum(counts[c] for c in counts if vote[c][i] != 1)
+            right[i] = min(max((agree + 8) / (said + 10), 0.55), 0.95)
+        prior = min(max(sum(good[c] * counts[c] for c in counts) / sum(counts.values()), 0.05), 0.95)
+    return good
+
+
+def test_classifier_against_plain_python(spark, folder):
+    """Votes counted, posteriors and scores of the query, each computed anew without numpy's help."""
+    import math
+
+    texts_ = [t for t in texts() if t]
+    counts = {}
+    for t in texts_:
+        code = sum(v * 3**i for i, v in enumerate(quality_classifier.votes(quality_classifier.measures(t.encode()))))
+        counts[code] = counts.get(code, 0) + 1
+    table = spark.createDataFrame([(t,) for t in texts()], "text string")
+    assert quality_classifier.patterns(table) == counts
+    got = quality_classifier.estimate(counts)
+    assert all(abs(got[c] - p) < 1e-9 for c, p in plain_posterior(counts).items())
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    weights = quality_classifier.train(docs).tolist()
+    found = {r.doc_id: r for r in quality_classifier.op4_quality_classifier(spark, folder).collect()}
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        if not data:
+            assert (found[r.doc_id].score, found[r.doc_id].kept) == (0.0, False)
+            continue
+        x = [0.0] * quality_classifier.SIZE
+        for a, b, c in zip(data, data[1:], data[2:]):
+            h = (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % 2**32
+            h ^= h >> 15
+            x[h * 0x2C1B3C6D % 2**32 >> 20] += 1
+        norm = math.sqrt(sum(v * v for v in x)) or 1
+        x = [v / norm for v in x]
+        for i, v in enumerate(quality_classifier.measures(data)):
+            x[(i * 16 + min(max(int(v * 10), 0), 15)) * 37 % quality_classifier.SIZE] += 0.5
+        lean = sum(a * b for a, b in zip(x, weights)) + weights[-1]
+        want = 1 / (1 + math.exp(-min(max(lean, -50), 50)))
+        assert abs(found[r.doc_id].score - want) < 1e-4 and found[r.doc_id].kept == (found[r.doc_id].score >= 0.5)
+
+
 def test_across_links_what_the_hub_misses(spark):
     """Members outside the hub's component are compared with each other, in several blocks."""
     sets = {i: np.arange(i // 3 * 1000, i // 3 * 1000 + 50, dtype=np.uint64) for i in range(9)}
@@ -172,6 +265,20 @@ def test_fingerprints(spark, folder, docs):
             assert abs(near - (len(a & b) / len(a | b) if a | b else 1)) < 0.2
 
 
+def test_fingerprints_of_null_and_repeated_ids(spark, tmp_path):
+    rows = [(None, "n " * 30), (None, None), (3, "a b c d e f"), (3, "a b c d e f"), (3, "g"), (9, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = fingerprints.op1_document_fingerprints(spark, str(tmp_path)).collect()
+    assert sorted(str((r.doc_id, r.n_chars)) for r in got) == sorted(str((i, len(t or ""))) for i, t in rows)
+    order = [(9, ""), (3, "a b c d e f"), (3, "a b c d e f"), (3, "g"), (None, ""), (None, "n " * 30)]
+    want = []
+    for k, (i, t) in enumerate(order):
+        after, half = order[(k + 1) % len(order)][1], len(t) // 2
+        want.append((i, hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()))
+    assert sorted(map(str, ((r.doc_id, r.edited_sha256) for r in got))) == sorted(map(str, want))
+    assert all(r.near_next == 1.0 for r in got if r.doc_id == 3 and r.n_chars == 11 and r.near_next > 0.9)
+
+
 def test_quality_rules_by_line():
     prose = "the fox ran over the hill and then it came home to rest.\n"
     body = "".join(prose.replace("fox", w) for w in ("cat", "dog", "cow", "hen"))
@@ -366,7 +473,7 @@ def plain_stages(spark, rows):
         if found["kept"]:
             left[i] = found["clean"]
     counts.append(len(left))
-    weights = quality_classifier.train(spark.createDataFrame(sorted(left.items()), "doc_id long, text string"))
+    weights = quality_classifier.train(spark.createDataFrame(rows, "doc_id long, text string"))
 
     def good(text):
         b = text.encode()

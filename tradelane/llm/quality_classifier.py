@@ -4,7 +4,7 @@ Overlapping heuristic labellers vote good, bad or abstain on every document. Onl
 counts of their vote patterns (at most 3 to the number of labellers, whatever the corpus)
 reach the driver, where expectation-maximisation finds each labeller's accuracy and the
 posterior of every pattern. The posteriors label a bounded sample (``SAMPLE`` documents by
-hash; the vote counts cover all), on which a linear scorer over hashed byte trigrams and
+hash, or a little over by chance; the vote counts cover all), on which a linear scorer over hashed byte trigrams and
 hashed shape buckets is trained: shard by shard, weights averaged. The scorer then judges every
 document. No given label is used.
 
@@ -168,8 +168,13 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     return np.average([r.w for r in parts], axis=0, weights=[r.n for r in parts])
 
 
-def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``docs`` with ``_score``, the chance that the text is good."""
+def score(docs: DataFrame, weights: np.ndarray, name: str = "score") -> DataFrame:
+    """``docs`` with a last column ``name``, the chance that the text is good."""
+    return _scored(docs, weights).toDF(*docs.columns, name)
+
+
+def _scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+    """The columns of ``docs`` as ``_0``, ``_1`` and so on, then ``_score``."""
     names = [f"_{i}" for i in range(len(docs.columns))]
     at = docs.columns.index("text")
     packed = docs.toDF(*names)
@@ -186,14 +191,19 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
         return step
 
-    return arrow_map(packed, make, f"{schema}, _score double").toDF(*docs.columns, "_score")
+    return arrow_map(packed, make, f"{schema}, _score double")
 
 
-def keep(docs: DataFrame) -> DataFrame:
-    """The documents the scorer calls good, columns as they are."""
-    return score(docs, train(docs)).where("_score >= 0.5").drop("_score")
+def keep(docs: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
+    """The documents the scorer calls good, columns as they are, whatever their names.
+
+    The scorer is trained on ``corpus`` (default: ``docs``). Where rules have cleaned ``docs``
+    already, pass the table before them: labellers learn little where nothing bad is left.
+    """
+    weights = train(docs if corpus is None else corpus)
+    return _scored(docs, weights).where("_score >= 0.5").drop("_score").toDF(*docs.columns)
 
 
 def op4_quality_classifier(spark, sf_dir) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(docs)).select("doc_id", F.col("_score").alias("score"), (F.col("_score") >= 0.5).alias("kept"))
+    return score(docs, train(docs)).select("doc_id", "score", (F.col("score") >= 0.5).alias("kept"))
