@@ -20,7 +20,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_classifier.keep(docs)
+    # labellers and scorer are fitted on the whole input: the rules leave them nothing bad to learn from
+    return quality_classifier.keep(docs, read(spark, sf_dir, "documents"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
