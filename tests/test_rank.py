@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -61,3 +62,26 @@ def test_no_task_orders_the_whole_table(spark):
     out = rank.ntile(df, [rank.Tile("up", "v")], "id")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Exchange" not in plan
+
+
+def test_plan_does_not_grow_with_rows(spark):
+    """No cut is a literal: plans of a hundred and of two hundred thousand rows are as long."""
+
+    def plans(n):
+        df = spark.range(n).select("id", (F.col("id") * 7919 % 100_003).alias("v"), F.lit(1).alias("w"))
+        shares = rank.running_total(df, "v", "w", True, "run", "all")
+        tiled = rank.ntile(df, [rank.Tile("up", "v")], "id")
+        return [len(re.sub(r"[\d.]+|file:\S+", "", x._jdf.queryExecution().optimizedPlan().toString())) for x in (shares, tiled)]
+
+    assert all(abs(a - b) < 40 for a, b in zip(plans(100), plans(200_000)))
+
+
+def test_very_many_slices(spark):
+    n = 20_000
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") * 7919 % 5003).alias("v"))
+    out = rank.ntile(rank.rank(df, "v", "rk", slices=1500), [rank.Tile("t", "v", True)], "id", 7, slices=1500)
+    hot = out.where("v = 0 AND id % 3 = 0").select("rk").distinct().collect()
+    assert [r.rk for r in hot] == [1]
+    w = Window.orderBy(F.desc("v"), "id")
+    want = df.select("id", F.rank().over(Window.orderBy("v")).alias("rk"), F.ntile(7).over(w).alias("t"))
+    assert out.select("id", "rk", "t").exceptAll(want).count() == 0

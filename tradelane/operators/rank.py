@@ -1,64 +1,35 @@
 """Ranks, tiles and running shares over a whole table, without one big window.
 
-An unpartitioned window moves every row to one task. Here the value range is
-cut at approximate quantiles, the cuts are fixed numbers (so the slice of a row
-is a pure function of the row), and only per-slice totals are added up across
-slices. The number of slices bounds everything that reaches the driver.
+An unpartitioned window moves every row to one task. Here rows are dealt out by range of
+their order once and written with the number of the partition they fell into. Rows of a lower
+number come before those of a higher one, so a total per partition, added up over the numbers,
+is what lies before it, and the rest is a window inside each partition. Neither the plan nor
+what reaches the driver grows with the rows: there are as many slices as the session has shuffle
+partitions, fewer where AQE merges small ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelane.session import materialize
 
-SLICES = 64
-# Beyond SLICES times this many rows there are more slices, so that a slice stays near it.
-SLICE_ROWS = 1_000_000
-
-
-def _cuts(df: DataFrame, columns: Sequence[str], slices: int) -> dict[str, list]:
-    """Interior quantiles of each column; a value listed twice is a hot value."""
-    probs = [i / slices for i in range(1, slices)]
-    row = df.agg(*[F.percentile_approx(c, probs, 10 * slices).alias(c) for c in columns]).first()
-    return {c: list(row[c] or []) for c in columns}
-
-
-def _slice(col: Column, cuts: Sequence, first: int = 0) -> Column:
-    """Number of sorted cuts at or below the value, as a balanced comparison tree; -1 for NULL.
-
-    Some six comparisons inside generated code, where a lambda over an array of
-    cuts would be interpreted for every row.
-    """
-    return F.when(col.isNull(), -1).otherwise(_tree(col, cuts, first))
-
-
-def _tree(col: Column, cuts: Sequence, first: int) -> Column:
-    if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    return F.when(col < F.lit(cuts[middle]), _tree(col, cuts[:middle], first)).otherwise(
-        _tree(col, cuts[middle + 1 :], first + middle + 1)
-    )
-
 
 def _direction(value: str, descending: bool) -> Column:
     return F.col(value).desc() if descending else F.col(value).asc()
 
 
-def _whole():
-    return Window.orderBy(F.lit(1)).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-
+def _ranged(df: DataFrame, order: Sequence[Column], slices: int | None) -> DataFrame:
+    """``df`` dealt out by range of ``order`` and written, with the partition number ``_part``.
 
-def _slices(rows: int, slices: int | None) -> int:
-    return slices or max(SLICES, -(-rows // SLICE_ROWS))
+    The number is on disk with the row: it stays what it was if tasks run again.
+    """
+    dealt = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    return materialize(dealt.withColumn("_part", F.spark_partition_id()), "ranged")
 
 
 def cumulate(
@@ -74,31 +45,26 @@ def cumulate(
     total, like a RANGE frame. Rows are first added up per value, so a value
     held by very many rows is one row from there on. NULL is the smallest value.
     """
-    per_value = materialize(
-        df.groupBy(value).agg(F.sum(measure).alias("_m")),
-        "per-value",
-    )
-    cuts = sorted(set(_cuts(per_value, [value], _slices(per_value.count(), slices))[value]))
-    sliced = per_value.withColumn("_slice", _slice(F.col(value), cuts))
-    order = F.col("_slice").desc() if descending else F.col("_slice").asc()
-    # at most len(cuts) + 1 rows: one task and a broadcast are fine
-    totals = sliced.groupBy("_slice").agg(F.sum("_m").alias("_slice_total"))
-    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast(per_value.schema["_m"].dataType)
+    order = _direction(value, descending)
+    sliced = _ranged(df.groupBy(value).agg(F.sum(measure).alias("_m")), [order], slices)
+    zero = F.lit(0).cast(sliced.schema["_m"].dataType)
+    # one row per slice: one task and a broadcast are fine
+    totals = sliced.groupBy("_part").agg(F.sum("_m").alias("_slice_total"))
+    all_slices = Window.orderBy("_part")
     offsets = totals.select(
-        "_slice",
-        F.coalesce(F.sum("_slice_total").over(upto), zero).alias("_offset"),
-        F.sum("_slice_total").over(_whole()).alias("grand_total"),
+        "_part",
+        F.coalesce(F.sum("_slice_total").over(all_slices.rowsBetween(Window.unboundedPreceding, -1)), zero).alias("_offset"),
+        F.sum("_slice_total")
+        .over(all_slices.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        .alias("grand_total"),
     )
-    within = Window.partitionBy("_slice").orderBy(_direction(value, descending))
+    within = Window.partitionBy("_part").orderBy(order)
     return (
-        sliced.withColumn(
-            "_run", F.sum("_m").over(within.rowsBetween(Window.unboundedPreceding, 0))
-        )
-        .join(F.broadcast(offsets), "_slice")
+        sliced.withColumn("_run", F.sum("_m").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+        .join(F.broadcast(offsets), "_part")
         .select(
             value,
-            (F.col("_offset") + F.col("_run") - F.col("_m")).alias("before"),
+            (F.col("_offset") + F.col("_run") - F.coalesce("_m", zero)).alias("before"),
             (F.col("_offset") + F.col("_run")).alias("through"),
             "grand_total",
         )
@@ -143,37 +109,6 @@ def rank(
     return _joined(df, value, places, [out])
 
 
-def _hot(cuts: Sequence) -> set:
-    return {c for c in cuts if cuts.count(c) > 1}
-
-
-def _range(col: Column, key: Column, cuts: Sequence, key_cuts: Sequence, v: int, k: int) -> Column:
-    """The rows of slice ``(v, k)`` as plain comparisons."""
-    ladder = sorted(set(cuts))
-    if v < 0:  # NULL
-        inside = col.isNull()
-        if k > 0:
-            inside = inside & (key >= F.lit(key_cuts[k - 1]))
-        if k < len(key_cuts):
-            inside = inside & (key < F.lit(key_cuts[k]))
-        return inside
-    below = v // 2  # cuts at or below the slice
-    if v % 2 == 0 and below and ladder[below - 1] in _hot(cuts):
-        inside = col == F.lit(ladder[below - 1])
-        if k > 0:
-            inside = inside & (key >= F.lit(key_cuts[k - 1]))
-        if k < len(key_cuts):
-            inside = inside & (key < F.lit(key_cuts[k]))
-        return inside
-    inside = F.lit(True)
-    if below > 0:
-        floor = F.lit(ladder[below - 1])
-        inside = col > floor if ladder[below - 1] in _hot(cuts) else col >= floor
-    if below < len(ladder):
-        inside = inside & (col < F.lit(ladder[below]))
-    return inside
-
-
 @dataclass(frozen=True)
 class Tile:
     out: str
@@ -190,6 +125,37 @@ def _after(col: Column, key: Column, cut_value, cut_key, descending: bool) -> Co
     return F.coalesce(after, F.lit(descending))
 
 
+def _stacked(df: DataFrame, tiles: Sequence[Tile], key: str) -> tuple[DataFrame, list[Column]]:
+    """One row per tile and row of ``df``, the tile's value in a column of its own, and their order."""
+    kinds = [df.schema[t.value].dataType for t in tiles]
+
+    def row(i: int) -> Column:
+        own = [F.col(t.value) if j == i else F.lit(None).cast(k) for j, (t, k) in enumerate(zip(tiles, kinds, strict=True))]
+        return F.struct(F.lit(i).alias("_tile"), *[v.alias(f"_v{j}") for j, v in enumerate(own)])
+
+    rows = df.select(F.explode(F.array(*map(row, range(len(tiles))))).alias("_r"), F.col(key).alias("_key"))
+    order = [F.col("_tile"), *[_direction(f"_v{j}", t.descending) for j, t in enumerate(tiles)], F.col("_key")]
+    return rows.select("_r.*", "_key"), order
+
+
+def _tile_starts(sliced: DataFrame, k: int) -> DataFrame:
+    """``_tile, _part, number, _place``: where tiles 2 to ``k`` begin, as a place inside a slice."""
+    counts = sliced.groupBy("_tile", "_part").agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("_tile")  # as many rows as slices
+    before = own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.select(
+        "*", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(own).alias("total")
+    )
+    j = F.col("number") - 1
+    start = j * F.expr(f"total div {k}") + F.least(j, F.col("total") % k) + 1
+    return (
+        placed.select("*", F.explode(F.sequence(F.lit(2), F.lit(k))).alias("number"))
+        .withColumn("_place", start - F.col("before"))
+        .where("_place between 1 and n")
+        .select("_tile", "_part", "number", "_place")
+    )
+
+
 def ntile(
     df: DataFrame,
     tiles: Sequence[Tile],
@@ -200,102 +166,31 @@ def ntile(
     """``NTILE(k) OVER (ORDER BY value, key)`` for several columns at once.
 
     A tile is decided by the first row of each tile, so it is enough to find
-    those k-1 rows and compare. ``key`` must be unique and numeric (it breaks
-    ties); NULL sorts first, last when descending. ``df`` is read several times: pass a table,
-    not a long plan. A value held by very many rows gets a slice of its own,
-    cut further by ``key``, so every slice stays near 1/``slices`` of the rows.
+    those k-1 rows and compare: only (value, key) pairs are dealt out by range, for all tiles
+    in one exchange, and ``df`` itself is labelled in place. ``key`` must be unique (it breaks
+    ties, so a value held by very many rows is spread like any other); NULL sorts first, last when
+    descending. ``df`` is read twice: pass a table, not a long plan.
     """
-    columns = list(dict.fromkeys([t.value for t in tiles] + [key]))
-    cuts = _cuts(df, columns, _slices(df.count(), slices))
-    key_cuts = sorted(set(cuts[key]))
-
-    def place(tile: Tile) -> Column:
-        values = cuts[tile.value]
-        hot = sorted(_hot(values))
-        col = F.col(tile.value)
-        # a hot value h owns the slice between "cuts <= h" counted twice and not
-        ladder = sorted(set(values))
-        base = F.when(col.isNull(), -2).otherwise(_slice(col, ladder) * 2)
-        is_hot = col.isNull() | col.isin(hot)
-        # rows above a hot value but below the next cut come after it
-        base = F.when(is_hot | F.lit(not hot), base).otherwise(base + 1)
-        return F.struct(
-            base.alias("v"),
-            F.when(is_hot, _slice(F.col(key), key_cuts)).otherwise(F.lit(0)).alias("k"),
-        )
-
-    placed = df.select(
-        *columns,
-        F.posexplode(F.array(*[place(t) for t in tiles])).alias("_tile", "_at"),
-    )
-    # collected rows: at most tiles x 2 x slices x slices in theory, about
-    # tiles x 2 x slices in practice since a hot value needs 1/slices of the rows
-    counts = placed.groupBy("_tile", "_at").count().collect()
-    wanted: list[tuple[int, int, int, int, int]] = []
-    for index, tile in enumerate(tiles):
-        mine = [r for r in counts if r["_tile"] == index]
-        mine.sort(
-            key=lambda r: (-r["_at"]["v"] if tile.descending else r["_at"]["v"], r["_at"]["k"])
-        )
-        n = sum(r["count"] for r in mine)
-        small, large = divmod(n, k)
-        starts = []
-        position = 1
-        for j in range(k):
-            starts.append(position)
-            position += small + (1 if j < large else 0)
-        seen = 0
-        for r in mine:
-            for j, start in enumerate(starts[1:], start=2):
-                if seen < start <= min(seen + r["count"], n):
-                    wanted.append((index, r["_at"]["v"], r["_at"]["k"], start - seen, j))
-            seen += r["count"]
-
-    # the rows of the slices that hold a boundary, ordered slice by slice
-    spots = {spot: n for n, spot in enumerate(sorted({w[:3] for w in wanted}))}
-    candidates = []
-    for index, tile in enumerate(tiles):
-        spot = F.lit(None).cast("int")
-        for (i, v, s), number in spots.items():
-            if i == index:
-                spot = F.when(
-                    _range(F.col(tile.value), F.col(key), cuts[tile.value], key_cuts, v, s), number
-                ).otherwise(spot)
-        order = _direction(tile.value, tile.descending)
-        rn = F.row_number().over(Window.partitionBy("_spot").orderBy(order, key))
-        positions = [
-            F.struct(F.lit(spots[w[:3]]).alias("_spot"), F.lit(w[3]).alias("_rn"))
-            for w in wanted
-            if w[0] == index
-        ]
-        if not positions:
-            continue
-        candidates.append(
-            df.select(tile.value, key, spot.alias("_spot"))
-            .where(F.col("_spot").isNotNull())
-            .withColumn("_rn", rn)
-            .where(F.struct("_spot", "_rn").isin(*positions))
-            .select(
-                F.col("_spot").alias("spot"),
-                F.col("_rn").alias("rn"),
-                *[(F.col(c) if c == tile.value else F.lit(None)).alias(f"value_{c}") for c in columns],
-                F.col(key).alias("key"),
-            )
-        )
-    found = {}
-    by_number = {number: spot for spot, number in spots.items()}
-    if candidates:
-        for row in reduce(DataFrame.union, candidates).collect():  # tiles x (k - 1) rows
-            tile = tiles[by_number[row["spot"]][0]]
-            found[row["spot"], row["rn"]] = (row[f"value_{tile.value}"], row["key"])
+    if k < 2:
+        return df.select("*", *[F.lit(1).cast("bigint").alias(t.out) for t in tiles])
+    rows, order = _stacked(df, tiles, key)
+    sliced = _ranged(rows, order, slices)
+    starts = _tile_starts(sliced, k).collect()  # at most tiles x (k - 1) rows
     firsts: dict[int, list] = {i: [] for i in range(len(tiles))}
-    for w in wanted:
-        firsts[w[0]].append((w[4], *found[spots[w[:3]], w[3]]))
-
+    if starts:
+        place = F.row_number().over(Window.partitionBy("_part", "_tile").orderBy(*order[1:]))
+        spots = [F.struct(*[F.lit(r[c]).alias(c) for c in ("_part", "_tile", "_place")]) for r in starts]
+        found = (
+            sliced.where(F.col("_part").isin(sorted({r["_part"] for r in starts})))
+            .withColumn("_place", place.cast("bigint"))
+            .where(F.struct("_part", "_tile", "_place").isin(*spots))
+        )
+        for row in found.collect():
+            firsts[row["_tile"]].append((row[f"_v{row['_tile']}"], row["_key"]))
     result = df
     for index, tile in enumerate(tiles):
         score = F.lit(1)
-        for _, cut_value, cut_key in firsts[index]:
+        for cut_value, cut_key in firsts[index]:
             score = score + F.when(
                 _after(F.col(tile.value), F.col(key), cut_value, cut_key, tile.descending), 1
             ).otherwise(0)
