@@ -1,5 +1,8 @@
 from decimal import Decimal
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from tests.conftest import got
 from tradelane.marts import network
 from tradelane.operators import paths
@@ -69,3 +72,37 @@ def test_names_replace_codes_in_order(spark):
     names = spark.createDataFrame([("a", "Alpha"), ("b", "Beta"), ("c", "Gamma")], "node string, name string")
     out = paths.with_names(df, names, ["id"], "path", "text")
     assert sorted(got(out)) == [(1, "Alpha → Beta → Gamma"), (2, "Gamma → zz → Alpha")]
+
+
+def test_worse_parallel_edges_change_no_best_path(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(a, b, f"m{i}", rng.randrange(1, 9), rng.randrange(1, 30)) for a in "abcd" for b in "bcde" if a != b for i in range(5)]
+    e = edges(spark, rows)
+
+    def best(frame):
+        out = paths.expand(frame, nodes(spark, "a"), nodes(spark, "e", "d"))
+        value = F.col("cost").cast("double") + F.col("days") * 1.5
+        w = Window.partitionBy("dest").orderBy(value, paths.path_text("path"), "days", "cost")
+        return sorted(got(out.withColumn("n", F.row_number().over(w)).where("n <= 2"), "dest", "n", "path", "days", "cost"))
+
+    few = paths.best_edges(e, 2, 1.5)
+    assert few.count() < len(rows) / 2 and best(few) == best(e)
+    # equal edges all stay: which of them counts is for the caller to say
+    same = edges(spark, [("a", "b", m, 2, 7) for m in "xyz"] + [("a", "b", "w", 4, 4)])
+    assert paths.best_edges(same, 1, 1.5).count() == 4
+
+
+def test_names_grow_with_the_path(spark):
+    names = spark.createDataFrame([("a", "Alpha"), ("b", "Beta"), ("d", "Delta")], "node string, name string")
+    out = paths.expand(edges(spark, GRAPH), nodes(spark, "a"), nodes(spark, "d"), names=names)
+    assert {tuple(r.names) for r in out.where("path[1] <> 'a'").collect()} == {("Alpha", "Beta", "c", "Delta")}
+
+
+def test_ranks_of_the_kept_are_ranks_among_all(routes):
+    every = {(r.routing, r.modes, r.transit_days, r.cost_per_cbm_usd): (r.cost_rank, r.speed_rank)
+             for r in network.route_pathfinding({"shipping_routes": routes}, "UAODS", ["CNSHA", "NLRTM"], top=None).collect()}
+    few = network.route_pathfinding({"shipping_routes": routes}, "UAODS", ["CNSHA", "NLRTM"], top=2).collect()
+    assert all(every[r.routing, r.modes, r.transit_days, r.cost_per_cbm_usd] == (r.cost_rank, r.speed_rank) for r in few)
+    assert network.route_pathfinding({"shipping_routes": routes.limit(0)}, "UAODS", ["CNSHA"]).count() == 0

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradelane.functions.dates import after, day, days_before, latest
 from tradelane.functions.num import (
@@ -66,12 +67,16 @@ def route_pathfinding(
     max_legs: int = 3,
     top: int | None = 12,
 ) -> DataFrame:
+    """Routes with their place among all routes by cost and by days; the ``top`` cheapest, or all."""
     if isinstance(targets, tuple):
         targets = list(targets)
     options = materialize(route_paths(t, origin, targets, max_legs), "paths")
-    ranked = rank.rank(
-        rank.rank(options, "cost", "cost_rank"), "days", "speed_rank"
-    ).select(
+    order = [as_double("cost"), "days", paths.path_text("path"), paths.path_text("modes", " / ")]
+    if top is None:
+        ranked = rank.rank(rank.rank(options, "cost", "cost_rank"), "days", "speed_rank")
+    else:
+        ranked = _among(options, options.orderBy(*order).limit(top))
+    return ranked.orderBy(*order).select(
         paths.path_text("path").alias("routing"),
         "legs",
         paths.path_text("modes", " / ").alias("modes"),
@@ -80,8 +85,17 @@ def route_pathfinding(
         "cost_rank",
         "speed_rank",
     )
-    ordered = ranked.orderBy("cost_per_cbm_usd", "transit_days", "routing", "modes")
-    return ordered if top is None else ordered.limit(top)
+
+
+def _among(options: DataFrame, kept: DataFrame) -> DataFrame:
+    """A few ``kept`` options with their ranks: what is cheaper or faster is counted in one pass."""
+    rows = kept.collect()  # the top of a report
+    values = {c: sorted({r[c] for r in rows}) for c in ("cost", "days")}
+    below = [F.count_if(F.col(c) < F.lit(v)).alias(f"{c}_{i}") for c, vs in values.items() for i, v in enumerate(vs)]
+    found = options.agg(*below).first() if rows else {}
+    ranks = {(c, v): found[f"{c}_{i}"] + 1 for c, vs in values.items() for i, v in enumerate(vs)}
+    schema = T.StructType([*kept.schema.fields, *(T.StructField(c, T.LongType()) for c in ("cost_rank", "speed_rank"))])
+    return options.sparkSession.createDataFrame([(*r, ranks["cost", r.cost], ranks["days", r.days]) for r in rows], schema)
 
 
 def _tons() -> Column:
@@ -281,7 +295,26 @@ def congestion_days(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     )
 
 
-def door_to_door_routing(
+def gateways(t: Tables, port_risk: dict[str, float] | None = None, as_of: dt.date | None = None) -> DataFrame:
+    """What lies behind each gateway, one row per inland leg: days and cost with delay and risk put in."""
+    spark = t["inland_legs"].sparkSession
+    risk = spark.createDataFrame(
+        list((PORT_RISK if port_risk is None else port_risk).items()), "gateway string, risk double"
+    ).withColumn("risk", F.col("risk").cast("decimal(8,2)"))
+    buffer = F.coalesce("penalty_days", F.lit(0)).cast("bigint")
+    return (
+        t["inland_legs"]
+        .select(F.col("from_port").alias("gateway"), "dest_city", F.col("mode").alias("inland_mode"), "transit_days", "cost_per_cbm")
+        .join(risk, "gateway", "left")
+        .join(congestion_days(t, as_of).withColumnRenamed("port_code", "gateway"), "gateway", "left")
+        .select(
+            "gateway", "dest_city", "inland_mode", buffer.alias("buffer"), (F.col("transit_days") + buffer).alias("more_days"),
+            "cost_per_cbm", F.coalesce("risk", F.lit(0)).alias("risk"),
+        )
+    )
+
+
+def _door_to_door(
     t: Tables,
     port_risk: dict[str, float] | None = None,
     day_value: float = 1.5,
@@ -290,47 +323,31 @@ def door_to_door_routing(
     max_legs: int = 3,
     top: int = 3,
     as_of: dt.date | None = None,
-    with_path: bool = False,
+    names: DataFrame | None = None,
 ) -> DataFrame:
-    spark = t["shipping_routes"].sparkSession
-    risk = spark.createDataFrame(
-        list((PORT_RISK if port_risk is None else port_risk).items()),
-        "gateway string, risk double",
-    ).withColumn("risk", F.col("risk").cast("decimal(8,2)"))
+    """The ``top`` options per request, by value, with their paths.
+
+    Only parallel services that can be in a best path are expanded, and everything behind the
+    gateway is one small table, written first so that its size is known.
+    """
     requests = t["route_requests"]
-    inland = t["inland_legs"]
+    behind = materialize(
+        gateways(t, port_risk, as_of).join(requests.select("dest_city").distinct(), "dest_city", "left_semi"), "gateways"
+    )
     legs = paths.expand(
-        _edges(t),
+        paths.best_edges(_edges(t), top, day_value),
         requests.select(F.col("origin_port").alias("node")),
-        # a path is of use only where an inland leg to a requested city starts
-        inland.join(requests.select("dest_city").distinct(), "dest_city", "left_semi").select(
-            F.col("from_port").alias("node")
-        ),
+        behind.select(F.col("gateway").alias("node")),
         max_legs,
         origin_dwell,
         transship_dwell,
+        names,
     ).withColumnsRenamed({"origin": "origin_port", "dest": "gateway"})
     options = (
         requests.join(legs, "origin_port")
-        .join(
-            inland.select(
-                F.col("from_port").alias("gateway"),
-                "dest_city",
-                F.col("mode").alias("inland_mode"),
-                "transit_days",
-                "cost_per_cbm",
-            ),
-            ["gateway", "dest_city"],
-        )
-        .join(risk, "gateway", "left")
-        .join(
-            congestion_days(t, as_of).withColumnRenamed("port_code", "gateway"), "gateway", "left"
-        )
-        .withColumn("buffer", F.coalesce("penalty_days", F.lit(0)).cast("bigint"))
-        .withColumn("total_days", F.col("days") + F.col("transit_days") + F.col("buffer"))
-        .withColumn(
-            "usd", F.col("cost") + F.col("cost_per_cbm") + F.coalesce("risk", F.lit(0))
-        )
+        .join(behind, ["gateway", "dest_city"])
+        .withColumn("total_days", F.col("days") + F.col("more_days"))
+        .withColumn("usd", F.col("cost") + F.col("cost_per_cbm") + F.col("risk"))
         .withColumn("value", as_double("usd") + F.col("total_days") * F.lit(day_value))
         .withColumn("text", paths.path_text("path"))
     )
@@ -338,7 +355,12 @@ def door_to_door_routing(
         "value", "text", "inland_mode", "total_days", "usd"
     )
     chosen = options.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
-    columns = [
+    return chosen.orderBy("origin_port", "dest_city", "rank")
+
+
+def door_to_door_routing(t: Tables, port_risk: dict[str, float] | None = None, **params) -> DataFrame:
+    """Best door-to-door options per request; parameters as in :func:`_door_to_door`."""
+    return _door_to_door(t, port_risk, **params).select(
         F.concat("origin_port", F.lit(paths.ARROW), "dest_city").alias("request"),
         F.col("rank").cast("bigint").alias("rank"),
         F.concat("text", F.lit(" ⇒ "), "dest_city").alias("route"),
@@ -348,33 +370,19 @@ def door_to_door_routing(
         det_round(as_double("usd"), 1).alias("usd_per_cbm"),
         F.col("buffer").alias("real_data_buffer_d"),
         det_round(F.col("value"), 1).alias("score"),
-    ]
-    if with_path:
-        columns += ["path", "origin_port", "dest_city"]
-    return chosen.orderBy("origin_port", "dest_city", "rank").select(*columns)
+    )
 
 
 def named_routes(t: Tables, **params) -> DataFrame:
     """The chosen door-to-door routes with port names instead of codes."""
-    routes = materialize(door_to_door_routing(t, with_path=True, **params), "routes")
     names = t["ports"].select(F.col("port_code").alias("node"), F.col("port_name").alias("name"))
-    key = ["origin_port", "dest_city", "rank"]
-    text = paths.with_names(routes, names, key, "path", "named")
-    origin = names.withColumnsRenamed({"node": "origin_port", "name": "origin_name"})
-    return (
-        routes.join(text, key)
-        .join(origin, "origin_port", "left")
-        .orderBy("origin_port", "dest_city", "rank")
-        .select(
-            F.concat(
-                F.coalesce("origin_name", "origin_port"), F.lit(paths.ARROW), "dest_city"
-            ).alias("request"),
-            "rank",
-            F.concat("named", F.lit(" ⇒ "), "dest_city").alias("route"),
-            F.col("inland_mode").alias("mode"),
-            F.col("total_days").alias("days"),
-            F.col("usd_per_cbm").alias("usd"),
-        )
+    return _door_to_door(t, names=names, **params).select(
+        F.concat(F.get("names", F.lit(0)), F.lit(paths.ARROW), "dest_city").alias("request"),
+        F.col("rank").cast("bigint").alias("rank"),
+        F.concat(paths.path_text("names"), F.lit(" ⇒ "), "dest_city").alias("route"),
+        F.col("inland_mode").alias("mode"),
+        F.col("total_days").alias("days"),
+        det_round(as_double("usd"), 1).alias("usd"),
     )
 
 

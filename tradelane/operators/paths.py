@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ARROW = " → "
 
 
+def best_edges(edges: DataFrame, keep: int, day_value: float) -> DataFrame:
+    """The ``keep`` best parallel edges of every pair of nodes by cost and valued days, equal ones all.
+
+    For the ``keep`` best paths by that value no other edge is of use: a path over a worse one
+    stands behind ``keep`` paths over the same nodes. Values are exact decimals.
+    """
+    value = F.col("cost").cast("decimal(18,2)") + F.col("days") * F.lit(Decimal(str(day_value)))
+    order = Window.partitionBy("origin", "dest").orderBy(value)
+    return edges.withColumn("_n", F.rank().over(order)).where(F.col("_n") <= keep).drop("_n")
+
+
 def expand(
     edges: DataFrame,
     sources: DataFrame,
@@ -17,15 +29,21 @@ def expand(
     max_legs: int = 3,
     first_leg_days: int = 0,
     next_leg_days: int = 0,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """All cycle-free paths of 1..``max_legs`` edges from the source nodes.
 
     ``edges`` has ``origin, dest, mode, days, cost``; ``sources`` and
     ``targets`` have ``node``. The depth is a constant, so the recursion is
     unrolled into ``max_legs`` equi-joins. With targets given, the last and
-    widest hop meets only edges that end in a target.
+    widest hop meets only edges that end in a target. With ``names`` (``node, name``)
+    the labels of a path's nodes grow beside it in ``names``; a node without a name is its own.
     """
     edges = edges.select("origin", "dest", "mode", "days", "cost")
+    if names is not None:
+        for end in ("origin", "dest"):
+            label = names.select(F.col("node").alias(end), F.col("name").alias(f"{end}_name"))
+            edges = edges.join(label, end, "left").withColumn(f"{end}_name", F.coalesce(f"{end}_name", end))
     goal = None
     if targets is not None:
         goal = targets.select(F.col("node").alias("dest"))
@@ -39,8 +57,13 @@ def expand(
         (F.col("days") + first_leg_days).cast("bigint").alias("days"),
         F.col("cost").cast("decimal(18,2)").alias("cost"),
         F.lit(1).cast("bigint").alias("legs"),
+        *([F.array("origin_name", "dest_name").alias("names")] if names is not None else []),
     )
-    hop = edges.toDF("_from", "_to", "_mode", "_days", "_cost")
+    hop = edges.select(
+        F.col("origin").alias("_from"), F.col("dest").alias("_to"), F.col("mode").alias("_mode"),
+        F.col("days").alias("_days"), F.col("cost").alias("_cost"),
+        *([F.col("dest_name").alias("_name")] if names is not None else []),
+    )
     found = [frontier]
     for leg in range(2, max_legs + 1):
         if leg == max_legs and goal is not None:
@@ -56,6 +79,7 @@ def expand(
                 (F.col("days") + F.col("_days") + next_leg_days).alias("days"),
                 (F.col("cost") + F.col("_cost")).cast("decimal(18,2)").alias("cost"),
                 F.lit(leg).cast("bigint").alias("legs"),
+                *([F.array_append("names", F.col("_name")).alias("names")] if names is not None else []),
             )
         )
         found.append(frontier)
