@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +19,8 @@ from tradelane.schemas import TABLES
 from tradelane.session import materialize
 from tradelane.sources import feeds, merge, publish, tables
 
+log = logging.getLogger(__name__)
+
 FEEDS_AND_LOOKUPS = {
     "port_activity_daily", "chokepoint_transits_daily", "inland_legs",
     "chokepoints", "lane_chokepoints", "cities", "route_requests",
@@ -56,7 +63,7 @@ def feature_feed(spark: SparkSession, cfg: Config, name: str) -> DataFrame | Non
     if name in cfg.raw:
         codes = tables.read_csv(spark, cfg.codes[name], f"portwatch_id string, {code} string")
         pages = feeds.payloads(spark, cfg.raw[name])
-        rows = feeds.flatten_features(pages, "body", attributes, codes, code, day, "version")
+        rows = feeds.flatten_features(pages, "body", attributes, codes, code, day, "version", strict=False)
     elif name in cfg.feeds:
         rows = tables.read_versioned_csv(spark, cfg.feeds[name], spec.schema)
     else:
@@ -82,18 +89,44 @@ def fx_feed(spark: SparkSession, cfg: Config) -> DataFrame | None:
 def load(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     """Core tables, feeds merged in, literal lookups; all as Parquet but the lookups."""
     loaded = tables.ingest(spark, cfg.csv_dir, cfg.table_dir, CORE, MONTHLY)
+    failed: list[tuple[str, str]] = []
+
+    def isolated(name: str, bring: Callable[[], DataFrame], before: Callable[[], DataFrame]) -> DataFrame:
+        """What ``bring`` gives, or the state before where the feed cannot be read."""
+        try:
+            return bring()
+        except (PySparkException, Py4JJavaError) as e:
+            log.warning("feed %s left as it was: %s", name, e)
+            failed.append((name, str(e).splitlines()[0][:500]))
+            return before()
+
     for name, (day, _, _) in FEED_TABLES.items():
-        feed = feature_feed(spark, cfg, name)
+        stored = partial(tables.stored_table, spark, cfg.table_dir, name)
+
+        def merged(name=name, day=day, stored=stored) -> DataFrame:
+            feed = feature_feed(spark, cfg, name)
+            return stored() if feed is None else tables.merge_table(spark, feed, cfg.table_dir, name, day)
+
+        loaded[name] = isolated(name, merged, stored)
+    base = loaded["fx_rates"]
+
+    def fixings() -> DataFrame:
+        feed = fx_feed(spark, cfg)
         if feed is None:
-            loaded[name] = tables.stored_table(spark, cfg.table_dir, name)
-        else:
-            loaded[name] = tables.merge_table(spark, feed, cfg.table_dir, name, day)
-    feed = fx_feed(spark, cfg)
-    if feed is not None:
+            return base
         spec = TABLES["fx_rates"]
-        merged = merge.override(loaded["fx_rates"], feed, spec.key, "currency", "rate_date")
-        tables.write_table(merged, f"{cfg.table_dir}/fx_rates_merged")
-        loaded["fx_rates"] = tables.read_table(spark, cfg.table_dir, "fx_rates_merged")
+        rates = materialize(merge.override(base, feed, spec.key, "currency", "rate_date"), "fx-merged")
+        tables.write_table(rates, f"{cfg.table_dir}/fx_rates_merged")
+        return tables.read_table(spark, cfg.table_dir, "fx_rates_merged")
+
+    def last_fixings() -> DataFrame:
+        try:
+            return tables.read_table(spark, cfg.table_dir, "fx_rates_merged")
+        except AnalysisException:  # no feed was ever read
+            return base
+
+    loaded["fx_rates"] = isolated("fx_rates", fixings, last_fixings)
+    loaded["quarantine"] = quarantine(spark, cfg, failed)
     if cfg.inland_csv:
         loaded["inland_legs"] = tables.read_csv(
             spark, cfg.inland_csv, TABLES["inland_legs"].schema
@@ -106,6 +139,25 @@ def load(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
     return {**tables.lookup_tables(spark), **loaded}
 
 
+QUARANTINE = "feed string, file string, reason string, n_chars bigint"
+
+
+def quarantine(spark: SparkSession, cfg: Config, failed: list[tuple[str, str]]) -> DataFrame:
+    """Payloads left out of a run, and feeds that could not be read at all (no ``file``)."""
+    whole = {name for name, _ in failed}
+    parts = [spark.createDataFrame([(name, None, reason, None) for name, reason in failed], QUARANTINE)]
+    for name, folder in cfg.raw.items():
+        if name in whole:
+            continue
+        pages = feeds.payloads(spark, folder)
+        if name in FEED_TABLES:
+            bad = feeds.broken_pages(pages, "body", FEED_TABLES[name][2])
+        else:
+            bad = feeds.broken(pages, "body", feeds.RATE_MAPS, "rates")
+        parts.append(bad.select(F.lit(name).alias("feed"), "file", "reason", "n_chars"))
+    return checks.union(parts)
+
+
 def load_profile(t: dict[str, DataFrame]) -> DataFrame:
     """Rows and span of every feed, and the currencies of the fixings."""
     parts = [("fx_rates", tables.profile(t["fx_rates"], "rate_date", "currency"))]
@@ -261,6 +313,7 @@ def marts(t: dict[str, DataFrame], cfg: Config) -> dict[str, tuple[str, object,
             lambda: tables.freshness(t["port_activity_daily"], "activity_date"),
             "tables.freshness",
         ),
+        "quarantine": ("Payloads and feeds left out", lambda: t["quarantine"], "job.quarantine"),
         "load_profile": ("Loaded feeds", lambda: load_profile(t), "job.load_profile"),
         "declared_constraints": ("Declared constraints", lambda: declared(t), "job.declared"),
     }
@@ -286,7 +339,8 @@ def run(spark: SparkSession, cfg: Config, gate: bool = True) -> DataFrame:
     """Load, publish every mart, then fail on critical violations or broken constraints.
 
     Returns the catalogue with row counts. The results are on disk before the gate
-    can raise, so a failed run can be looked into.
+    can raise, so a failed run can be looked into (``publish.read``). Broken payloads and feeds
+    do not stop a run: ``quarantine`` lists them, and their tables keep what was stored.
     """
     loaded = load(spark, cfg)
     wanted = marts(loaded, cfg)
@@ -294,10 +348,10 @@ def run(spark: SparkSession, cfg: Config, gate: bool = True) -> DataFrame:
         wanted = {n: m for n, m in wanted.items() if n in cfg.only or n in GATED}
     catalogue = publish.publish(spark, wanted, cfg.out_dir)
     if gate:
-        broken = spark.read.parquet(f"{cfg.out_dir}/declared_constraints").select(
+        broken = publish.read(spark, cfg.out_dir, "declared_constraints").select(
             F.concat_ws(", ", "table_name", "constraint_name").alias("check_name"),
             F.lit(checks.CRITICAL).alias("severity"),
             "violations",
         )
-        checks.gate(spark.read.parquet(f"{cfg.out_dir}/data_quality").unionByName(broken))
+        checks.gate(publish.read(spark, cfg.out_dir, "data_quality").unionByName(broken))
     return publish.with_counts(spark, catalogue)

@@ -33,6 +33,37 @@ def feed_day(raw: Column) -> Column:
     )
 
 
+#: Holds a payload's text where it cannot be parsed.
+CORRUPT = "_corrupt"
+_LENIENT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def _page_schema(attributes: dict[str, str]) -> str:
+    fields = ", ".join(f"{name}: string" for name in ["date", "portid", "portname", *attributes])
+    return f"features: array<struct<attributes: struct<{fields}>>>"
+
+
+def broken(payloads: DataFrame, body: str, schema: str, needed: str, version: str = "version") -> DataFrame:
+    """``file, reason, n_chars`` of payloads that are no JSON of ``schema`` (fields of a struct) or lack ``needed``."""
+    parsed = F.from_json(body, f"struct<{schema}, {CORRUPT}: string>", _LENIENT)
+    return (
+        payloads.select(F.col(version).cast("string").alias("file"), parsed.alias("p"), F.char_length(body).cast("bigint").alias("n_chars"))
+        .select(
+            "file",
+            F.when(F.col("p").isNull() | F.col(f"p.{CORRUPT}").isNotNull(), "not the declared JSON")
+            .when(F.col(f"p.{needed}").isNull(), f"no {needed}")
+            .alias("reason"),
+            "n_chars",
+        )
+        .where("reason is not null")
+    )
+
+
+def broken_pages(payloads: DataFrame, body: str, attributes: dict[str, str], version: str = "version") -> DataFrame:
+    """The payloads that :func:`flatten_features` leaves out where it is not strict."""
+    return broken(payloads, body, _page_schema(attributes), "features", version)
+
+
 def flatten_features(
     payloads: DataFrame,
     body: str,
@@ -41,20 +72,25 @@ def flatten_features(
     code: str,
     day: str,
     version: str | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """``{"features": [{"attributes": {...}}]}`` texts to one typed row per feature.
 
     ``attributes`` maps a payload field to a typed output column. ``codes`` maps
     ``portwatch_id`` to the table's own ``code``; features of unknown ids go.
     ``version`` names a column that orders the payloads; it comes out last, as
-    (version, place in the payload).
+    (version, place in the payload). A payload that is no such text fails the read, or is left
+    out where not ``strict``: :func:`broken_pages` names it.
     """
-    fields = ", ".join(f"{name}: string" for name in ["date", "portid", "portname", *attributes])
-    schema = f"struct<features: array<struct<attributes: struct<{fields}>>>>"
+    schema = _page_schema(attributes)
     order = F.lit(None) if version is None else F.col(version)
-    parsed = payloads.select(
-        F.from_json(body, schema, {"mode": "FAILFAST"}).alias("p"), order.alias("_version")
-    )
+    if strict:
+        page = F.from_json(body, f"struct<{schema}>", {"mode": "FAILFAST"})
+    else:
+        page = F.from_json(body, f"struct<{schema}, {CORRUPT}: string>", _LENIENT)
+    parsed = payloads.select(page.alias("p"), order.alias("_version"))
+    if not strict:
+        parsed = parsed.where(F.col(f"p.{CORRUPT}").isNull())
     rows = parsed.select(F.posexplode("p.features").alias("_at", "f"), "_version").select(
         "f.attributes.*", F.struct("_version", "_at").alias("_version")
     )
@@ -118,13 +154,17 @@ def payloads(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+RATE_MAPS = "rates: map<string, map<string, double>>"
+
+
 def rate_files(spark: SparkSession, folder: str, start: dt.date, rank: int = 0) -> DataFrame:
-    """Files ``{"rates": {date: {currency: units per USD}}}`` as versioned fixings."""
-    schema = "struct<rates: map<string, map<string, double>>>"
+    """Files ``{"rates": {date: {currency: units per USD}}}`` as versioned fixings; broken files are left out
+    (``broken(payloads, "body", RATE_MAPS, "rates")`` names them)."""
+    schema = f"struct<{RATE_MAPS}, {CORRUPT}: string>"
     texts = payloads(spark, folder).select(
-        F.from_json("body", schema, {"mode": "FAILFAST"}).alias("p"),
+        F.from_json("body", schema, _LENIENT).alias("p"),
         F.struct(F.lit(rank).alias("rank"), "version").alias("version"),
-    )
+    ).where(F.col(f"p.{CORRUPT}").isNull())
     return rates_by_day(texts.select("version", "p.rates"), "rates", start, "version")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tradelane.schemas import TABLES, lookup_tables
 from tradelane.session import materialize
+from tradelane.sources import manifest
 from tradelane.sources.merge import upsert
 
 
@@ -85,9 +86,11 @@ def merge_table(
     """Upsert a feed, unique by key, into a stored table laid out by month.
 
     Older days that the feed no longer carries stay. Only months of the feed are
-    read and written again, rows inside a file in (date, code) order. The merged
-    rows are written to the work folder first: the stored months are replaced
-    from there. A table that is not stored yet is made.
+    read and written, rows inside a file in (date, code) order. They are written as a new
+    version beside the stored one; a manifest that names each month's version is switched
+    last (see ``manifest``). A merge that fails half-way leaves the table as it was, and the next
+    one starts from there. A table that is not stored yet is made; one stored without a manifest
+    is written anew as its first version.
     """
     spec = TABLES[name]
     path = f"{table_dir}/{name}"
@@ -95,25 +98,50 @@ def merge_table(
         feed.select(*spec.schema.names).withColumn("month", F.date_format(by_month_of, "yyyy-MM")),
         "feed",
     )
+    months = {r.month for r in feed.select("month").distinct().collect()}  # some hundreds at most
+    versions = _versions(spark, path)
     stored = stored_table(spark, table_dir, name)
-    touched = stored.join(feed.select("month").distinct(), "month", "left_semi")
-    merged = materialize(upsert(touched, feed, spec.key), "merged")
+    if versions is None:
+        versions = {}
+        months |= {r.month for r in stored.select("month").distinct().collect()}
+    else:
+        stored = _months(spark, path, {m: v for m, v in versions.items() if m in months}, stored.schema)
+    number = manifest.next_number(spark, path)
+    part = manifest.new_part(number)
     (
-        merged.hint("rebalance", "month")
+        upsert(stored, feed, spec.key).hint("rebalance", "month")
         .sortWithinPartitions("month", *spec.key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(path)
+        .write.partitionBy("month")
+        .parquet(f"{path}/version={part}")
     )
+    entries = sorted({**versions, **dict.fromkeys(months, part)}.items())
+    manifest.commit(spark, path, spark.createDataFrame(entries, "month string, version string"), number)
     return stored_table(spark, table_dir, name)
 
 
+def _versions(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """Month -> version of a table with a manifest."""
+    state = manifest.latest(spark, path)
+    return None if state is None else {r.month: r.version for r in state.collect()}
+
+
+def _months(spark: SparkSession, path: str, versions: dict[str, str], schema: T.StructType) -> DataFrame:
+    if not versions:
+        return spark.createDataFrame([], schema)
+    paths = [f"{path}/version={v}/month={m}" for m, v in sorted(versions.items())]
+    whole = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+    return spark.read.schema(whole).option("basePath", path).parquet(*paths).drop("version")
+
+
 def stored_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
-    """A table laid out by month, or no rows where none is stored."""
-    schema = TABLES[name].schema.add("month", "string")
+    """A table laid out by month as its manifest says, or no rows where none is stored."""
+    schema = T.StructType([*TABLES[name].schema.fields, T.StructField("month", T.StringType())])
+    path = f"{table_dir}/{name}"
+    versions = _versions(spark, path)
+    if versions is not None:
+        return _months(spark, path, versions, schema)
     try:
-        return spark.read.schema(schema).parquet(f"{table_dir}/{name}")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -122,6 +150,8 @@ def stored_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, table_dir: str, name: str) -> DataFrame:
     """A stored table; one laid out by month keeps its ``month`` column for pruning."""
+    if _versions(spark, f"{table_dir}/{name}") is not None:
+        return stored_table(spark, table_dir, name)
     return spark.read.parquet(f"{table_dir}/{name}")
 
 
@@ -132,8 +162,26 @@ def open_tables(spark: SparkSession, table_dir: str, names: Sequence[str]) -> di
     return tables
 
 
-def profile(df: DataFrame, day: str, group: str | None = None) -> DataFrame:
-    """Row count, date span and the ordered distinct values of ``group``."""
+#: Longest list of distinct values that a profile gives.
+LIST_LIMIT = 10_000
+
+
+def ordered_list(per_value: DataFrame, group: str, limit: int = LIST_LIMIT) -> DataFrame:
+    """One row, ``values``: the distinct values of ``group`` in order, joined by commas.
+
+    ``per_value`` has one row per value. Tasks hand on ``limit + 1`` values at most, whatever the
+    number of rows, and a longer list raises instead of growing.
+    """
+    few = per_value.select(group).where(F.col(group).isNotNull()).orderBy(group).limit(limit + 1)
+    values = F.array_sort(F.collect_list(group))
+    said = F.lit(f"more than {limit} distinct values of {group}")
+    return few.agg(values.alias("v")).select(
+        F.when(F.size("v") > limit, F.raise_error(said).cast("string")).otherwise(F.array_join("v", ", ")).alias("values")
+    )
+
+
+def profile(df: DataFrame, day: str, group: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
+    """Row count, date span and the ordered distinct values of ``group``, ``limit`` at most."""
     aggs = [
         F.count("*").alias("row_count"),
         F.min(day).alias("first_date"),
@@ -142,13 +190,16 @@ def profile(df: DataFrame, day: str, group: str | None = None) -> DataFrame:
     if group is None:
         return df.agg(*aggs)
     # combine per value first: the list is built from one row per value
-    per_value = df.groupBy(group).agg(*aggs)
-    return per_value.agg(
+    per_value = materialize(df.groupBy(group).agg(*aggs), "per-value")
+    spans = per_value.agg(
         F.sum("row_count").alias("row_count"),
         F.min("first_date").alias("first_date"),
         F.max("last_date").alias("last_date"),
-        F.array_join(F.array_sort(F.collect_set(group)), ", ").alias(f"{group}_list"),
     )
+    # one row each: a join of the two on a constant
+    listed = ordered_list(per_value, group, limit).withColumnRenamed("values", f"{group}_list")
+    one = F.lit(1).alias("_one")
+    return spans.select("*", one).join(listed.select("*", one), "_one").drop("_one")
 
 
 def freshness(df: DataFrame, day: str) -> DataFrame:
