@@ -374,6 +374,24 @@ def test_pieces_are_sentencepieces_own(docs):
         assert model.decode(data) == (text or "").replace("▁", " ")
 
 
+def test_borders_hold_as_merging_says():
+    import public_tokenizers
+
+    model = sentencepiece_viterbi.Viterbi(public_tokenizers.path(sentencepiece_viterbi.VOCABULARY))
+    rng = np.random.default_rng(17)
+    some = np.flatnonzero(model.size > 1)
+    a, b = rng.choice(some, (2, 4000)).astype(np.int32)
+    whole = rng.choice(some, 2000)  # borders that merging crosses, and odd pieces of spaces
+    a = np.concatenate([a, model.left[whole], np.flatnonzero(~model.plain)[:5]]).astype(np.int32)
+    b = np.concatenate([b, model.right[whole], np.flatnonzero(~model.plain)[:5]]).astype(np.int32)
+    want = [model._replay(model.piece[x] + model.piece[y]) == [model.piece[x], model.piece[y]] for x, y in zip(a, b)]
+    assert model._stay(a, b).tolist() == want and 0 < sum(want) < len(want)
+    assert model._holds(a, b).tolist() == want == model._holds(a, b).tolist()
+    model.replayed = 0
+    model.encode([t for t in texts() if t])
+    assert model.replayed <= len(model.known) // 20
+
+
 def test_viterbi_is_the_best_sum():
     import public_tokenizers
 

@@ -7,11 +7,16 @@ score of any piece ending there is a vectorised maximum whose argument is the ba
 
 The segmentation has the greatest sum of the vocabulary's piece scores (on equal sums, the
 longest last piece): what SentencePiece computes for unigram models. A vocabulary stored as
-merges has ranks for scores, and its ids are those that replaying the merges gives. There the
-best path is a proposal: it is right if every two neighbouring pieces, merged by themselves,
-stay those two pieces (the first merge across a border would also happen in the pair alone).
-Pairs are tested once per task; words whose path fails are replayed. Either way the ids are
-SentencePiece's own. Characters without a piece become their UTF-8 bytes' pieces.
+merges has ranks for scores, and its ids are those that merging gives. There a piece is admitted
+behind a path only if its border with the path's last piece holds: the two, merged by
+themselves, stay those two (the first merge across a border would also happen in the pair
+alone). Exactly one path of every beginning of a word has borders that all hold, so the maximum
+runs over what merging leaves there, and no word is merged anew. Borders are tested in bulk, by
+undoing the later of the two pieces' last merges again and again and looking for a better-ranked
+piece across the border, and remembered in a table of fixed size. Pieces whose own merges do not
+come in order of rank would be replayed pair by pair; ``replayed`` counts such pairs.
+Either way the ids are SentencePiece's own. Characters without a piece become their UTF-8
+bytes' pieces.
 
 A word is a run of escaped spaces and the characters up to the next one. No piece has an escaped
 space after another character, so a word's ids depend on the word alone.
@@ -22,6 +27,7 @@ holds the escape character itself reads back with a space there, as in SentenceP
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import re
@@ -41,11 +47,12 @@ NORMAL, BYTE = 1, 6
 MERGES = 2
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Words whose ids a task remembers; the oldest half goes when it is full.
-MEMORY = 300_000
+MEMORY = 1_000_000
 #: Characters of one batch of equally long words.
 BATCH = 200_000
-#: Longer words are replayed one by one.
-LONG = 64
+#: Places of the table of tested borders (8 bytes each), and of the filter before the sorted keys.
+BORDERS, FILTER = 1 << 22, 20
+NEVER = np.iinfo(np.int32).max
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -102,8 +109,6 @@ class Viterbi:
         if any(SPACE in p.lstrip(SPACE) for p, _, _ in normal):
             raise ValueError("a piece goes on beyond a word")
         self.rank = {p: s for p, s, _ in normal} if model_kind(path) == MERGES else None
-        self.number = {p: i for p, _, i in normal}
-        self.settled: dict[int, bool] = {}
         self.bytes_ids = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(pieces) if t == BYTE}
         self.longest = max(len(p) for p, _, _ in normal)
         worst = min(s for _, s, _ in normal)
@@ -111,25 +116,32 @@ class Viterbi:
         rng = np.random.default_rng(211)
         self.base = int(rng.integers(0, 2**63)) * 2 + 1
         self.inverse = pow(self.base, -1, 2**64)
-        keys = np.zeros(len(normal), dtype=np.uint64)
+        self.up = self._powers(self.base, self.longest + 1)
+        raw = np.zeros(len(normal), dtype=np.uint64)
         by_length: dict[int, list[int]] = {}
         for k, (p, _, _) in enumerate(normal):
             by_length.setdefault(len(p), []).append(k)
         for length, at in by_length.items():
-            sums = self._sums(self._codes([normal[k][0] for k in at], length))
-            keys[at] = self._hash(sums, 0, length)
+            raw[at] = self._sums(self._codes([normal[k][0] for k in at], length))[-1]
+        size = np.array([len(p) for p, _, _ in normal])
+        keys = self._mixed(raw, size)
         order = np.argsort(keys)
-        self.keys = keys[order]
+        self.keys, self.raw, self.size = keys[order], raw[order], size[order]
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
+        self.maybe = np.zeros(1 << FILTER, dtype=bool)
+        self.maybe[self.keys >> np.uint64(64 - FILTER)] = True
         self.scores = np.array([normal[k][1] for k in order])
-        self.ids = np.array([normal[k][2] for k in order], dtype=np.uint32)
-        self.byte_ids = set(self.bytes_ids.values())
+        self.ids = np.array([normal[k][2] for k in order], dtype=np.int64)
+        self.piece = [normal[k][0] for k in order]
         self.text = [p for p, _, _ in pieces]
         self.table = [p.encode() for p in self.text]
         for b, i in self.bytes_ids.items():
             self.table[i] = bytes([b])
         self.known: dict[str, bytes] = {}
+        self.replayed = 0
+        if self.rank is not None:
+            self._read_merges()
 
     @staticmethod
     def _codes(words: list[str], length: int) -> np.ndarray:
@@ -142,68 +154,65 @@ class Viterbi:
         return np.multiply.accumulate(out)
 
     def _sums(self, codes: np.ndarray) -> np.ndarray:
-        value = (codes.astype(np.uint64) + np.uint64(0x9E37)) * np.uint64(0xD6E8FEB86659FD93)
+        """Hashes of all beginnings of equally long words: (length + 1, words)."""
+        value = (codes.T.astype(np.uint64) + np.uint64(0x9E37)) * np.uint64(0xD6E8FEB86659FD93)
         value ^= value >> np.uint64(32)
-        sums = np.zeros((len(codes), codes.shape[1] + 1), dtype=np.uint64)
-        np.cumsum(value * self._powers(self.base, codes.shape[1]), axis=1, out=sums[:, 1:])
+        sums = np.zeros((codes.shape[1] + 1, len(codes)), dtype=np.uint64)
+        np.cumsum(value * self._powers(self.base, codes.shape[1])[:, None], axis=0, out=sums[1:])
         return sums
 
-    def _hash(self, sums: np.ndarray, start, length: int) -> np.ndarray:
-        h = (sums[:, start + length] - sums[:, start]) * np.uint64(pow(self.inverse, int(start), 2**64))
-        return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(length)
-
-    def segment(self, words: list[str]) -> list[list[int]]:
-        """Best segmentation of words of one length."""
-        n, size = len(words), len(words[0])
-        codes = self._codes(words, size)
-        sums = self._sums(codes)
-        down = self._powers(self.inverse, size + 1)
-        found: list[np.ndarray] = [np.empty(0)]
-        for length in range(1, min(self.longest, size) + 1):
-            h = (sums[:, length:] - sums[:, :-length]) * down[: size + 1 - length]
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(length)
-            at = np.searchsorted(self.keys, h)
-            at[at == len(self.keys)] = 0
-            found.append(np.where(self.keys[at] == h, at, -1).astype(np.int32))
-        best = np.full((n, size + 1), -np.inf)
-        best[:, 0] = 0
-        back = np.zeros((n, size + 1), dtype=np.int32)
-        for end in range(1, size + 1):
-            for length in range(min(self.longest, end), 0, -1):
-                piece = found[length][:, end - length]
-                score = np.where(piece >= 0, self.scores[piece], self.fallback if length == 1 else -np.inf)
-                score = best[:, end - length] + score
-                better = score > best[:, end]
-                best[better, end] = score[better]
-                back[better, end] = length
-        out = []
-        for row, word in enumerate(words):
-            ids, end = [], size
-            while end:
-                length = int(back[row, end])
-                piece = int(found[length][row, end - length])
-                if piece >= 0:
-                    ids.append(int(self.ids[piece]))
-                else:
-                    ids += [self.bytes_ids[b] for b in reversed(word[end - 1].encode("utf-8", "surrogatepass"))]
-                end -= length
-            out.append(ids[::-1])
-        if self.rank is not None:
-            wrong = [row for row, ids in enumerate(out) if not self._holds(ids)]
-            if size > LONG:
-                for row in wrong:
-                    out[row] = self._replay(words[row])
-            elif wrong:
-                for row, ends in zip(wrong, self._merge(found, np.array(wrong), size), strict=True):
-                    out[row] = self._pieces(words[row], ends)
+    @staticmethod
+    def _mixed(raw: np.ndarray, length) -> np.ndarray:
+        h = (raw ^ (raw >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return h + np.asarray(length).astype(np.uint64)
+
+    def _probe(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes among the sorted piece keys, -1 for none."""
+        out = np.full(h.shape, -1, dtype=np.int32)
+        some = np.nonzero(self.maybe[h >> np.uint64(64 - FILTER)])
+        wanted = h[some]
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        out[some] = np.where(self.keys[at] == wanted, at, -1)
         return out
 
-    def _merge(self, found: list[np.ndarray], rows: np.ndarray, size: int) -> list[list[int]]:
-        """``_replay`` of words of one length, together: where the symbol from each place ends."""
-        n, longest = len(rows), len(found) - 1
-        score = np.full((longest + 1, n, size), -np.inf)
+    def _found(self, codes: np.ndarray) -> list[np.ndarray]:
+        """Per length the pieces at every place: ``found[length][start, word]``."""
+        size = codes.shape[1]
+        sums, down = self._sums(codes), self._powers(self.inverse, size + 1)[:, None]
+        found = [np.empty((0, 0), dtype=np.int32)]
+        for length in range(1, min(self.longest, size) + 1):
+            found.append(self._probe(self._mixed((sums[length:] - sums[:-length]) * down[: size + 1 - length], length)))
+        return found
+
+    def _read_merges(self) -> None:
+        """The last merge of every piece, its rank, and whether its merges come in order of rank."""
+        n = len(self.keys)
+        self.left, self.right = np.full((2, n), -1, dtype=np.int32)
+        self.order = (-self.scores).astype(np.int32)
+        self.valid, self.plain = self.size == 1, self.size == 1
+        single = {p for p in self.piece if len(p) == 1}
+        if any(c not in single for p in self.piece for c in p):
+            raise ValueError("a piece holds a character that is none")
+        self.time = np.where(self.valid, -1, self.order)
+        for size in range(2, self.longest + 1):
+            rows = np.flatnonzero(self.size == size)
+            if not len(rows):
+                continue
+            found = self._found(self._codes([self.piece[k] for k in rows], size))
+            cut = self._parted(found[:size], len(rows), size)
+            for first in np.unique(cut[cut > 0]).tolist():
+                at = np.flatnonzero(cut == first)
+                here, a, b = rows[at], found[first][0, at], found[size - first][first, at]
+                self.left[here], self.right[here], self.valid[here] = a, b, True
+                self.plain[here] = self.plain[a] & self.plain[b] & (self.time[here] > np.maximum(self.time[a], self.time[b]))
+        self.borders = np.full(BORDERS, -1, dtype=np.int64)
+
+    def _parted(self, found: list[np.ndarray], n: int, size: int) -> np.ndarray:
+        """Merges words of one length, never to one whole: where the second of two symbols begins, or 0."""
+        longest = len(found) - 1
+        score = np.full((size + 1, n, size), -np.inf)
         for length in range(2, longest + 1):
-            piece = found[length][rows]
+            piece = found[length].T
             score[length, :, : size + 1 - length] = np.where(piece >= 0, self.scores[piece], -np.inf)
         at = np.arange(n)
         end, before = np.tile(np.arange(1, size + 1), (n, 1)), np.tile(np.arange(-1, size - 1), (n, 1))
@@ -216,50 +225,108 @@ class Viterbi:
             e = end[at, m]
             end[at, a], end[at, m], offer[at, m] = e, 0, -np.inf
             inner = e < size
-            length = np.where(inner, end[at, np.minimum(e, size - 1)] - a, 0)
-            offer[at, a] = score[np.where(length <= longest, length, 0), at, a]
+            offer[at, a] = score[np.where(inner, end[at, np.minimum(e, size - 1)] - a, 0), at, a]
             before[at[inner], e[inner]] = a[inner]
             left = before[at, a] >= 0
             row, place = at[left], before[at, a][left]
-            length = e[left] - place
-            offer[row, place] = score[np.where(length <= longest, length, 0), row, place]
-        return end.tolist()
-
-    def _pieces(self, word: str, end: list[int]) -> list[int]:
-        """Ids of a word's symbols, given where each ends."""
-        ids, a = [], 0
-        while a < len(word):
-            i = self.number.get(word[a : end[a]])
-            if i is None:
-                ids += [self.bytes_ids[b] for b in word[a : end[a]].encode("utf-8", "surrogatepass")]
-            else:
-                ids.append(i)
-            a = end[a]
-        return ids
-
-    def _holds(self, ids: list[int]) -> bool:
-        """Whether merging gives these pieces: each neighbouring pair, merged alone, stays apart."""
-        settled = self.settled
-        if len(settled) > MEMORY:
-            settled.clear()
-        for a, b in zip(ids, ids[1:] or ids[:1], strict=False):
-            # a single piece is held against itself: merging must lead to it
-            pair = (a << 32) | b if len(ids) > 1 else a
-            ok = settled.get(pair)
-            if ok is None:
-                if a in self.byte_ids or b in self.byte_ids:  # nothing merges with a character without a piece
-                    parts = [x for x in (a, b) if x not in self.byte_ids]
-                    ok = all(self._replay(self.text[x]) == [x] for x in parts)
-                else:
-                    whole = self.text[a] + (self.text[b] if len(ids) > 1 else "")
-                    ok = self._replay(whole) == ([a, b] if len(ids) > 1 else [a])
-                settled[pair] = ok
-            if not ok:
-                return False
-        return True
-
-    def _replay(self, word: str) -> list[int]:
-        """Ids by merging: the best-ranked neighbouring symbols first, the leftmost of equals."""
+            offer[row, place] = score[e[left] - place, row, place]
+        first = end[:, 0]
+        return np.where((first < size) & (end[np.arange(n), np.minimum(first, size - 1)] == size), first, 0)
+
+    def _stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging keeps each pair of pieces apart."""
+        stay = np.ones(len(a), dtype=bool)
+        for k in np.flatnonzero(~(self.plain[a] & self.plain[b])).tolist():
+            self.replayed += 1
+            stay[k] = self._replay(self.piece[a[k]] + self.piece[b[k]]) == [self.piece[a[k]], self.piece[b[k]]]
+        live = np.flatnonzero(self.plain[a] & self.plain[b])
+        x, y = a[live], b[live]
+        above_x, above_y = np.full((2, len(live)), NEVER, dtype=np.int32)
+        while len(live):
+            size = self.size[x] + self.size[y]
+            fits = np.flatnonzero(size <= self.longest)
+            over = np.full(len(live), NEVER, dtype=np.int32)
+            h = self.raw[x[fits]] + self.raw[y[fits]] * self.up[self.size[x[fits]]]
+            whole = self._probe(self._mixed(h, size[fits]))
+            over[fits[whole >= 0]] = self.order[whole[whole >= 0]]
+            # of equal ranks the leftmost comes first: x's own merge, then the one across, then y's
+            across = (over < above_x) & (over <= above_y) & (over < NEVER)
+            stay[live[across]] = False
+            tx, ty = self.time[x], self.time[y]
+            on = ~across & ((tx >= 0) | (ty >= 0))
+            live, x, y, tx, ty, above_x, above_y = (v[on] for v in (live, x, y, tx, ty, above_x, above_y))
+            later = tx > ty  # of equal ranks y was merged later
+            above_x, above_y = np.where(later, tx, above_x), np.where(later, above_y, ty)
+            x, y = np.where(later, self.right[x], x), np.where(later, y, self.left[y])
+        return stay
+
+    def _holds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``_stay``, remembered; ``a`` is -1 where no piece, or a character without one, goes before."""
+        out = np.ones(len(a), dtype=bool)
+        real = np.flatnonzero(a >= 0)
+        pair = (a[real].astype(np.int64) << 32) | (b[real].astype(np.int64) << 1)
+        slot = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) & (BORDERS - 1)
+        entry = self.borders[slot]
+        new = np.flatnonzero((entry | 1) != (pair | 1))
+        if len(new):
+            fresh, back = np.unique(pair[new], return_inverse=True)
+            fresh |= self._stay((fresh >> 32).astype(np.int32), ((fresh & 0xFFFFFFFF) >> 1).astype(np.int32))
+            entry[new] = fresh[back]
+            self.borders[slot[new]] = entry[new]
+        out[real] = entry & 1 == 1
+        return out
+
+    def segment(self, words: list[str]) -> list[list[int]]:
+        """Best segmentation of words of one length."""
+        return [np.frombuffer(ids, dtype="<u4").tolist() for ids in self._segment(words)]
+
+    def _segment(self, words: list[str]) -> list[bytes]:
+        n, size = len(words), len(words[0])
+        found = self._found(self._codes(words, size))
+        best = np.full((size + 1, n), -np.inf)
+        best[0] = 0
+        back = np.zeros((size + 1, n), dtype=np.int32)
+        last = np.full((size + 1, n), -1, dtype=np.int32)  # the path's last piece
+        for end in range(1, size + 1):
+            for length in range(min(self.longest, end), 0, -1):
+                piece = found[length][end - length]
+                rows = np.flatnonzero(piece >= 0)
+                if self.rank is not None:  # one path holds: who has it needs no other
+                    rows = rows[back[end, rows] == 0]
+                    rows = rows[self.valid[piece[rows]]]
+                    rows = rows[self._holds(last[end - length, rows], piece[rows])]
+                score = best[end - length, rows] + self.scores[piece[rows]]
+                better = score > best[end, rows]
+                rows = rows[better]
+                best[end, rows], back[end, rows], last[end, rows] = score[better], length, piece[rows]
+            rows = np.flatnonzero(found[1][end - 1] < 0)
+            score = best[end - 1, rows] + self.fallback
+            better = score > best[end, rows]
+            rows = rows[better]
+            best[end, rows], back[end, rows], last[end, rows] = score[better], 1, -1
+        ids = np.full((n, size), -1, dtype=np.int64)
+        rows, end = np.arange(n), np.full(n, size)
+        odd = np.zeros(n, dtype=bool)
+        while len(rows):
+            piece = last[end, rows]
+            end = end - back[end, rows]
+            ids[rows, end] = np.where(piece >= 0, self.ids[piece], -2)
+            odd[rows[piece < 0]] = True
+            rows, end = rows[end > 0], end[end > 0]
+        flat = ids[ids >= 0].astype("<u4").tobytes()
+        stop = (np.cumsum((ids >= 0).sum(axis=1)) * 4).tolist()
+        out = [flat[a:b] for a, b in zip([0, *stop], stop, strict=False)]
+        for row in np.flatnonzero(odd).tolist():
+            own = [
+                [i] if i >= 0 else [self.bytes_ids[x] for x in words[row][k].encode("utf-8", "surrogatepass")]
+                for k, i in enumerate(ids[row].tolist())
+                if i != -1
+            ]
+            out[row] = np.array([i for part in own for i in part], dtype="<u4").tobytes()
+        return out
+
+    def _replay(self, word: str) -> list[str]:
+        """Symbols by merging: the best-ranked neighbours first, the leftmost of equals."""
         rank = self.rank
         size = len(word)
         end, before = list(range(1, size + 1)), list(range(-1, size - 1))
@@ -284,7 +351,11 @@ class Viterbi:
                 offer(a)
             if before[a] >= 0:
                 offer(before[a])
-        return self._pieces(word, end)
+        out, a = [], 0
+        while a < size:
+            out.append(word[a : end[a]])
+            a = end[a]
+        return out
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -307,8 +378,7 @@ class Viterbi:
             step = max(1, BATCH // (size + 1))
             for i in range(0, len(words), step):
                 part = words[i : i + step]
-                for w, ids in zip(part, self.segment([SPACE + w for w in part]), strict=True):
-                    known[w] = np.array(ids, dtype="<u4").tobytes()
+                known.update(zip(part, self._segment([SPACE + w for w in part]), strict=True))
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def decode(self, ids: bytes) -> str:
@@ -316,20 +386,26 @@ class Viterbi:
         return data.decode("utf-8", "surrogatepass").replace(SPACE, " ")[1:]
 
 
+@functools.lru_cache(maxsize=2)
+def model(path: str) -> Viterbi:
+    """One model per Python worker: its tasks go on with the words and borders it knows."""
+    return Viterbi(path)
+
+
 def op7_sentencepiece_viterbi(spark, sf_dir, path: str | None = None) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make():
-        model = Viterbi(path)
+        own = model(path)
 
         def step(batch):
             rows = []
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i in range(0, len(ids), 1000):
                 part = texts[i : i + 1000]
-                for doc, text, data in zip(ids[i : i + 1000], part, model.encode(part), strict=True):
-                    again = model.decode(data)
+                for doc, text, data in zip(ids[i : i + 1000], part, own.encode(part), strict=True):
+                    again = own.decode(data)
                     digest = hashlib.sha256(again.encode("utf-8", "surrogatepass")).hexdigest()
                     rows.append((doc, len(data) // 4, zlib.crc32(data), digest, again == (text or "").replace(SPACE, " ")))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
