@@ -782,6 +782,10 @@ ORACLE["p45_grouping_sets"] = """SELECT coalesce(o_orderpriority, 'total') AS pr
 ORACLE["p47_quantiles"] = f"""SELECT l_returnflag AS flag, {r("quantile_cont(l_quantity, 0.5)", 4)} AS median_qty,
     {r("quantile_cont(l_quantity, 0.9)", 4)} AS p90_qty, max(l_quantity) AS max_qty
     FROM lineitem GROUP BY 1"""
+ORACLE["p47_quantiles_continuous"] = "SELECT l_returnflag AS flag, l_linestatus AS status, " + ", ".join(
+    f"{r(f'quantile_cont(CAST(l_extendedprice AS DOUBLE), {share})', 4)} AS {name}"
+    for name, share in (("p25_price", 0.25), ("median_price", 0.5), ("p99_price", 0.99))
+) + " FROM lineitem GROUP BY 1, 2"
 ORACLE["p48_sample_stddev"] = q(
     f"""SELECT lane, n AS lane_n, {r("mean", 6)} AS mean_days, {r("std", 6)} AS std_days FROM lanestat""",
     "lanestat",

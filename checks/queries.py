@@ -518,6 +518,17 @@ def p47_quantiles(b: Bound) -> DataFrame:
     )
 
 
+@query
+def p47_quantiles_continuous(b: Bound) -> DataFrame:
+    shares = {"p25_price": 0.25, "median_price": 0.5, "p99_price": 0.99}
+    out = stats.quantiles(b.raw("lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", shares)
+    return out.select(
+        F.col("l_returnflag").alias("flag"),
+        F.col("l_linestatus").alias("status"),
+        *[det_round(F.col(name), 4).alias(name) for name in shares],
+    )
+
+
 @query
 def p48_sample_stddev(b: Bound) -> DataFrame:
     delivered = operations._delivered(b.booking(lanes=True))

@@ -126,3 +126,16 @@ def test_repeated_rates_give_the_largest_whatever_the_order(spark, facts, rates)
         for join in (asof.join_daily, asof.join_sliced):
             out = join(facts, both, ["currency"], "issued", "rate_date")
             assert dict(got(out.select("id", F.col("rate").cast("decimal(10,2)").cast("string")))) == want
+
+
+def test_sliced_join_reads_each_side_once_and_keeps_repeated_times(spark, tmp_path):
+    at = dt.datetime(2025, 1, 1, 12)
+    left = [(i, "hot", at + dt.timedelta(minutes=i % 3)) for i in range(900)] + [(900, "cold", at)]
+    right = [("hot", at, 1), ("hot", at, 2), ("hot", at + dt.timedelta(minutes=2), 3), ("hot", at + dt.timedelta(minutes=2), 3)]
+    spark.createDataFrame(left, "id int, k string, t timestamp_ntz").write.parquet(f"{tmp_path}/left")
+    spark.createDataFrame(right, "k string, rt timestamp_ntz, v int").write.parquet(f"{tmp_path}/right")
+    ldf, rdf = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("left", "right"))
+    out = asof.join_sliced(ldf, rdf, ["k"], "t", "rt", "left")
+    assert dict(got(out.select("id", "v"))) == {i: None if i == 900 else 3 if i % 3 == 2 else 2 for i, _, _ in left}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count(f"{tmp_path}/left") == 1 and "Window" not in plan

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from tests.conftest import got
@@ -98,3 +100,29 @@ def test_a_check_without_rows_is_zero(spark):
     spec = {"t": Table("", key=("k",), checks={"pos": "k > 0"})}
     out = quality.declared({"t": spark.createDataFrame([], "k int")}, spec)
     assert {r.violations for r in out.collect()} == {0}
+
+
+def test_declared_reads_each_table_once_and_has_one_exchange_of_keys(spark):
+    specs = {
+        "child": Table("", key=("a", "b"), required=("p",), references={"p": ("parent", "k"), "q": ("parent", "k")},
+                       checks={"a": "a > 0"}),
+        "parent": Table("", key=("k",)),
+    }
+    child = [(1, "1:2", 5, 7), (1, "1:2", 5, None), (11, ":2", 5, 8), (1, None, None, 7), (1, None, 9, 7), (0, "", 5, 7)]
+    frames = {
+        "child": spark.createDataFrame(child, "a int, b string, p int, q int").repartition(2),
+        "parent": spark.createDataFrame([(5,), (7,), (7,), (None,)], "k bigint").repartition(2),  # another type
+    }
+    out = quality.declared(frames, specs)
+    got_ = {(r.table_name, r.constraint_name): r.violations for r in out.collect()}
+    assert got_ == {
+        ("child", "not null: a"): 0, ("child", "not null: b"): 2, ("child", "not null: p"): 1, ("child", "check: a"): 1,
+        ("child", "unique: a, b"): 2, ("child", "reference: p -> parent"): 1, ("child", "reference: q -> parent"): 1,
+        ("parent", "not null: k"): 1, ("parent", "unique: k"): 1,
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition") == 2  # one reading a table
+    physical = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    # keys, then one total per constraint
+    assert len(re.findall(r"hashpartitioning\(_no#\d+, _key", physical)) == 1 and physical.count("hashpartitioning(") == 2
+    assert "SortMergeJoin" not in physical

@@ -83,6 +83,10 @@ def join_sliced(
     the value in force when a slice opens is carried over from the slices before
     it, which needs one row per slice. Of repeated rows for a key and time, the
     one with the largest values counts.
+
+    Both sides are first read for their keys, times and values alone; what the slices
+    give is written, so the facts meet it in an equi-join, which AQE can split at an
+    instant held by very many facts, and the final plan reads each side once.
     """
     by = list(by)
     dates = isinstance(right.schema[right_time].dataType, T.DateType)
@@ -108,6 +112,7 @@ def join_sliced(
     merged = both.withColumn("_v", F.last("_v", ignorenulls=True).over(so_far)).withColumn(
         "_last", F.lead(F.lit(True)).over(order).isNull()
     )
+    merged = materialize(merged.where("_last OR _ask = 1"), "slices")
     # one row per key and slice: the value its last row leaves behind
     before = (
         Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,7 +127,7 @@ def join_sliced(
     )
     if how == "inner":
         resolved = resolved.where(F.col("_v").isNotNull())
-    joined = left.join(resolved, [*by, left_time], how)
+    joined = left.join(materialize(resolved, "in_force"), [*by, left_time], how)
     return joined.select(*left.columns, *[F.col("_v")[name].alias(name) for name in payload])
 
 

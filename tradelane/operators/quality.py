@@ -68,6 +68,12 @@ def union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _key_text(columns: Sequence[Column]) -> Column:
+    """Text that is equal for equal keys only; NULLs are equal."""
+    texts = [c.cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
 def declared(
     tables: dict[str, DataFrame], specs: dict[str, Table], names: Sequence[str] | None = None
 ) -> DataFrame:
@@ -75,38 +81,63 @@ def declared(
 
     Key: rows beyond the first of each key. Required: NULLs. Reference:
     non-NULL values missing in the parent. Check: rows where it is false.
+
+    Every table is read once: a row says, for each constraint it has a part in, the constraint's
+    number and the key (its own, one it refers to, one it offers to others). All tables' keys meet
+    in one exchange, counted on the map side first, so a key held by very many rows is few there.
     """
-    parts = []
+    labels: list[tuple[str, str]] = []
+    lines: dict[str, list[Column]] = {name: [] for name in tables}
+    unique, reference = [], []
+
+    def add(table: str, label: str) -> int:
+        labels.append((table, label))
+        return len(labels) - 1
+
+    def line(number: int, key: Column, mine: int = 1, when: Column | None = None) -> Column:
+        said = F.struct(F.lit(number).alias("_no"), key.alias("_key"), F.lit(mine).cast("bigint").alias("_mine"))
+        return said if when is None else F.when(when, said)
+
     for name in names or list(tables):
         spec, df = specs[name], tables[name]
-        row_checks: list[tuple[str, str, Column]] = []
         for column in [*spec.key, *spec.required]:
-            row_checks.append((f"not null: {column}", CRITICAL, F.col(column).isNull()))
+            number = add(name, f"not null: {column}")
+            lines[name].append(line(number, F.lit(""), when=F.col(column).isNull()))
         for label, predicate in spec.checks.items():
-            row_checks.append((f"check: {label}", CRITICAL, ~F.expr(predicate)))
-        found = []
-        if row_checks:
-            found.append(rows_where(df, row_checks))
+            lines[name].append(line(add(name, f"check: {label}"), F.lit(""), when=~F.expr(predicate)))
         if spec.key:
-            repeats = df.groupBy(*spec.key).agg((F.count("*") - 1).alias("_extra"))
-            label = "unique: " + ", ".join(spec.key)
-            found.append(total(repeats, label, CRITICAL, F.sum("_extra")))
+            unique.append(add(name, "unique: " + ", ".join(spec.key)))
+            lines[name].append(line(unique[-1], _key_text([F.col(c) for c in spec.key])))
         for column, (parent, parent_key) in spec.references.items():
             if parent not in tables:
                 continue
-            lost = orphans(df.where(F.col(column).isNotNull()), column, tables[parent], parent_key)
-            found.append(
-                total(lost, f"reference: {column} -> {parent}", CRITICAL, F.sum("n"))
-            )
-        if found:
-            parts.append(
-                union(found).select(
-                    F.lit(name).alias("table_name"),
-                    F.col("check_name").alias("constraint_name"),
-                    "violations",
-                )
-            )
-    return union(parts).orderBy("table_name", "constraint_name")
+            reference.append(add(name, f"reference: {column} -> {parent}"))
+            own, kind = F.col(column), tables[parent].schema[parent_key].dataType
+            if df.schema[column].dataType != kind:
+                own = own.cast(kind)
+            lines[name].append(line(reference[-1], _key_text([own]), when=F.col(column).isNotNull()))
+            lines[parent].append(line(reference[-1], _key_text([F.col(parent_key)]), mine=0))
+    said = union([
+        tables[name].select(F.inline(F.array_compact(F.array(*parts)))) for name, parts in lines.items() if parts
+    ])
+    keys = said.groupBy("_no", "_key").agg(F.sum("_mine").alias("n"), F.min("_mine").alias("_least"))
+    number = F.col("_no")
+    wrong = (
+        F.when(number.isin(unique), F.col("n") - 1)
+        .when(number.isin(reference), F.when(F.col("_least") == 1, F.col("n")).otherwise(0))
+        .otherwise(F.col("n"))
+    )
+    totals = keys.groupBy("_no").agg(F.sum(wrong).alias("_n"))
+    named = [
+        F.struct(F.lit(i).alias("_no"), F.lit(t).alias("table_name"), F.lit(c).alias("constraint_name"))
+        for i, (t, c) in enumerate(labels)
+    ]
+    listed = said.sparkSession.range(1).select(F.inline(F.array(*named)))
+    return (
+        listed.join(F.broadcast(totals), "_no", "left")  # a row per constraint
+        .select("table_name", "constraint_name", F.coalesce("_n", F.lit(0)).cast("bigint").alias("violations"))
+        .orderBy("table_name", "constraint_name")
+    )
 
 
 def failing(checks: DataFrame) -> DataFrame:
