@@ -538,3 +538,22 @@ def test_pipeline_is_its_plain_stages(spark, folder, given):
     for v in by.values():
         v.sort()
         assert all(o == sum(n for _, n in v[:k]) for k, (o, _) in enumerate(v)) and sum(n for _, n in v) <= 2048
+
+
+def test_every_row_has_the_next_one(spark, monkeypatch):
+    """Slices of eight rows, hot and null ids, equal rows: each row is followed once, round the table."""
+    monkeypatch.setattr(fingerprints, "SLICE", 8)
+    for n in (0, 1, 2, 8, 9, 300):
+        ids = [None if i % 50 == 3 else 7 if i % 3 == 0 else i for i in range(n)]
+        rows = [(i, f"t{k % 40}") for k, i in enumerate(ids)]
+        placed = fingerprints.in_order(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", ["text"])
+        out = fingerprints.with_next(placed, ["doc_id", "text"])
+        got = sorted((tuple(r) for r in out.collect()), key=repr)
+        order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+        assert got == sorted((a + b for a, b in zip(order, order[1:] + order[:1])), key=repr)
+    plans = [
+        len(re.sub(r"[\d.]+|file:\S+|/\S+", "", fingerprints.with_next(fingerprints.in_order(df, "id", ["t"]), ["t"])
+                   ._jdf.queryExecution().optimizedPlan().toString()))
+        for df in (spark.range(k).select("id", F.lit("x").alias("t")) for k in (10, 100_000))
+    ]
+    assert abs(plans[0] - plans[1]) < 40

@@ -9,7 +9,13 @@ is the share of equal bins, corrected for the 1 in 256 that agree by chance.
 
 Words are split at white space after lower-casing; a text with fewer than five words is one
 shingle. Null and empty texts, and texts without words, have the empty fingerprint: like each
-other (1.0), unlike any other (0.0).
+other (1.0), unlike any other (0.0). Texts are read whole, a very long one within one row; repeated
+rows and ids are rows like others, null ids come last; an empty table gives an empty result; other
+columns pass through ``with_fingerprint``.
+
+The query needs every document's successor. The table is dealt out by range of its ids once and
+written in order with running numbers; neighbours then meet in slices of ``SLICE`` rows. No cut is
+a literal: the plan does not grow with the rows, and the driver collects none.
 """
 
 from __future__ import annotations
@@ -19,7 +25,8 @@ from random import Random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelane.llm.common import read
+from tradelane.llm.common import NO_ID, read
+from tradelane.session import new_path, shuffles_dropped
 
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
@@ -30,8 +37,10 @@ LOW_BITS = 56 - BIN_BITS
 LOW = (1 << LOW_BITS) - 1
 #: Factors and addends (48 bits) of an empty bin's first tries.
 TRIES = [tuple(Random(k).getrandbits(48) | 1 for _ in range(2)) for k in range(16)]
-#: Rows of one slice when neighbours are looked up.
-SLICE = 500
+#: Rows of one slice when neighbours are looked up, a power of two.
+SLICE = 512
+#: Bits of a row's number within its range partition, as Spark numbers rows.
+RANGE_BITS = 33
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, packed: str | None = None) -> DataFrame:
@@ -91,8 +100,13 @@ def with_fingerprint(df: DataFrame, text: str, out: str, packed: str | None = No
 
     lanes = F.when(F.size("_f") > 0, F.transform(F.sequence(F.lit(0), F.lit(BINS - 1), F.lit(LANES)), lane))
     step = step.withColumn("_l", lanes)
-    text_form = F.coalesce(F.array_join(F.transform("_l", lambda x: F.lpad(F.hex(x), 2 * LANES, "0")), ""), F.lit(""))
-    return step.select(*kept, text_form.alias(out), *([F.col("_l").alias(packed)] if packed else []))
+    return step.select(*kept, as_text("_l").alias(out), *([F.col("_l").alias(packed)] if packed else []))
+
+
+def as_text(packed: str) -> Column:
+    """Packed longs as hex lanes; empty for the empty fingerprint."""
+    lanes = F.transform(packed, lambda x: F.lpad(F.hex(x), 2 * LANES, "0"))
+    return F.coalesce(F.array_join(lanes, ""), F.lit(""))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -113,48 +127,60 @@ def likeness(a: str, b: str) -> Column:
     )
 
 
-def with_next(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
-    """``df`` with ``next_<c>`` of the row that follows in descending ``order``; the last is followed by the first.
+def in_order(df: DataFrame, order: str, ties: list[str]) -> DataFrame:
+    """``df`` written in descending ``order``, with ``_at``: a row's place, growing along the order.
 
-    The order is cut into slices of about ``SLICE`` rows at quantiles. Each slice is one
-    window, and the first rows of the next slice that has any are handed up to it, so no
-    task sees more than a slice. Rows of equal ``order`` follow by ``columns``. Null comes last.
+    Rows are dealt out by range, sorted there and numbered; the number of the range is in the upper
+    bits. Nulls come last; rows of equal ``order`` follow by ``ties``, and equal rows by their place
+    in the input, so that they are dealt out like any others.
     """
-    key = F.coalesce(order, F.lit(-(2**63)))
-    total = df.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("top")).first()
-    if not total.n:
-        return df.select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(f"next_{c}") for c in columns])
-    slices = max(1, total.n // SLICE)
-    probs = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(df.agg(F.percentile_approx(key, probs, 10 * slices)).first()[0])) if probs else []
-    at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("_key"))) if cuts else F.lit(0)
-    placed = df.withColumn("_key", key).withColumn("_slice", at)
-    tops = {r["_slice"]: r["top"] for r in placed.groupBy("_slice").agg(F.max("_key").alias("top")).collect()}
-    known = sorted(tops)
-    handed = placed.where(F.col("_key").isin(list(tops.values())))
-    # the slice above takes the first rows of this one; the lowest slice is followed by the very first
-    above = {s: known[(i + 1) % len(known)] for i, s in enumerate(known)}
-    if len(known) > 1:
-        up = F.create_map(*[F.lit(x) for s in known for x in (s, above[s])])
-        handed = handed.withColumn("_slice", up[F.col("_slice")])
-    rows = placed.withColumn("_handed", F.lit(0)).unionByName(handed.withColumn("_handed", F.lit(1)))
-    window = Window.partitionBy("_slice").orderBy(F.col("_handed"), F.col("_key").desc(), *columns)
+    spark = df.sparkSession
+    by = [F.col("_key").desc(), *ties, "_row"]
+    path = new_path(spark, "ordered")
+    keyed = df.withColumn("_key", F.coalesce(order, F.lit(NO_ID))).withColumn("_row", F.monotonically_increasing_id())
+    placed = keyed.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    placed = placed.drop("_key", "_row")
+    with shuffles_dropped(spark):
+        placed.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
+def with_next(placed: DataFrame, columns: list[str]) -> DataFrame:
+    """A table :func:`in_order` with ``next_<c>`` of the following row; the last is followed by the first.
+
+    Windows hold ``SLICE`` rows of one range and the first row of the slice after; which slice goes
+    before a range's first one is looked up in a table of one row per range.
+    """
+    bits = SLICE.bit_length() - 1
+    ranges = placed.groupBy(F.shiftright("_at", RANGE_BITS).alias("_range")).agg(F.max("_at").alias("_last"))
+    along = Window.orderBy("_range")  # as many rows as ranges
+    everything = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = ranges.select("_range", F.coalesce(F.lag("_last").over(along), F.max("_last").over(everything)).alias("_before"))
+    first = placed.where(F.col("_at").bitwiseAND(SLICE - 1) == 0)
+    begins = F.col("_at").bitwiseAND((1 << RANGE_BITS) - 1) == 0
+    handed = first.join(F.broadcast(before), F.shiftright("_at", RANGE_BITS) == F.col("_range")).withColumn(
+        "_slice", F.when(begins, F.shiftright("_before", bits)).otherwise(F.shiftright("_at", bits) - 1)
+    )
+    rows = placed.withColumn("_slice", F.shiftright("_at", bits)).withColumn("_handed", F.lit(0))
+    rows = rows.unionByName(handed.drop("_range", "_before").withColumn("_handed", F.lit(1)))
+    window = Window.partitionBy("_slice").orderBy("_handed", "_at")
     return (
         rows.select("*", *[F.lead(c).over(window).alias(f"next_{c}") for c in columns])
         .where("_handed = 0")
-        .drop("_key", "_slice", "_handed")
+        .drop("_at", "_slice", "_handed")
     )
 
 
 def op1_document_fingerprints(spark, sf_dir) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = with_next(with_fingerprint(docs, "text", "fingerprint", "_p"), "doc_id", ["text", "_p"])
+    packed = with_fingerprint(in_order(docs, "doc_id", ["text"]), "text", "fingerprint", "_p").drop("fingerprint")
+    both = with_next(packed, ["text", "_p"])
     n = F.char_length("text")
     half = F.floor(n / F.lit(2)).cast("int")
     both = both.withColumn("n_chars", n.cast("bigint")).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
     ).withColumn("edited_sha256", F.sha2("edited", 256)).drop("text", "next_text")
     return with_fingerprint(both, "edited", "edited_fingerprint", "_e").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        "doc_id", "n_chars", "edited_sha256", as_text("_p").alias("fingerprint"), "edited_fingerprint",
         likeness("_p", "_e").alias("near_edited"), likeness("_p", "next__p").alias("near_next"),
     )
