@@ -285,7 +285,7 @@ class Bound:
 
     @cached_property
     def routes(self) -> DataFrame:
-        """The three cheapest destinations of every origin."""
+        """One edge per booked lane with a known arrival: its fastest days and lowest freight."""
         if "lane_daily" in self.__dict__:
             rows, days, cost = self.lane_daily, F.col("fastest"), F.col("cheapest")
         else:

@@ -230,8 +230,7 @@ def d11_monthly_on_time(b: Bound) -> DataFrame:
 def d12_headline_facts(b: Bound) -> DataFrame:
     billing = b.billing()
     t = {**b.network(), "invoices": billing["invoices"], "fx_rates": b.fx}
-    t["shipments"] = b.shipments(lanes=False)
-    return headline.headline_facts(t, b.last_day, b.last_day, b.consignments)
+    return headline.headline_facts(t, b.last_day, b.consignments)
 
 
 @query

@@ -111,3 +111,15 @@ def test_segments_and_classes(table, t):
     classes = [sum(r[k] for r in out.values()) for k in ("class_a_customers", "class_b_customers", "class_c_customers")]
     # shares from the top: 26.0 47.0 63.6 76.4 85.7 92.2 96.4 98.7 99.7 100.0
     assert classes == [4, 2, 4]
+
+
+def test_one_pass_gives_the_region_and_the_overdue_totals(t):
+    out = {r.region: r for r in finance.billing_by_region(t).collect()}
+    kpi = finance.receivables_kpi(t).first()
+    assert {k: round(r.billed) for k, r in out.items()} == dict(got(finance.revenue_by_region(t)))
+    assert round(sum(r.open for r in out.values())) == kpi.outstanding_usd
+    assert round(sum(r.overdue or 0 for r in out.values())) == kpi.overdue90_usd
+    # a bill of no known shipment counts among the open ones, in no region
+    lost = finance.billing_by_region({**t, "shipments": t["shipments"].where("shipment_id <> 'S0'")}).collect()
+    assert sum(r.open for r in lost) == sum(r.open for r in out.values())
+    assert None in {r.region for r in lost}

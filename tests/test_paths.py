@@ -106,3 +106,43 @@ def test_ranks_of_the_kept_are_ranks_among_all(routes):
     few = network.route_pathfinding({"shipping_routes": routes}, "UAODS", ["CNSHA", "NLRTM"], top=2).collect()
     assert all(every[r.routing, r.modes, r.transit_days, r.cost_per_cbm_usd] == (r.cost_rank, r.speed_rank) for r in few)
     assert network.route_pathfinding({"shipping_routes": routes.limit(0)}, "UAODS", ["CNSHA"]).count() == 0
+
+
+def test_branch_and_bound_finds_the_best_of_every_request(spark):
+    import random
+
+    for seed, keep, legs in ((1, 1, 3), (2, 3, 3), (3, 2, 4), (4, 3, 2), (5, 2, 1)):
+        rng = random.Random(seed)
+        some = "abcdefghij"
+        rows = [(a, b, f"m{i}", rng.randrange(1, 9), rng.randrange(1, 20)) for a in some for b in some
+                for i in range(rng.randrange(3)) if rng.random() < 0.6]  # self-loops and parallel edges, many equal values
+        e = edges(spark, rows)
+        asked = spark.createDataFrame([(a, g) for a in "abcx" for g in "PQR"], "origin string, goal string")
+        ends = spark.createDataFrame(
+            [(n, g, rng.randrange(5), Decimal(rng.randrange(9))) for n in "ghij" for g in "PQ" for _ in range(2)] + [("b", "P", 0, Decimal(0))],
+            "node string, goal string, more int, extra decimal(8,2)")
+
+        def chosen(found):
+            value = (F.col("cost") + F.col("extra")).cast("double") + (F.col("days") + F.col("more")) * 1.5
+            w = Window.partitionBy("origin", "goal").orderBy("value", paths.path_text("path"), paths.path_text("modes"), "extra", "more")
+            goals = ["dest", "goal"] if "goal" in found.columns else "dest"
+            all_ends = found.join(ends.withColumnRenamed("node", "dest"), goals).join(asked, ["origin", "goal"])
+            best = all_ends.withColumn("value", value).withColumn("n", F.row_number().over(w)).where(F.col("n") <= keep)
+            return sorted(got(best, "origin", "goal", "n", "path", "modes", "days", "cost", "value"))
+
+        every = paths.expand(e, asked.select(F.col("origin").alias("node")), ends.select("node").distinct(), legs, 2, 3)
+        few = paths.best(e, asked, ends.selectExpr("node", "goal", "more AS days", "extra AS cost"), keep, 1.5, legs, 2, 3)
+        assert chosen(few) == chosen(every) and len(chosen(few)) > 4
+        assert few.count() == few.distinct().count()
+        if legs > 2:  # of what is listed per origin and end there
+            assert few.count() < every.count() / 4
+
+
+def test_branch_and_bound_of_nothing(spark):
+    none = edges(spark, [])
+    asked = spark.createDataFrame([("a", "P")], "origin string, goal string")
+    ends = spark.createDataFrame([("b", "P", 1, Decimal(1))], "node string, goal string, days int, cost decimal(8,2)")
+    names = spark.createDataFrame([("a", "Alpha")], "node string, name string")
+    assert paths.best(none, asked, ends, 3, 1.5, names=names).count() == 0
+    one = paths.best(edges(spark, [("a", "b", "sea", 1, 1)]), asked, ends, 3, 1.5, names=names)
+    assert got(one, "path", "names", "legs") == [(["a", "b"], ["Alpha", "b"], 1)]

@@ -165,6 +165,33 @@ def receivables_kpi(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     )
 
 
+def billing_by_region(t: Tables, as_of: dt.date | None = None) -> DataFrame:
+    """USD billed, open and more than 90 days late per region, from one pass over the invoices.
+
+    Bills of an unknown shipment or port stand under the region NULL. ``shipment_id`` is a key
+    of the shipments.
+    """
+    as_of = as_of or latest(t["invoices"], "issue_date")
+    amount, unpaid = F.col("amount"), F.col("paid_date").isNull()
+    origins = t["shipments"].select("shipment_id", "origin_port")
+    daily = (
+        t["invoices"].join(origins, "shipment_id", "left")
+        .groupBy("origin_port", "currency", "issue_date")
+        .agg(
+            F.sum(amount).alias("billed"),
+            F.sum(F.when(unpaid, amount)).alias("open"),
+            F.sum(F.when(unpaid & (F.col("due_date") < shift(as_of, -90)), amount)).alias("overdue"),
+        )
+    )
+    rates = t["fx_rates"].select("currency", "rate_date", "rate_to_usd")
+    return (
+        asof.join_daily(daily, rates, ["currency"], "issue_date", "rate_date")
+        .join(_regions(t), "origin_port", "left")
+        .groupBy("region")
+        .agg(*[F.sum(F.col(c) * F.col("rate_to_usd")).alias(c) for c in ("billed", "open", "overdue")])
+    )
+
+
 def aging_dashboard(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     as_of = as_of or latest(t["invoices"], "issue_date")
     label = bucket(F.datediff(day(as_of), F.col("due_date")), DASHBOARD_BUCKETS)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelane.functions.num import pct
+from tradelane.functions.num import pct, whole
 from tradelane.marts import finance, network, operations
 
 Tables = dict[str, DataFrame]
@@ -22,7 +22,6 @@ def _month_number():
 def headline_facts(
     t: Tables,
     as_of: dt.date | None = None,
-    book_as_of: dt.date | None = None,
     consignments: DataFrame | None = None,
 ) -> DataFrame:
     """``consignments``: what invoices refer to, where that is not ``t["shipments"]``."""
@@ -30,13 +29,17 @@ def headline_facts(
         F.max_by("month", F.struct("shipments", F.negate(_month_number()))).alias("peak_month"),
         F.max("shipments").alias("peak_shipments"),
     )
-    regions = finance.revenue_by_region(
+    # one row per region, the last for bills of no known port: few rows, which give both facts
+    billing = finance.billing_by_region(
         {**t, "shipments": t["shipments"] if consignments is None else consignments}
-    ).agg(
-        F.max_by("region", F.struct("revenue_usd", "region")).alias("top_region"),
-        pct(F.max("revenue_usd"), F.sum("revenue_usd"), 0).alias("top_region_pct"),
     )
-    ports = network.port_table(t, as_of, book_as_of)
+    usd = F.when(F.col("region").isNotNull(), whole(F.col("billed")))
+    money = billing.agg(
+        F.max_by("region", F.when(usd.isNotNull(), F.struct(usd, "region"))).alias("top_region"),
+        pct(F.max(usd), F.sum(usd), 0).alias("top_region_pct"),
+        pct(whole(F.sum("overdue")), whole(F.sum("open")), 0).alias("overdue_pct"),
+    )
+    ports = t["ports"].select("port_code", "port_name").join(network.port_tonnage(t, as_of), "port_code", "left")
     live = (F.col("kt_day") != 0) & F.col("yoy").isNotNull()
     # equal changes: the port with more tonnage, as in the ordered port table
     trends = ports.agg(
@@ -48,11 +51,6 @@ def headline_facts(
             F.array_sort(F.collect_list(F.when(F.col("kt_day") == 0, F.col("port_name")))), ", "
         ).alias("idle_ports"),
     )
-    overdue = finance.receivables_kpi(t).select(
-        pct(F.col("overdue90_usd"), F.col("outstanding_usd"), 0).alias("overdue_pct")
-    )
-    # four one-row results: stacked, then each column has a single value
-    parts = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), [peak, regions, trends, overdue]
-    )
+    # three one-row results: stacked, then each column has a single value
+    parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [peak, money, trends])
     return parts.agg(*[F.max(c).alias(c) for c in parts.columns])

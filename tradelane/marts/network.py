@@ -327,24 +327,29 @@ def _door_to_door(
 ) -> DataFrame:
     """The ``top`` options per request, by value, with their paths.
 
-    Only parallel services that can be in a best path are expanded, and everything behind the
+    Paths are cut off as soon as they cannot be among the best any more; everything behind the
     gateway is one small table, written first so that its size is known.
     """
     requests = t["route_requests"]
     behind = materialize(
         gateways(t, port_risk, as_of).join(requests.select("dest_city").distinct(), "dest_city", "left_semi"), "gateways"
     )
-    legs = paths.expand(
-        paths.best_edges(_edges(t), top, day_value),
-        requests.select(F.col("origin_port").alias("node")),
-        behind.select(F.col("gateway").alias("node")),
+    legs = paths.best(
+        _edges(t),
+        requests.select(F.col("origin_port").alias("origin"), F.col("dest_city").alias("goal")),
+        behind.select(
+            F.col("gateway").alias("node"), F.col("dest_city").alias("goal"), F.col("more_days").alias("days"),
+            (F.col("cost_per_cbm") + F.col("risk")).alias("cost"),
+        ),
+        top,
+        day_value,
         max_legs,
         origin_dwell,
         transship_dwell,
         names,
-    ).withColumnsRenamed({"origin": "origin_port", "dest": "gateway"})
+    ).withColumnsRenamed({"origin": "origin_port", "dest": "gateway", "goal": "dest_city"})
     options = (
-        requests.join(legs, "origin_port")
+        requests.join(legs, ["origin_port", "dest_city"])
         .join(behind, ["gateway", "dest_city"])
         .withColumn("total_days", F.col("days") + F.col("more_days"))
         .withColumn("usd", F.col("cost") + F.col("cost_per_cbm") + F.col("risk"))
@@ -386,23 +391,27 @@ def named_routes(t: Tables, **params) -> DataFrame:
     )
 
 
-def port_table(
-    t: Tables, as_of: dt.date | None = None, book_as_of: dt.date | None = None
-) -> DataFrame:
-    """All ports with 180-day volume and tonnage; kt/day over the fixed window length."""
+def port_tonnage(t: Tables, as_of: dt.date | None = None) -> DataFrame:
+    """Ports of the feed with kt/day over the fixed window length and the change on the year before."""
     w, _ = port_trend(t, as_of)
-    act = w.select(
+    return w.select(
         "port_code",
         det_round(
             as_double("tons_cur") / F.lit(float(trend.WINDOW_DAYS)) / F.lit(1000.0), 1
         ).alias("kt_day"),
         change_pct(F.col("tons_cur"), F.col("tons_prev")).alias("yoy"),
     )
+
+
+def port_table(
+    t: Tables, as_of: dt.date | None = None, book_as_of: dt.date | None = None
+) -> DataFrame:
+    """All ports with 180-day volume and tonnage."""
     return (
         t["ports"]
         .select("port_code", "port_name", "country", "region")
         .join(port_book(t, book_as_of), "port_code", "left")
-        .join(act, "port_code", "left")
+        .join(port_tonnage(t, as_of), "port_code", "left")
         .select(
             "port_code",
             "port_name",
