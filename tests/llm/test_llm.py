@@ -144,6 +144,26 @@ def thue_morse(a, b, n=1024):
     return "".join(b if i.bit_count() % 2 else a for i in range(n))
 
 
+def test_minhash_hub_of_many_in_lots(spark, monkeypatch):
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(base[:i] + [f"x{i}"] + base[i + 1 :]) for i in range(100)]  # each shares 91 to 95 of some 101 shingles with the first
+    texts += ["quite another text of more than five words", None]
+    docs = spark.createDataFrame(list(enumerate([" ".join(base), *texts])), "doc_id long, text string")
+
+    def found():
+        return {(r.doc, r.n, r.component) for r in minhash_dedup.groups(docs, 85).collect()}
+
+    whole = found()
+    monkeypatch.setattr(minhash_dedup, "LOT", 7)
+    lots = found()
+    assert lots == whole and {c for d, _, c in lots if d <= 100} == {0} and {c for d, _, c in lots if d > 100} == {101, 102}
+    pairs = spark.createDataFrame([(0, i, i % 3) for i in range(1, 103)], "a long, b long, slot long")
+    shared = docs.selectExpr("doc_id AS doc", "cast(text AS binary) AS text")
+    assert minhash_dedup._with_hub(pairs, shared.withColumnRenamed("doc", "a")).count() == 102
+    with_slots = {tuple(r) for r in minhash_dedup.verify(shared, pairs, 85).collect()}
+    assert with_slots == {tuple(r) for r in minhash_dedup.verify(shared, pairs.drop("slot"), 85).collect()} == {(0, i) for i in range(1, 101)}
+
+
 def test_minhash_tells_arranged_words_apart(spark, tmp_path):
     """Polynomials modulo a power of two are equal for these; also null and repeated ids through the query."""
     base = [f"v{i}" for i in range(200)]

@@ -7,7 +7,8 @@ coordinates of a shingle are neighbours in memory.
 
 Steps: texts with equal shingle sets are one class, kept as its smallest id. Classes are
 put into band buckets. A bucket's smallest id, its hub, is compared with the other members:
-one candidate per member and bucket, however large the bucket. Linked classes are united.
+one candidate per member and bucket, however large the bucket; a hub of many meets them in lots.
+Linked classes are united.
 Buckets whose members are then still in more than one component are compared on, in blocks
 of bounded size dealt over the tasks: members outside the hub's component against all members of
 another component, all pairs of a block in one exact matrix product. So a bucket of copies costs
@@ -42,6 +43,8 @@ PLACES = 20
 BANDS, ROWS = 32, 6
 WORDS = 5
 BLOCK = 256
+#: Pairs of one hub that share a copy of its set.
+LOT = 64
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -124,21 +127,28 @@ def _sizes_fit(a: str, b: str, percent: int):
 
 
 def _estimate(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b, sa, sb`` whose signatures agree often enough."""
+    """Pairs ``a, b, slot, sa, sb`` whose signatures agree often enough."""
 
     def make():
         def step(batch):
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8) for i in (2, 3))
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8) for i in (3, 4))
             size = len(a) // batch.num_rows
             same = (a == b).reshape(batch.num_rows, size).sum(axis=1)
             hit = same >= least_agreement(size, percent)
             return pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(pa.array(hit)) for i in (0, 1)], ["a", "b"]
+                [batch.column(i).filter(pa.array(hit)) for i in (0, 1, 2)], ["a", "b", "slot"]
             )
 
         return step
 
-    return arrow_map(pairs.select("a", "b", "sa", "sb"), make, "a bigint, b bigint")
+    return arrow_map(pairs.select("a", "b", "slot", "sa", "sb"), make, "a bigint, b bigint, slot bigint")
+
+
+def _with_hub(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """``pairs`` (``a, b, slot``) joined with ``values`` (``a`` and more) by lots: a hub that is in a
+    great many pairs has them in lots of about ``LOT``, each of which gets its own copy of the value."""
+    lots = pairs.select("a", "slot").distinct()
+    return pairs.join(lots.join(values, "a"), ["a", "slot"])
 
 
 def least_agreement(size: int, percent: int) -> float:
@@ -166,7 +176,12 @@ def full_sets(texts: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame
 
 
 def verify(texts: DataFrame, pairs: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
-    """The pairs ``a, b`` with ``100 * intersection >= percent * union`` on their full sets."""
+    """The pairs ``a, b`` with ``100 * intersection >= percent * union`` on their full sets.
+
+    ``slot``, if given, numbers the lots that the pairs of one ``a`` are dealt into.
+    """
+    if "slot" not in pairs.columns:
+        pairs = pairs.withColumn("slot", F.lit(0).cast("bigint"))
     ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
     sets = full_sets(texts, ids, words)
 
@@ -183,7 +198,7 @@ def verify(texts: DataFrame, pairs: DataFrame, percent: int, words: int = WORDS)
         return step
 
     joined = (
-        pairs.join(sets.select(F.col("doc").alias("a"), F.col("set").alias("sa")), "a")
+        _with_hub(pairs, sets.select(F.col("doc").alias("a"), F.col("set").alias("sa")))
         .join(sets.select(F.col("doc").alias("b"), F.col("set").alias("sb")), "b")
         .select("a", "b", "sa", "sb")
     )
@@ -310,18 +325,21 @@ def groups(docs: DataFrame, percent: int = 80, bands: int = BANDS, rows: int = R
     banded = nodes.select("id", "n", F.explode("bands").alias("key"))
     hubs = banded.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
     members = materialize(
-        banded.join(hubs, "key").select("key", "id", "n", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")), "buckets"
+        banded.join(hubs, "key").select("key", "id", "n", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), "c"), "buckets"
     )
     signatures = nodes.select("id", "signature")
+    # a hub of a full bucket is in as many pairs: they are dealt into lots by the bucket's size
     first = (
         members.where("id != hub")
         .where(_sizes_fit("n", "hub_n", percent))
-        .select(F.col("hub").alias("a"), F.col("id").alias("b"))
-        .distinct()
-        .join(signatures.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
-        .join(signatures.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b")
+        .groupBy(F.col("hub").alias("a"), F.col("id").alias("b"))
+        .agg(F.max("c").alias("c"))
+        .select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / LOT).cast("bigint")).alias("slot"))
+    )
+    signed = _with_hub(first, signatures.select(F.col("id").alias("a"), F.col("signature").alias("sa"))).join(
+        signatures.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b"
     )
-    links = materialize(verify(texts, materialize(_estimate(first, percent).distinct(), "pairs"), percent, words), "links")
+    links = materialize(verify(texts, materialize(_estimate(signed, percent).distinct(), "pairs"), percent, words), "links")
     # ids repeated over several texts are one node already; classes of one id need no link
     united = materialize(components(links), "components")
 
