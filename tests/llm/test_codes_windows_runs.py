@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import uuid
 import zlib
 from collections import Counter
 
@@ -176,6 +177,37 @@ def test_windows_of_a_full_sketch_are_the_same(spark, monkeypatch):
     assert Counter(map(tuple, window_dedup.report(rows).collect())) == want
 
 
+def test_windows_texts_reach_python_once_and_in_small_batches(spark, tmp_path, monkeypatch):
+    """One partition of 6 MB: Spark's batches of 10,000 rows held it whole, the cut held it twice."""
+    words = np.random.default_rng(5).integers(0, 10**6, (3000, 300)).astype(str)
+    words[1000:1100, :50] = words[:100, 200:250]
+    some = [" ".join(w) for w in words.tolist()]
+    spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    sizes, plain = tmp_path / "sizes", window_dedup.arrow_map
+    sizes.mkdir()
+
+    def spied(df, make, schema):
+        def made():
+            step = make()
+
+            def noted(batch):
+                (sizes / f"{uuid.uuid4().hex}-{batch.nbytes}").touch()
+                return step(batch)
+
+            return noted
+
+        return plain(df, made, schema)
+
+    monkeypatch.setattr(window_dedup, "arrow_map", spied)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in window_dedup.report(spark.read.parquet(f"{tmp_path}/docs")).collect()}
+    assert got == {i: (300, 50 if i < 100 or 1000 <= i < 1100 else 0) for i in range(3000)}
+    found = [int(p.name.split("-")[1]) for p in sizes.iterdir()]
+    assert max(found) < window_dedup.SLICE + 10_000 and spark.conf.get(key, None) == before
+    assert sum(found) < 6 * sum(map(len, some))  # the texts are read five times, by the cut with its other columns
+
+
 def test_sketch_overestimates(spark):
     some = [t.encode() for t in texts() if t]
     rows = spark.createDataFrame([(t,) for t in some], "text binary")

@@ -27,7 +27,9 @@ phrases: some 40 bytes for every 16 words. Results do not change.
 
 Exact means by 128-bit digests: words by lanes of eight bytes mixed into two numbers (long ones by
 BLAKE2b), windows by two independent sums of their word digests under random odd factors. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null and empty texts
-have none. Texts of any length are read whole, in slices of ``SLICE`` bytes or one text. Null and
+have none. Texts of any length are read whole, in Arrow batches and slices of ``SLICE`` bytes or one
+text, so an executor holds a few of them whatever the rows' length; only the last pass of ``clean``, run
+by its caller, takes the batches the session is set to. ``report`` is written and read back. Null and
 repeated ids are plain rows; an empty table gives an empty result; other columns pass through
 ``clean``.
 """
@@ -44,7 +46,7 @@ from pyspark.sql import functions as F
 from tradelane.llm.common import arrow_map, bitmap, by_bytes, in_bitmap, materialize, read
 from tradelane.llm.phrases import mix, sliding_min, union
 from tradelane.llm.words import word_digests
-from tradelane.session import shuffles_dropped
+from tradelane.session import arrow_batches, shuffles_dropped
 
 U = np.uint64
 WINDOW, GRAM = 35, 5
@@ -289,41 +291,44 @@ def _late(kind, *shared):
 
 
 def _cut(docs: DataFrame, window: int, schema: str, result) -> DataFrame:
-    """``mapInArrow`` over ``text, spans, *rest`` of ``docs`` with ``result(batch, (words, kept words) per row)``.
+    """``mapInArrow`` over ``docs``, text as bytes, with ``result(batch, (words, kept words) per row)``.
 
     Only texts with a span, going by a bitmap of their digests, are shuffled to meet their spans.
     """
     names = [f"_{i}" for i in range(len(docs.columns))]
+    at = docs.columns.index("text")
     packed = docs.toDF(*names)
-    at = names[docs.columns.index("text")]
-    texts = packed.select(F.col(at).cast("binary").alias("text"))
+    source = packed.withColumn(names[at], F.col(names[at]).cast("binary"))
+    texts = source.select(F.col(names[at]).alias("text"))
     place = F.struct("start", "length")
-    gathered = materialize(spans(texts, window).groupBy("key").agg(F.collect_list(place).alias("spans")), "spans")
     head = F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("bigint").alias("head")
-    hit = docs.sparkSession.sparkContext.broadcast(bitmap(gathered.select(head), "head"))
-    own = ", ".join(f"`{n}` {t}" for n, t in packed.dtypes)
-    source = packed.select(F.col(at).cast("binary").alias("_text"), *names)
+    with arrow_batches(docs.sparkSession, SLICE):
+        gathered = materialize(spans(texts, window).groupBy("key").agg(F.collect_list(place).alias("spans")), "spans")
+        hit = docs.sparkSession.sparkContext.broadcast(bitmap(gathered.select(head), "head"))
+    own = ", ".join(f"`{n}` {t}" for n, t in source.dtypes)
 
     def marked(batch):
-        keys = [text_key(t) for t in batch.column(0).to_pylist()]
+        keys = [text_key(t) for t in batch.column(at).to_pylist()]
         return keys, in_bitmap(hit.value, np.array([int.from_bytes(k[:7], "big") for k in keys], dtype=np.int64))
 
     def with_key(batch):
-        keys, cut = marked(batch)
-        batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *batch.columns], ["_key", *batch.schema.names])
-        return batch.filter(pa.array(cut))
+        for part in by_bytes(batch, at, SLICE):
+            keys, cut = marked(part)
+            part = pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *part.columns], ["_key", *part.schema.names])
+            yield part.filter(pa.array(cut))
 
     def untouched(batch):
         batch = batch.filter(pa.array(~marked(batch)[1]))
-        for part in by_bytes(batch, 0, SLICE) if batch.num_rows else ():
-            yield result(part, 1, [_split(t, None) for t in part.column(0).to_pylist()])
+        for part in by_bytes(batch, at, SLICE) if batch.num_rows else ():
+            yield result(part, [_split(t, None) for t in part.column(at).to_pylist()])
 
     def cut(batch):
-        for part in by_bytes(batch, 0, SLICE):
-            yield result(part, 2, [_split(*row) for row in zip(*(part.column(i).to_pylist() for i in range(2)), strict=True)])
+        for part in by_bytes(batch, at, SLICE):
+            rows = zip(part.column(at).to_pylist(), part.column("spans").to_pylist(), strict=True)
+            yield result(part, [_split(*row) for row in rows])
 
-    keyed = arrow_map(source, lambda: with_key, f"_key binary, _text binary, {own}")
-    joined = keyed.join(gathered, F.col("_key") == F.col("key"), "left").select("_text", "spans", *names)
+    keyed = arrow_map(source, lambda: with_key, f"_key binary, {own}")
+    joined = keyed.join(gathered, F.col("_key") == F.col("key"), "left").select(*names, "spans")
     return arrow_map(source, lambda: untouched, schema).unionByName(arrow_map(joined, lambda: cut, schema))
 
 
@@ -350,14 +355,14 @@ def clean(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = ", ".join(f"`_{i}` {t}" for i, (_, t) in enumerate(docs.dtypes))
     at = {names.index("text"): pa.string()} | ({names.index("n_chars"): None} if "n_chars" in names else {})
 
-    def result(batch, first, rows):
-        old = batch.column(first + names.index("text")).to_pylist()
-        text = [o if len(kept) == n else b" ".join(kept).decode() for o, (n, kept) in zip(old, rows, strict=True)]
-        columns = list(batch.columns[first:])
-        for i in at:
-            values = text if names[i] == "text" else [len(t or "") for t in text]
-            columns[i] = pa.array(values).cast(columns[i].type)
-        return pa.RecordBatch.from_arrays(columns, batch.schema.names[first:])
+    def result(batch, rows):
+        old = batch.column(names.index("text")).to_pylist()
+        text = [o if len(kept) == n else b" ".join(kept) for o, (n, kept) in zip(old, rows, strict=True)]
+        text = [None if t is None else t.decode() for t in text]
+        columns = list(batch.columns[: len(names)])
+        for i, kind in at.items():
+            columns[i] = pa.array(text, kind) if kind else pa.array([len(t or "") for t in text]).cast(columns[i].type)
+        return pa.RecordBatch.from_arrays(columns, batch.schema.names[: len(names)])
 
     return _cut(docs, window, schema, result).toDF(*names)
 
@@ -365,17 +370,19 @@ def clean(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row of ``docs``."""
 
-    def result(batch, first, rows):
+    def result(batch, rows):
         n, kept = [r[0] for r in rows], [r[1] for r in rows]
         return pa.RecordBatch.from_arrays(
             [
-                batch.column(first), pa.array(n, pa.int64()), pa.array([a - len(k) for a, k in zip(n, kept, strict=True)], pa.int64()),
+                batch.column(0), pa.array(n, pa.int64()), pa.array([a - len(k) for a, k in zip(n, kept, strict=True)], pa.int64()),
                 pa.array([hashlib.sha256(b" ".join(k)).hexdigest() for k in kept]),
             ],
             ["doc_id", "n_words", "n_removed", "kept_sha256"],
         )
 
-    return _cut(docs.select("doc_id", "text"), window, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string", result)
+    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
+    with arrow_batches(docs.sparkSession, SLICE):
+        return materialize(_cut(docs.select("doc_id", "text"), window, schema, result), "report")
 
 
 def op12_window_dedup(spark, sf_dir) -> DataFrame:

@@ -89,6 +89,25 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Actions inside hand rows to Python in Arrow batches of about ``size`` bytes, one row at least.
+
+    Spark counts rows otherwise (10,000), so a batch, which the executor's JVM and its worker both
+    hold, would grow with the rows' length.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
